@@ -128,7 +128,7 @@ def rule_predictions(incidents: DataFrame) -> DataFrame:
     pred_a = (F.when(d < PRED_A_EDGES[0], 0.0).when(d < PRED_A_EDGES[1], 1.0)
               .when(d < PRED_A_EDGES[2], 2.0).otherwise(3.0))
     cols = {
-        "label": (F.col("Severity") - 1).cast("double"),
+        "label": (F.col("Severity") - 1).cast("double"),   # as transform.label_from_severity
         "pred_a": pred_a,
         "pred_b": F.when(F.col("ID") % 3 == 0, 1.0).otherwise(2.0),
         "score": d,

@@ -203,3 +203,171 @@ SELECT ID, Hour, DayOfWeek, Month, Year, Duration_Min, Is_Peak_Hour, Is_Weekend,
   Low_Visibility, Distance_Bucket, Is_Night, Infra_Risk_Score FROM featured"""
 
 ORACLE_SQL["j01_enrich"] = ENR + "SELECT * FROM enriched"
+
+# ---- projections -------------------------------------------------------------
+
+PREDS = f"""
+preds AS (
+  SELECT ID, Start_Time, State, CAST(Severity - 1 AS DOUBLE) AS label,
+    CAST(CASE WHEN Distance_mi < 0.15 THEN 0 WHEN Distance_mi < 0.35 THEN 1
+              WHEN Distance_mi < 0.90 THEN 2 ELSE 3 END AS DOUBLE) AS pred_a,
+    CAST(CASE WHEN ID % 3 = 0 THEN 1 ELSE 2 END AS DOUBLE) AS pred_b,
+    Distance_mi AS score,
+    {D(1)} / ({D(1)} + abs(Distance_mi * {D(100)} - {D(5)})) AS score_0,
+    {D(1)} / ({D(1)} + abs(Distance_mi * {D(100)} - {D(25)})) AS score_1,
+    {D(1)} / ({D(1)} + abs(Distance_mi * {D(100)} - {D(60)})) AS score_2,
+    {D(1)} / ({D(1)} + abs(Distance_mi * {D(100)} - {D(200)})) AS score_3
+  FROM incidents)"""
+PRED = with_ctes(INCIDENTS, PREDS)
+
+_FLAGS = ("Amenity", "Bump", "Crossing", "Give_Way", "Junction", "No_Exit", "Railway", "Roundabout",
+          "Station", "Stop", "Traffic_Calming", "Traffic_Signal", "Turning_Loop")
+ORACLE_SQL["p03_bools_to_int"] = BASE + "SELECT ID, " + ", ".join(
+    f"CAST({c} AS INTEGER) AS {c}" for c in _FLAGS) + " FROM incidents"
+
+ORACLE_SQL["p04_labels"] = PRED + """
+SELECT ID, label, CASE WHEN label >= 2 THEN 1.0e0 ELSE 0.0e0 END AS binary_label, pred_a,
+  round(score, 4) AS Score, CAST(label = pred_a AS INTEGER) AS Correct,
+  pred_a + 1 AS Predicted_Severity, label + 1 AS Actual_Severity
+FROM preds"""
+
+# ---- sampling ------------------------------------------------------------------
+
+_U = "(CAST(('0x' || substr(md5('42:' || CAST(ID AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0e0)"
+_SPLIT = (f"CASE WHEN {_U} < 0.7e0 THEN 'train' WHEN {_U} < (0.7e0 + 0.15e0) THEN 'valid' "
+          "ELSE 'test' END")
+IDS = "SELECT ID, Start_Time, Severity FROM incidents"
+
+ORACLE_SQL["g01_sample_fraction"] = BASE + IDS + f" WHERE {_U} < 0.1e0"
+ORACLE_SQL["g02_sample_cap"] = BASE + IDS + f" ORDER BY {_U}, ID LIMIT 1000"
+ORACLE_SQL["g03_split"] = BASE + f"SELECT ID, {_SPLIT} AS split FROM incidents"
+ORACLE_SQL["g04_temporal_split"] = BASE + """
+SELECT ID, CASE WHEN Start_Time < TIMESTAMP '2024-01-22 00:00:00' THEN 'train'
+                WHEN Start_Time < TIMESTAMP '2024-01-26 00:00:00' THEN 'valid' ELSE 'test' END AS split
+FROM incidents"""
+ORACLE_SQL["g05_split_summary"] = BASE + f"""
+SELECT split, count(*) AS rows, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM (SELECT {_SPLIT} AS split FROM incidents) GROUP BY split ORDER BY split"""
+ORACLE_SQL["g06_repartition_by_state"] = BASE + "SELECT * FROM incidents"
+ORACLE_SQL["g07_round_robin"] = BASE + "SELECT * FROM incidents"
+
+# ---- evaluation ----------------------------------------------------------------
+
+
+def _class_tables(src: str) -> str:
+    """CTEs cnt / t / per over a (model, label, prediction) source."""
+    return f"""
+, cnt AS (SELECT model, label, prediction, count(*) AS c FROM ({src}) GROUP BY ALL),
+sup AS (SELECT model, label AS cls, sum(c) AS support,
+          sum(CASE WHEN label = prediction THEN c ELSE 0 END) AS tp FROM cnt GROUP BY ALL),
+prd AS (SELECT model, prediction AS cls, sum(c) AS predicted FROM cnt GROUP BY ALL),
+t AS (SELECT coalesce(s.model, p.model) AS model, coalesce(s.cls, p.cls) AS cls,
+        CAST(coalesce(tp, 0) AS BIGINT) AS tp, CAST(coalesce(predicted, 0) AS BIGINT) AS predicted,
+        CAST(coalesce(support, 0) AS BIGINT) AS support
+      FROM sup s FULL JOIN prd p ON s.model = p.model AND s.cls = p.cls),
+per AS (SELECT model, cls, support, tp,
+          coalesce(tp * 1.0e0 / nullif(predicted, 0), 0.0e0) AS p,
+          coalesce(tp * 1.0e0 / nullif(support, 0), 0.0e0) AS r,
+          coalesce(2.0e0 * tp / nullif(predicted + support, 0), 0.0e0) AS f FROM t)
+"""
+
+
+_A = "SELECT 'm' AS model, label, pred_a AS prediction FROM preds"
+_AB = ("SELECT 'rule_a' AS model, label, pred_a AS prediction FROM preds UNION ALL "
+       "SELECT 'rule_b' AS model, label, pred_b AS prediction FROM preds")
+_METRICS = """
+SELECT model, round(coalesce(sum(tp) * 1.0e0 / nullif(sum(support), 0), 0), 6) AS accuracy,
+  round(coalesce(sum(f * support) / nullif(sum(support), 0), 0), 6) AS f1,
+  round(coalesce(sum(p * support) / nullif(sum(support), 0), 0), 6) AS precision,
+  round(coalesce(sum(r * support) / nullif(sum(support), 0), 0), 6) AS recall
+FROM per GROUP BY model"""
+
+ORACLE_SQL["m01_accuracy"] = PRED + """
+SELECT round(avg(CASE WHEN label = pred_a THEN 1.0e0 ELSE 0.0e0 END), 6) AS accuracy FROM preds"""
+ORACLE_SQL["m02_weighted_f1"] = PRED + _class_tables(_A) + f"SELECT f1 FROM ({_METRICS})"
+ORACLE_SQL["m03_weighted_pr"] = PRED + _class_tables(_A) + f"SELECT precision, recall FROM ({_METRICS})"
+ORACLE_SQL["m04_evaluate_all"] = PRED + _class_tables(_AB) + _METRICS
+ORACLE_SQL["m14_best_model"] = PRED + _class_tables(_AB) + f"""
+SELECT model AS best_model, f1 AS best_f1 FROM ({_METRICS}) ORDER BY f1 DESC, model LIMIT 1"""
+
+_CONF = """
+, cnt AS (SELECT label, pred_a AS prediction, count(*) AS c FROM preds GROUP BY ALL),
+cls AS (SELECT label AS c FROM cnt UNION SELECT prediction FROM cnt),
+cm AS (SELECT a.c AS label, b.c AS prediction, CAST(coalesce(cnt.c, 0) AS BIGINT) AS count
+       FROM cls a CROSS JOIN cls b LEFT JOIN cnt ON cnt.label = a.c AND cnt.prediction = b.c)
+"""
+ORACLE_SQL["m05_confusion"] = PRED + _CONF + "SELECT * FROM cm ORDER BY label, prediction"
+ORACLE_SQL["m06_confusion_norm"] = PRED + _CONF + """
+SELECT label, prediction, count,
+  round(coalesce(count * 1.0e0 / nullif(sum(count) OVER (PARTITION BY label), 0), 0), 6) AS rate
+FROM cm ORDER BY label, prediction"""
+
+ORACLE_SQL["m07_class_report"] = PRED + _class_tables(_A) + """
+, pc AS (SELECT CAST(cls AS VARCHAR) AS class, p AS precision, r AS recall, f AS f1, support FROM per)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM pc
+UNION ALL
+SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+  CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL
+SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+  CAST(sum(support) AS BIGINT) FROM pc"""
+
+_OVR = " UNION ALL ".join(
+    f"SELECT '{k}' AS class, score_{k} AS score, CASE WHEN label = {k} THEN 1 ELSE 0 END AS pos FROM preds"
+    for k in range(4))
+_BIN = "SELECT 'binary' AS class, score, CASE WHEN label >= 2 THEN 1 ELSE 0 END AS pos FROM preds"
+
+
+def _curve(src: str) -> str:
+    return f"""
+, g AS (SELECT class, score, CAST(sum(pos) AS BIGINT) AS p, CAST(sum(1 - pos) AS BIGINT) AS n
+        FROM ({src}) GROUP BY class, score),
+c AS (SELECT *, sum(p) OVER w AS cum_p, sum(n) OVER w AS cum_n,
+        sum(p) OVER (PARTITION BY class) AS pos_total, sum(n) OVER (PARTITION BY class) AS neg_total
+      FROM g WINDOW w AS (PARTITION BY class ORDER BY score DESC
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+"""
+
+
+ORACLE_SQL["m08_roc_curve"] = PRED + _curve(_OVR) + """
+SELECT class, score AS threshold, round(coalesce(cum_n * 1.0e0 / nullif(neg_total, 0), 0), 6) AS fpr,
+  round(coalesce(cum_p * 1.0e0 / nullif(pos_total, 0), 0), 6) AS tpr FROM c
+UNION ALL SELECT DISTINCT class, CAST(NULL AS DOUBLE), 0.0e0, 0.0e0 FROM g"""
+
+_AUC = """
+SELECT class, round(coalesce(sum(n * (cum_p - p / 2.0e0)) / nullif(max(pos_total) * 1.0e0 * max(neg_total), 0), 0), 6) AS auc
+FROM c GROUP BY class"""
+ORACLE_SQL["m09_roc_auc"] = (PRED + _curve(_OVR) + _AUC + "\nUNION ALL\n"
+                             + "SELECT * FROM (" + "WITH " + INCIDENTS + "," + PREDS
+                             + _curve(_BIN) + _AUC + ")")
+
+ORACLE_SQL["m10_pr_curve"] = PRED + _curve(_OVR) + """
+SELECT class, score AS threshold,
+  round(coalesce(cum_p * 1.0e0 / nullif(cum_p + cum_n, 0), 0), 6) AS precision,
+  round(coalesce(cum_p * 1.0e0 / nullif(pos_total, 0), 0), 6) AS recall FROM c
+UNION ALL SELECT DISTINCT class, CAST(NULL AS DOUBLE), 1.0e0, 0.0e0 FROM g"""
+
+ORACLE_SQL["m11_avg_precision"] = PRED + _curve(_OVR) + """
+SELECT class, round(sum(coalesce(p * 1.0e0 / nullif(pos_total, 0), 0)
+                        * coalesce(cum_p * 1.0e0 / nullif(cum_p + cum_n, 0), 0)), 6) AS ap
+FROM c GROUP BY class"""
+
+ORACLE_SQL["m13_mcnemar_table"] = PRED + """
+, t AS (SELECT count(*) FILTER (WHERE pred_a = label AND pred_b = label) AS n11,
+          count(*) FILTER (WHERE pred_a = label AND pred_b <> label) AS n10,
+          count(*) FILTER (WHERE pred_a <> label AND pred_b = label) AS n01,
+          count(*) FILTER (WHERE pred_a <> label AND pred_b <> label) AS n00 FROM preds)
+SELECT n11, n10, n01, n00, round(power(abs(n10 - n01) - 1, 2) / nullif(n10 + n01, 0), 6) AS chi2 FROM t"""
+
+ORACLE_SQL["j02_join_predictions"] = PRED + "SELECT ID, label, pred_a, pred_b FROM preds"
+ORACLE_SQL["j03_split_overlap"] = BASE + f"""
+SELECT DISTINCT a.ID FROM (SELECT ID FROM incidents WHERE {_SPLIT} = 'train') a
+SEMI JOIN (SELECT ID FROM incidents WHERE {_SPLIT} = 'test') b ON a.ID = b.ID"""
+
+ORACLE_SQL["a04_prediction_insights"] = PRED + """
+SELECT State, CAST(hour(Start_Time) AS INTEGER) AS Hour, CAST(month(Start_Time) AS INTEGER) AS Month,
+  pred_a + 1 AS Predicted_Severity, count(*) AS Accident_Count,
+  CAST(sum(CASE WHEN label = pred_a THEN 1 ELSE 0 END) AS BIGINT) AS Correct_Preds,
+  round(sum(CASE WHEN label = pred_a THEN 1 ELSE 0 END) * 1.0e0 / count(*), 6) AS Prediction_Accuracy
+FROM preds WHERE State IS NOT NULL GROUP BY ALL"""

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sevlens.operators import profile, transform, validate
+from sevlens.operators import aggregate, enrich, evaluate, profile, sampling, transform, validate
 from sevlens.plans import incidents as inc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,181 @@ def h01(spark, base_dir):
 @register("j01_enrich")
 def j01(spark, base_dir):
     return inc.enriched_incidents(spark, base_dir)
+
+
+# ---- projections -------------------------------------------------------------
+
+@register("p03_bools_to_int")
+def p03(spark, base_dir):
+    df = inc.raw_incidents(spark, base_dir)
+    return transform.bools_to_int(df.select("ID", *inc.FLAG_COLUMNS), inc.FLAG_COLUMNS)
+
+
+@register("p04_labels")
+def p04(spark, base_dir):
+    """0-based label, binary label, correctness flag, rename, rounding."""
+    df = transform.binary_label(inc.rule_predictions(inc.raw_incidents(spark, base_dir)))
+    df = transform.with_correct(df.select("ID", "label", "binary_label", "pred_a", "score"),
+                                "label", "pred_a")
+    df = transform.rename(df, {"score": "Score"})
+    return transform.round_columns(df, ["Score"], 4)
+
+
+# ---- sampling / splits ------------------------------------------------------------
+
+def _ids(spark, base_dir):
+    return inc.raw_incidents(spark, base_dir).select("ID", "Start_Time", "Severity")
+
+
+@register("g01_sample_fraction")
+def g01(spark, base_dir):
+    return sampling.sample_fraction(_ids(spark, base_dir), 0.1, "ID", 42)
+
+
+@register("g02_sample_cap")
+def g02(spark, base_dir):
+    return sampling.sample_cap(_ids(spark, base_dir), 1000, "ID", 42)
+
+
+@register("g03_split")
+def g03(spark, base_dir):
+    return sampling.assign_split(_ids(spark, base_dir)).select("ID", "split")
+
+
+@register("g04_temporal_split")
+def g04(spark, base_dir):
+    import datetime as dt
+    cut = [dt.datetime(2024, 1, 22), dt.datetime(2024, 1, 26)]
+    return sampling.temporal_split(_ids(spark, base_dir), "Start_Time", cut).select("ID", "split")
+
+
+@register("g05_split_summary")
+def g05(spark, base_dir):
+    return sampling.split_summary(sampling.assign_split(_ids(spark, base_dir)))
+
+
+@register("g06_repartition_by_state")
+def g06(spark, base_dir):
+    return sampling.repartition_by(inc.raw_incidents(spark, base_dir), 10, "State")
+
+
+@register("g07_round_robin")
+def g07(spark, base_dir):
+    return sampling.round_robin(inc.raw_incidents(spark, base_dir), 16)
+
+
+@register("g08_partition_stats")
+def g08(spark, base_dir):
+    return sampling.partition_stats(
+        sampling.repartition_by(inc.raw_incidents(spark, base_dir), 10, "State"))
+
+
+# ---- evaluation on the rule-based predictor ------------------------------------------
+
+CLASS_SCORES = {k: f"score_{k}" for k in range(4)}
+MODELS = {"rule_a": "pred_a", "rule_b": "pred_b"}
+
+
+def _preds(spark, base_dir):
+    return inc.rule_predictions(inc.raw_incidents(spark, base_dir))
+
+
+@register("m01_accuracy")
+def m01(spark, base_dir):
+    return evaluate.accuracy(_preds(spark, base_dir), "label", "pred_a")
+
+
+@register("m02_weighted_f1")
+def m02(spark, base_dir):
+    return evaluate.weighted_f1(_preds(spark, base_dir), "label", "pred_a")
+
+
+@register("m03_weighted_pr")
+def m03(spark, base_dir):
+    return evaluate.weighted_pr(_preds(spark, base_dir), "label", "pred_a")
+
+
+@register("m04_evaluate_all")
+def m04(spark, base_dir):
+    return evaluate.evaluate_all(_preds(spark, base_dir), MODELS)
+
+
+@register("m05_confusion")
+def m05(spark, base_dir):
+    return evaluate.confusion(_preds(spark, base_dir), "label", "pred_a")
+
+
+@register("m06_confusion_norm")
+def m06(spark, base_dir):
+    return evaluate.confusion_norm(_preds(spark, base_dir), "label", "pred_a")
+
+
+@register("m07_class_report")
+def m07(spark, base_dir):
+    return evaluate.class_report(_preds(spark, base_dir), "label", "pred_a")
+
+
+def _groups(spark, base_dir, binary: bool = False):
+    p = _preds(spark, base_dir)
+    if binary:
+        return evaluate.score_groups(p, {"binary": "score"}, "label",
+                                     positive={"binary": F.col("label") >= 2})
+    return evaluate.score_groups(p, CLASS_SCORES, "label")
+
+
+@register("m08_roc_curve")
+def m08(spark, base_dir):
+    return evaluate.roc_curve(_groups(spark, base_dir))
+
+
+@register("m09_roc_auc")
+def m09(spark, base_dir):
+    return evaluate.roc_auc(_groups(spark, base_dir)).unionByName(
+        evaluate.roc_auc(_groups(spark, base_dir, binary=True)))
+
+
+@register("m10_pr_curve")
+def m10(spark, base_dir):
+    return evaluate.pr_curve(_groups(spark, base_dir))
+
+
+@register("m11_avg_precision")
+def m11(spark, base_dir):
+    return evaluate.avg_precision(_groups(spark, base_dir))
+
+
+@register("m12_bootstrap_ci")
+def m12(spark, base_dir):
+    return evaluate.bootstrap_ci(_preds(spark, base_dir), MODELS, replicates=500, seed=42)
+
+
+@register("m13_mcnemar_table")
+def m13(spark, base_dir):
+    return evaluate.mcnemar(_preds(spark, base_dir), "pred_a", "pred_b").drop("p_value", "significant")
+
+
+@register("m13_mcnemar_test")
+def m13t(spark, base_dir):
+    return evaluate.mcnemar(_preds(spark, base_dir), "pred_a", "pred_b")
+
+
+@register("m14_best_model")
+def m14(spark, base_dir):
+    return evaluate.best_by(evaluate.evaluate_all(_preds(spark, base_dir), MODELS), "f1")
+
+
+@register("j02_join_predictions")
+def j02(spark, base_dir):
+    p = _preds(spark, base_dir)
+    return enrich.join_predictions(p.select("ID", "label", "pred_a"), p.select("ID", "pred_b"))
+
+
+@register("j03_split_overlap")
+def j03(spark, base_dir):
+    parts = sampling.split(_ids(spark, base_dir))
+    return enrich.split_overlap(parts["train"], parts["test"])
+
+
+@register("a04_prediction_insights")
+def a04(spark, base_dir):
+    return aggregate.prediction_insights(_preds(spark, base_dir), "label", "pred_a")
