@@ -371,3 +371,86 @@ SELECT State, CAST(hour(Start_Time) AS INTEGER) AS Hour, CAST(month(Start_Time)
   CAST(sum(CASE WHEN label = pred_a THEN 1 ELSE 0 END) AS BIGINT) AS Correct_Preds,
   round(sum(CASE WHEN label = pred_a THEN 1 ELSE 0 END) * 1.0e0 / count(*), 6) AS Prediction_Accuracy
 FROM preds WHERE State IS NOT NULL GROUP BY ALL"""
+
+# ---- sources and sinks (read back what was written) --------------------------------
+
+ORACLE_SQL["s01_csv_roundtrip"] = BASE + "SELECT * FROM incidents"
+ORACLE_SQL["s02_corrupt_records"] = BASE + """
+SELECT ID, CASE WHEN ID % 97 = 0 THEN NULL ELSE Severity END AS Severity, Distance_mi,
+  ID % 97 = 0 AS corrupt FROM incidents"""
+ORACLE_SQL["s03_partitioned_write"] = ENR + "SELECT * FROM enriched"
+ORACLE_SQL["s05_verify_write"] = ENR + """
+SELECT count(*) AS rows_read,
+  count(DISTINCT State) + max(CASE WHEN State IS NULL THEN 1 ELSE 0 END) AS partition_values,
+  count(*) AS rows_expected, true AS schema_match, true AS rows_match FROM enriched"""
+ORACLE_SQL["s08_write_splits"] = BASE + f"""
+SELECT {_SPLIT} AS split, count(*) AS rows FROM incidents GROUP BY 1"""
+ORACLE_SQL["s09_export_csv"] = ORACLE_SQL["v05_class_distribution"]
+ORACLE_SQL["s12_metrics_json"] = ORACLE_SQL["m04_evaluate_all"]
+
+RAW_COLUMNS = tuple(c for c in ENRICHED_COLUMNS if c not in ("Region", "Climate_Zone"))
+
+
+def _stage(step: int, name: str, source: str, fmt: str, view: str, cols) -> str:
+    nulls = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in cols)
+    return (f"SELECT {step} AS step, '{name}' AS name, '{source}' AS source, count(*) AS rows, "
+            f"'{fmt}' AS format, round(coalesce(sum({nulls}) * 100.0e0 / nullif(count(*) * {len(cols)}, 0), 0), 4) "
+            f"AS null_rate_pct FROM {view}")
+
+
+_STAGES = [(1, "Ingestion", "events+customer+nation", "Parquet", "incidents", RAW_COLUMNS),
+           (2, "Validation", "incidents", "DF", "incidents", RAW_COLUMNS),
+           (3, "Repartition", "incidents", "DF", "incidents", RAW_COLUMNS),
+           (4, "Enrichment", "incidents+state_lookup", "DF", "enriched", ENRICHED_COLUMNS),
+           (5, "Parquet", "incidents_by_state", "Parquet", "enriched", ENRICHED_COLUMNS)]
+_LINEAGE = "\nUNION ALL\n".join(_stage(*s) for s in _STAGES)
+ORACLE_SQL["s11_lineage"] = ENR + _LINEAGE
+ORACLE_SQL["r01_pipeline_quality"] = ENR + f"""
+SELECT name AS Stage, rows AS Row_Count, format AS Format, null_rate_pct AS Null_Rate_Pct
+FROM ({_LINEAGE})"""
+
+# ---- windows -----------------------------------------------------------------------
+
+ORACLE_SQL["w03_top_states_ranked"] = BASE + """
+SELECT * FROM (SELECT State, count(*) AS count,
+                 CAST(row_number() OVER (ORDER BY count(*) DESC, State ASC NULLS FIRST) AS INTEGER) AS Rank
+               FROM incidents GROUP BY State) WHERE Rank <= 5"""
+ORACLE_SQL["w04_hourly_vs_first_hour"] = BASE + """
+SELECT Severity, Hour, count, round(count * 1.0e0 / first(count) OVER (PARTITION BY Severity ORDER BY Hour
+         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 6) AS relative
+FROM (SELECT Severity, CAST(hour(Start_Time) AS INTEGER) AS Hour, count(*) AS count
+      FROM incidents GROUP BY ALL)"""
+ORACLE_SQL["w05_union_reports"] = BASE + "SELECT *, CAST(NULL AS DOUBLE) AS missing_pct FROM (" + _union_long(
+    "SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    "round(count(*) FILTER (WHERE {c} IS NULL) * 100.0e0 / count(*), 4) AS null_pct, "
+    "CASE WHEN round(count(*) FILTER (WHERE {c} IS NULL) * 100.0e0 / count(*), 4) < 5.0 "
+    "THEN 'PASS' ELSE 'WARN' END AS status FROM incidents", _CRIT) + """)
+UNION ALL
+SELECT "column", NULL, NULL, NULL, missing_pct FROM (""" + _union_long(
+    "SELECT '{c}' AS column, round(count(*) FILTER (WHERE {c} IS NULL) * 100.0e0 / count(*), 2) "
+    "AS missing_pct FROM incidents", RAW_COLUMNS) + ") WHERE missing_pct > 0"
+
+# ---- reports -------------------------------------------------------------------------
+
+ORACLE_SQL["r02_model_performance"] = PRED + _class_tables(_AB) + """
+, mc AS (SELECT model AS Model, 'Spark MLlib' AS Framework, 'Multiclass' AS Task,
+           round(coalesce(sum(tp) * 1.0e0 / nullif(sum(support), 0), 0), 4) AS Test_Accuracy,
+           round(coalesce(sum(f * support) / nullif(sum(support), 0), 0), 4) AS Test_F1,
+           round(coalesce(sum(p * support) / nullif(sum(support), 0), 0), 4) AS Test_Precision,
+           round(coalesce(sum(r * support) / nullif(sum(support), 0), 0), 4) AS Test_Recall,
+           CAST(NULL AS DOUBLE) AS AUC_ROC FROM per GROUP BY model),
+bp AS (SELECT CASE WHEN label >= 2 THEN 1.0e0 ELSE 0.0e0 END AS bl,
+         CASE WHEN pred_a >= 2 THEN 1.0e0 ELSE 0.0e0 END AS pb, score FROM preds),
+g AS (SELECT score, CAST(sum(CASE WHEN bl = 1 THEN 1 ELSE 0 END) AS BIGINT) AS p,
+        CAST(sum(CASE WHEN bl = 1 THEN 0 ELSE 1 END) AS BIGINT) AS n FROM bp GROUP BY score),
+c AS (SELECT *, sum(p) OVER w AS cum_p, sum(p) OVER () AS pos_total, sum(n) OVER () AS neg_total
+      FROM g WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+auc AS (SELECT round(coalesce(sum(n * (cum_p - p / 2.0e0)) / nullif(max(pos_total) * 1.0e0 * max(neg_total), 0), 0), 4)
+          AS a FROM c)
+SELECT * FROM mc
+UNION ALL
+SELECT 'rule_binary', 'Spark MLlib', 'Binary', round(round(avg(CASE WHEN bl = pb THEN 1.0e0 ELSE 0.0e0 END), 6), 4),
+  NULL, NULL, NULL, (SELECT a FROM auc) FROM bp"""
+
+ORACLE_SQL["r03_business_insights"] = ORACLE_SQL["a04_prediction_insights"]
+ORACLE_SQL["a06_best_by"] = ORACLE_SQL["m14_best_model"]

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sevlens.operators import aggregate, enrich, evaluate, profile, sampling, transform, validate
+from sevlens.operators import (aggregate, enrich, evaluate, profile, reports, sampling, transform,
+                               validate, windows)
+from sevlens.sources import files
 from sevlens.plans import incidents as inc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -326,3 +328,140 @@ def j03(spark, base_dir):
 @register("a04_prediction_insights")
 def a04(spark, base_dir):
     return aggregate.prediction_insights(_preds(spark, base_dir), "label", "pred_a")
+
+
+# ---- sources and sinks (write to the shared scratch folder, read back) ----------------
+
+def _scratch(spark, name):
+    from sevlens.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@register("s01_csv_roundtrip")
+def s01(spark, base_dir):
+    raw = inc.raw_incidents(spark, base_dir)
+    path = files.write_csv(raw, _scratch(spark, "incidents-csv"))
+    return files.read_csv(spark, path, raw.schema)
+
+
+@register("s02_corrupt_records")
+def s02(spark, base_dir):
+    from pyspark.sql import types as T
+    src = inc.raw_incidents(spark, base_dir).select(
+        "ID", F.when(F.col("ID") % 97 == 0, F.lit("n/a"))
+        .otherwise(F.col("Severity").cast("string")).alias("Severity"), "Distance_mi")
+    path = files.write_csv(src, _scratch(spark, "corrupt-csv"))
+    schema = T.StructType([T.StructField("ID", T.LongType()), T.StructField("Severity", T.IntegerType()),
+                           T.StructField("Distance_mi", T.DoubleType())])
+    good, bad = files.split_corrupt(files.read_csv_with_corrupt(spark, path, schema))
+    return (good.withColumn("corrupt", F.lit(False))
+            .unionByName(bad.drop(files.CORRUPT_COLUMN).withColumn("corrupt", F.lit(True))))
+
+
+def _partitioned(spark, base_dir):
+    enriched = inc.enriched_incidents(spark, base_dir)
+    path = files.write_partitioned(enriched, _scratch(spark, "incidents-by-state"), "State")
+    return enriched, path
+
+
+@register("s03_partitioned_write")
+def s03(spark, base_dir):
+    _, path = _partitioned(spark, base_dir)
+    return spark.read.parquet(path)
+
+
+@register("s05_verify_write")
+def s05(spark, base_dir):
+    enriched, path = _partitioned(spark, base_dir)
+    return files.verify_write(spark, path, enriched, "State")
+
+
+@register("s08_write_splits")
+def s08(spark, base_dir):
+    parts = sampling.split(inc.raw_incidents(spark, base_dir))
+    paths = files.write_splits(parts, _scratch(spark, "splits"))
+    return evaluate_union([spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows"))
+                           .select(F.lit(n).alias("split"), "rows") for n, p in paths.items()])
+
+
+def evaluate_union(dfs):
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+@register("s09_export_csv")
+def s09(spark, base_dir):
+    dist = profile.class_distribution(inc.raw_incidents(spark, base_dir), "Severity")
+    path = files.export_csv(dist, _scratch(spark, "class-distribution-csv"))
+    return files.read_csv(spark, path, dist.schema)
+
+
+def _stages(spark, base_dir):
+    raw = inc.raw_incidents(spark, base_dir)
+    enriched = inc.enriched_incidents(spark, base_dir)
+    path = files.write_partitioned(enriched, _scratch(spark, "lineage-parquet"), "State")
+    return [("Ingestion", "events+customer+nation", "Parquet", raw),
+            ("Validation", "incidents", "DF", raw),
+            ("Repartition", "incidents", "DF", sampling.repartition_by(raw, 10, "State")),
+            ("Enrichment", "incidents+state_lookup", "DF", enriched),
+            ("Parquet", "incidents_by_state", "Parquet", spark.read.parquet(path))]
+
+
+@register("s11_lineage")
+def s11(spark, base_dir):
+    return reports.lineage(_stages(spark, base_dir))
+
+
+@register("s12_metrics_json")
+def s12(spark, base_dir):
+    metrics = evaluate.evaluate_all(_preds(spark, base_dir), MODELS)
+    path = files.write_metrics(metrics, _scratch(spark, "metrics-json"))
+    return files.read_metrics(spark, path, metrics.schema)
+
+
+# ---- windows ---------------------------------------------------------------------
+
+@register("w03_top_states_ranked")
+def w03(spark, base_dir):
+    counts = profile.class_distribution(inc.raw_incidents(spark, base_dir), "State")
+    return windows.rank_top_n(counts, "count", 5, tie_col="State")
+
+
+@register("w04_hourly_vs_first_hour")
+def w04(spark, base_dir):
+    raw = inc.raw_incidents(spark, base_dir)
+    counts = raw.groupBy("Severity", F.hour("Start_Time").alias("Hour")).agg(
+        F.count(F.lit(1)).alias("count"))
+    out = windows.baseline_relative(counts, "Severity", "Hour", "count")
+    return out.withColumn("relative", F.round("relative", 6))
+
+
+@register("w05_union_reports")
+def w05(spark, base_dir):
+    raw = inc.raw_incidents(spark, base_dir)
+    return windows.union_reports(validate.null_report(raw), profile.missing_report(raw))
+
+
+# ---- reports ---------------------------------------------------------------------
+
+@register("r01_pipeline_quality")
+def r01(spark, base_dir):
+    return reports.pipeline_quality(_stages(spark, base_dir))
+
+
+@register("r01_pipeline_quality_measured")
+def r01m(spark, base_dir):
+    return reports.pipeline_quality(_stages(spark, base_dir), measure=True)
+
+
+@register("r02_model_performance")
+def r02(spark, base_dir):
+    p = transform.binary_label(_preds(spark, base_dir))
+    p = p.withColumn("pred_bin", F.when(F.col("pred_a") >= 2, 1.0).otherwise(0.0))
+    return reports.model_performance(p, MODELS, {"rule_binary": ("pred_bin", "score")})
+
+
+REGISTRY["r03_business_insights"] = REGISTRY["a04_prediction_insights"]
+REGISTRY["a06_best_by"] = REGISTRY["m14_best_model"]
