@@ -454,3 +454,43 @@ SELECT 'rule_binary', 'Spark MLlib', 'Binary', round(round(avg(CASE WHEN bl = pb
 
 ORACLE_SQL["r03_business_insights"] = ORACLE_SQL["a04_prediction_insights"]
 ORACLE_SQL["a06_best_by"] = ORACLE_SQL["m14_best_model"]
+
+# ---- ML feature pipeline ------------------------------------------------------------
+
+_IMPUTE = NUMERIC + ("Duration_Min",)
+ORACLE_SQL["f01_median_impute"] = FEAT + "SELECT ID, " + ", ".join(
+    f"coalesce({c}, (SELECT quantile_disc({c}, 0.5) FROM featured)) AS {c}_imp" for c in _IMPUTE) + " FROM featured"
+
+_FILL = (("Weather_Condition", "Unknown"), ("Wind_Direction", "Calm"), ("Sunrise_Sunset", "Day"),
+         ("Civil_Twilight", "Day"), ("Timezone", "US/Eastern"), ("Region", "Unknown"),
+         ("Climate_Zone", "Unknown"))
+FILLED = ("\n, filled AS (SELECT * REPLACE (" + ", ".join(f"coalesce({c}, '{v}') AS {c}" for c, v in _FILL)
+          + ") FROM featured)\n")
+ORACLE_SQL["f02_constant_fill"] = FEAT + FILLED + "SELECT ID, " + ", ".join(c for c, _ in _FILL) + " FROM filled"
+
+_INDEX = ("Wind_Direction", "Weather_Condition", "Sunrise_Sunset", "Timezone", "Region", "Climate_Zone")
+INDEXES = "".join(
+    f", ix_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS i, "
+    f"count(*) OVER () AS k FROM (SELECT {c} AS v, count(*) AS n FROM filled GROUP BY 1))\n" for c in _INDEX)
+_JOIN_IX = " ".join(f"JOIN ix_{c} ON filled.{c} = ix_{c}.v" for c in _INDEX)
+ORACLE_SQL["f03_string_index"] = FEAT + FILLED + INDEXES + "SELECT filled.ID, " + ", ".join(
+    f"ix_{c}.i AS {c}_idx" for c in _INDEX) + f" FROM filled {_JOIN_IX}"
+
+_OHE = ("Sunrise_Sunset", "Timezone", "Region", "Climate_Zone")
+ORACLE_SQL["f04_one_hot"] = FEAT + FILLED + INDEXES + "SELECT filled.ID, " + ", ".join(
+    f"list_transform(range(ix_{c}.k), lambda x: CASE WHEN ix_{c}.i = x THEN 1.0e0 ELSE 0.0e0 END) AS {c}_ohe"
+    for c in _OHE) + f" FROM filled {_JOIN_IX}"
+
+_ENG = ("Hour", "DayOfWeek", "Month", "Is_Peak_Hour", "Is_Weekend", "Temp_Risk", "Low_Visibility",
+        "Distance_Bucket", "Is_Night", "Infra_Risk_Score")
+ORACLE_SQL["f05_assemble"] = FEAT + "SELECT ID, [" + ", ".join(
+    [f"coalesce(CAST(CAST({c} AS INTEGER) AS DOUBLE), 0.0e0)" for c in _FLAGS]
+    + [f"CAST({c} AS DOUBLE)" for c in _ENG]) + "] AS raw_features FROM featured"
+
+ORACLE_SQL["f06_standard_scale"] = FEAT + "SELECT ID, [" + ", ".join(
+    f"round(coalesce((CAST({c} AS DOUBLE) - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0.0e0), 6)"
+    for c in _ENG) + "] AS scaled FROM featured"
+
+ORACLE_SQL["f09_clean_numeric"] = BASE + "SELECT ID, " + ", ".join(
+    f"coalesce(CASE WHEN abs(CAST({c} AS DOUBLE)) < CAST('inf' AS DOUBLE) THEN CAST({c} AS DOUBLE) END, 0.0e0) AS {c}"
+    for c in NUMERIC + ("Junction",)) + " FROM incidents"

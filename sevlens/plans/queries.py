@@ -16,6 +16,7 @@ from sevlens.operators import (aggregate, enrich, evaluate, profile, reports, sa
                                validate, windows)
 from sevlens.sources import files
 from sevlens.plans import incidents as inc
+from sevlens.plans import models
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -465,3 +466,195 @@ def r02(spark, base_dir):
 
 REGISTRY["r03_business_insights"] = REGISTRY["a04_prediction_insights"]
 REGISTRY["a06_best_by"] = REGISTRY["m14_best_model"]
+
+
+# ---- ML feature pipeline ---------------------------------------------------------------
+
+def _filled(spark, base_dir):
+    from sevlens.plans.pipeline import ConstantFill, IncidentFeatures
+    return ConstantFill().transform(IncidentFeatures().transform(inc.enriched_incidents(spark, base_dir)))
+
+
+def _indexed(spark, base_dir):
+    from pyspark.ml.feature import StringIndexer
+    from sevlens.plans.pipeline import INDEX_COLUMNS
+    df = _filled(spark, base_dir)
+    idx = StringIndexer(inputCols=list(INDEX_COLUMNS), outputCols=[f"{c}_idx" for c in INDEX_COLUMNS],
+                        handleInvalid="keep", stringOrderType="frequencyDesc").fit(df)
+    return idx.transform(df)
+
+
+@register("f01_median_impute")
+def f01(spark, base_dir):
+    from pyspark.ml.feature import Imputer
+    from sevlens.plans.pipeline import IMPUTE_COLUMNS, IMPUTE_RELATIVE_ERROR, IncidentFeatures
+    df = IncidentFeatures().transform(inc.enriched_incidents(spark, base_dir))
+    out = [f"{c}_imp" for c in IMPUTE_COLUMNS]
+    model = Imputer(strategy="median", relativeError=IMPUTE_RELATIVE_ERROR,
+                    inputCols=list(IMPUTE_COLUMNS), outputCols=out).fit(df)
+    return model.transform(df).select("ID", *out)
+
+
+@register("f02_constant_fill")
+def f02(spark, base_dir):
+    from sevlens.plans.pipeline import CATEGORY_FILL
+    return _filled(spark, base_dir).select("ID", *CATEGORY_FILL)
+
+
+@register("f03_string_index")
+def f03(spark, base_dir):
+    from sevlens.plans.pipeline import INDEX_COLUMNS
+    return _indexed(spark, base_dir).select("ID", *[f"{c}_idx" for c in INDEX_COLUMNS])
+
+
+@register("f04_one_hot")
+def f04(spark, base_dir):
+    from pyspark.ml.feature import OneHotEncoder
+    from pyspark.ml.functions import vector_to_array
+    from sevlens.plans.pipeline import ONE_HOT_COLUMNS
+    df = _indexed(spark, base_dir)
+    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in ONE_HOT_COLUMNS],
+                        outputCols=[f"{c}_ohe" for c in ONE_HOT_COLUMNS], dropLast=True).fit(df)
+    return ohe.transform(df).select("ID", *[vector_to_array(f"{c}_ohe").alias(f"{c}_ohe")
+                                            for c in ONE_HOT_COLUMNS])
+
+
+def _plain_assembled(spark, base_dir):
+    from pyspark.ml.feature import VectorAssembler
+    from sevlens.plans.pipeline import BOOL_COLUMNS, ENGINEERED_COLUMNS, CastColumns, CleanNumeric
+    cols = list(BOOL_COLUMNS) + list(ENGINEERED_COLUMNS)
+    df = CastColumns(inputCols=list(BOOL_COLUMNS)).transform(_filled(spark, base_dir))
+    df = CleanNumeric(inputCols=cols).transform(df)
+    return VectorAssembler(inputCols=cols, outputCol="raw_features", handleInvalid="keep").transform(df)
+
+
+@register("f05_assemble")
+def f05(spark, base_dir):
+    from pyspark.ml.functions import vector_to_array
+    return _plain_assembled(spark, base_dir).select("ID", vector_to_array("raw_features").alias("raw_features"))
+
+
+@register("f06_standard_scale")
+def f06(spark, base_dir):
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from sevlens.plans.pipeline import ENGINEERED_COLUMNS
+    df = VectorAssembler(inputCols=list(ENGINEERED_COLUMNS), outputCol="eng").transform(
+        featured(spark, base_dir))
+    scaled = StandardScaler(inputCol="eng", outputCol="scaled", withMean=True, withStd=True).fit(df).transform(df)
+    return scaled.select("ID", F.transform(vector_to_array("scaled"), lambda x: F.round(x, 6)).alias("scaled"))
+
+
+@register("f07_pipeline_features")
+def f07(spark, base_dir):
+    from pyspark.ml.functions import vector_to_array
+    _, frames = models.ready(spark, base_dir)
+    return evaluate_union([f.select("ID", "split", vector_to_array("features").alias("features"))
+                           for f in frames.values()])
+
+
+@register("f09_clean_numeric")
+def f09(spark, base_dir):
+    from sevlens.plans.pipeline import CleanNumeric
+    cols = list(inc.NUMERIC_COLUMNS) + ["Junction"]
+    df = inc.raw_incidents(spark, base_dir).select("ID", *cols)
+    return CleanNumeric(inputCols=cols).transform(df)
+
+
+@register("f10_slot_names")
+def f10(spark, base_dir):
+    _, frames = models.ready(spark, base_dir)
+    names = models.feature_names(frames)
+    return spark.createDataFrame(list(enumerate(names)), "slot int, name string")
+
+
+# ---- MLlib models (value checks live in tests/; rows-only here) ---------------------------
+
+def _test_predictions(spark, base_dir, name, label="label"):
+    _, frames = models.ready(spark, base_dir)
+    model, _ = models.fitted(spark, base_dir, name)
+    return model.transform(frames["test"]).select("ID", label, "prediction")
+
+
+@register("e01_logistic_regression")
+def e01(spark, base_dir):
+    return _test_predictions(spark, base_dir, "lr")
+
+
+@register("e02_random_forest")
+def e02(spark, base_dir):
+    return _test_predictions(spark, base_dir, "rf")
+
+
+@register("e03_gbt_binary")
+def e03(spark, base_dir):
+    return _test_predictions(spark, base_dir, "gbt", "binary_label")
+
+
+@register("e04_decision_tree")
+def e04(spark, base_dir):
+    model, _ = models.fitted(spark, base_dir, "dt")
+    return _test_predictions(spark, base_dir, "dt").withColumns(
+        {"tree_depth": F.lit(model.depth), "tree_nodes": F.lit(model.numNodes)})
+
+
+@register("e05_tune_rf")
+def e05(spark, base_dir):
+    _, frames = models.ready(spark, base_dir)
+    _, table = models.tune_rf(frames["train"])
+    return table
+
+
+@register("e07_feature_importances")
+def e07(spark, base_dir):
+    _, frames = models.ready(spark, base_dir)
+    model, _ = models.fitted(spark, base_dir, "rf")
+    return models.importances(model, models.feature_names(frames), 20)
+
+
+REGISTRY["r05_importance_table"] = REGISTRY["e07_feature_importances"]
+
+
+@register("e08_sample_vs_full")
+def e08(spark, base_dir):
+    _, frames = models.ready(spark, base_dir)
+    return models.sample_vs_full(frames["train"], frames["valid"])
+
+
+def _summary_rows(spark, base_dir):
+    _, frames = models.ready(spark, base_dir)
+    rows = []
+    for name, title in (("lr", "LR"), ("rf", "RF"), ("dt", "DT"), ("gbt", "GBT_Binary")):
+        model, secs = models.fitted(spark, base_dir, name)
+        preds = model.transform(frames["test"])
+        label = "binary_label" if name == "gbt" else "label"
+        m = models.evaluate_model(preds, "prediction", label)
+        auc = models.binary_auc(preds) if name == "gbt" else None
+        rows.append({"Model": title, "Train_Time_s": secs, "Test_Accuracy": m["accuracy"],
+                     "Test_F1": m["f1"], "Test_Precision": m["precision"], "Test_Recall": m["recall"],
+                     "AUC_ROC": auc})
+    return rows
+
+
+@register("e09_model_summary")
+def e09(spark, base_dir):
+    return models.model_summary(spark, _summary_rows(spark, base_dir))
+
+
+@register("r04_scalability")
+def r04(spark, base_dir):
+    from sevlens.plans import scaling
+    _, frames = models.ready(spark, base_dir)
+    train = frames["train"]
+    return reports.scalability(scaling.strong_scaling(train), scaling.weak_scaling(train))
+
+
+@register("r06_ci_table")
+def r06(spark, base_dir):
+    _, frames = models.ready(spark, base_dir)
+    scored = frames["test"].select("ID", "label", "features")
+    for name in ("lr", "rf", "dt"):
+        model, _ = models.fitted(spark, base_dir, name)
+        scored = models.score(model, scored, name).drop(f"{name}_probability", f"{name}_raw")
+    return evaluate.bootstrap_ci(scored, {"LR_MLlib": "lr_prediction", "RF_MLlib": "rf_prediction",
+                                          "DT_MLlib": "dt_prediction"}, replicates=500, seed=42)
