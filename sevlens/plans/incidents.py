@@ -86,9 +86,12 @@ def incident_columns() -> dict[str, Column]:
     return cols
 
 
-def raw_incidents(spark: SparkSession, base_dir: str) -> DataFrame:
-    """The raw incident table (the reference's ingested CSV), state attached."""
-    events = table(spark, base_dir, "events")
+def raw_incidents(spark: SparkSession, base_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """The raw incident table (the reference's ingested CSV), state attached.
+
+    ``events`` may be a streaming frame: the dimension joins are stream-static.
+    """
+    events = table(spark, base_dir, "events") if events is None else events
     customer = table(spark, base_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), "c_nationkey")
     nation = table(spark, base_dir, "nation").select(

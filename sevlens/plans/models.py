@@ -138,19 +138,27 @@ def binary_auc(preds: DataFrame, label: str = "binary_label",
 
 def sample_vs_full(train: DataFrame, valid: DataFrame, n: int = 100_000) -> DataFrame:
     """The same estimators fitted on a capped hash sample and on all training rows."""
+    from sevlens.operators.enrich import has_at_most
     rows = []
-    sample = sampling.sample_cap(train, n, "ID").persist(StorageLevel.MEMORY_AND_DISK)
+    # When the training split has at most n rows the capped sample *is* the
+    # split: fit once and report it for both sizes (same rows, same seeds).
+    whole = has_at_most(train, n)
+    sample = train if whole else sampling.sample_cap(train, n, "ID").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for name, fit, label in (("LR", fit_lr, "label"), ("RF", fit_rf, "label"),
                                  ("GBT", fit_gbt, "binary_label")):
+            done = None
             for size_name, frame in ((f"sample_{n}", sample), ("full", train)):
-                t0 = time.time()
-                model = fit(frame)
-                secs = time.time() - t0
-                m = evaluate_model(model.transform(valid), "prediction", label)
-                rows.append((name, size_name, round(secs, 3), m["accuracy"], m["f1"]))
+                if done is None or not whole:
+                    t0 = time.time()
+                    model = fit(frame)
+                    secs = time.time() - t0
+                    m = evaluate_model(model.transform(valid), "prediction", label)
+                    done = (round(secs, 3), m["accuracy"], m["f1"])
+                rows.append((name, size_name) + done)
     finally:
-        sample.unpersist()
+        if not whole:
+            sample.unpersist()
     return train.sparkSession.createDataFrame(
         rows, "Model string, Sample_Size string, Train_Time_s double, Val_Accuracy double, Val_F1 double")
 
