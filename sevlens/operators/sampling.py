@@ -27,10 +27,31 @@ def sample_fraction(df: DataFrame, fraction: float, id_col: str = "ID", seed=SEE
     return df.where(unit_hash(id_col, seed) < F.lit(float(fraction)))
 
 
+CAP_MARGIN = 1.1
+
+
 def sample_cap(df: DataFrame, n: int, id_col: str = "ID", seed=SEED) -> DataFrame:
-    """At most n rows: the n smallest id hashes (TakeOrderedAndProject, n rows per task)."""
-    return (df.withColumn("__h", unit_hash(id_col, seed))
-            .orderBy("__h", id_col).limit(n).drop("__h"))
+    """At most n rows: exactly the n smallest id hashes.
+
+    A plain ``orderBy(hash).limit(n)`` keeps n rows per task and merges
+    tasks x n rows in one task.  Instead the rows are first thinned by a hash
+    threshold just above n / count (a distributed filter, as the reference's
+    fraction = n / count), and only the ~1.1 n survivors are ordered.  Every
+    row below the threshold has a smaller hash than every row above it, so the
+    result is exact; the threshold grows in the (improbable) case that fewer
+    than n rows pass.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    h = unit_hash(id_col, seed)
+    frac = min(1.0, CAP_MARGIN * n / total)
+    while True:
+        cand = df.where(h < F.lit(frac))
+        if frac >= 1.0 or cand.count() >= n:
+            break
+        frac = min(1.0, frac * 1.5)
+    return cand.withColumn("__h", h).orderBy("__h", id_col).limit(n).drop("__h")
 
 
 def assign_split(df: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,

@@ -61,21 +61,28 @@ def rank_top_n(df: DataFrame, value_col: str, n: int, tie_col: str | None = None
                rank_col: str = "Rank", by: Sequence[str] = ()) -> DataFrame:
     """Keep the n largest values (per group ``by``) with Rank 1..n.
 
-    Without ``by`` the input must be small (e.g. one row per feature); with
-    ``by`` Spark runs a per-group top-n (WindowGroupLimit) before the window.
+    Without ``by`` the top n are taken first (TakeOrderedAndProject: n rows per
+    task) and only those n rows are numbered; with ``by`` Spark inserts a
+    per-group top-n (WindowGroupLimit) below the window.
     """
     order = [F.desc(value_col)] + ([F.asc(tie_col)] if tie_col else [])
+    if not by:
+        df = df.orderBy(*order).limit(n)
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
 def baseline_relative(df: DataFrame, group: Sequence[str] | str, order_col: str, value_col: str,
                       out: str = "relative") -> DataFrame:
-    """value / value of the first row (smallest ``order_col``) of its group."""
+    """value / value of the first row (smallest ``order_col``) of its group.
+
+    The baseline of each group comes from a partial aggregate (``min_by``), joined
+    back on the group key, so no group is ever gathered into one task.
+    """
     group = [group] if isinstance(group, str) else list(group)
-    w = Window.partitionBy(*group).orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    return df.withColumn(out, F.try_divide(F.col(value_col), F.first(value_col).over(w)))
+    firsts = df.groupBy(*group).agg(F.min_by(value_col, order_col).alias("__first"))
+    return (df.join(broadcast_if_bounded(firsts), group, "left")
+            .withColumn(out, F.try_divide(F.col(value_col), F.col("__first"))).drop("__first"))
 
 
 def union_reports(*dfs: DataFrame) -> DataFrame:

@@ -494,3 +494,19 @@ ORACLE_SQL["f06_standard_scale"] = FEAT + "SELECT ID, [" + ", ".join(
 ORACLE_SQL["f09_clean_numeric"] = BASE + "SELECT ID, " + ", ".join(
     f"coalesce(CASE WHEN abs(CAST({c} AS DOUBLE)) < CAST('inf' AS DOUBLE) THEN CAST({c} AS DOUBLE) END, 0.0e0) AS {c}"
     for c in NUMERIC + ("Junction",)) + " FROM incidents"
+
+_BOX = "(Start_Lat < 24.0 OR Start_Lat > 72.0 OR Start_Lng < -170.0 OR Start_Lng > -66.0)"
+ORACLE_SQL["v00_ingest_report"] = BASE + ", t AS (SELECT count(*) AS n, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in _CRIT) + f""",
+  count(*) FILTER (WHERE NOT Severity IN (1, 2, 3, 4)) AS dom, count(*) FILTER (WHERE {_BOX}) AS box
+  FROM incidents)
+""" + "\nUNION ALL\n".join(
+    f"SELECT 'nulls' AS \"check\", '{c}' AS \"column\", null_{c} AS count, "
+    f"round(null_{c} * 100.0e0 / n, 4) AS pct, "
+    f"CASE WHEN round(null_{c} * 100.0e0 / n, 4) < 5.0 THEN 'PASS' ELSE 'WARN' END AS status FROM t"
+    for c in _CRIT) + """
+UNION ALL SELECT 'domain', 'Severity', dom, round(dom * 100.0e0 / n, 4),
+  CASE WHEN dom = 0 THEN 'PASS' ELSE 'FAIL' END FROM t
+UNION ALL SELECT 'bounds', 'Start_Lat,Start_Lng', box, round(box * 100.0e0 / n, 4),
+  CASE WHEN box < n * 0.01e0 THEN 'PASS' ELSE 'WARN' END FROM t
+UNION ALL SELECT 'rows', '*', n, 100.0e0, CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END FROM t"""

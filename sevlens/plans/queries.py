@@ -57,6 +57,11 @@ def s07(spark, base_dir):
 
 # ---- validation / profiling ------------------------------------------------
 
+@register("v00_ingest_report")
+def v00(spark, base_dir):
+    return validate.ingest_report(inc.raw_incidents(spark, base_dir))
+
+
 @register("v01_shape")
 def v01(spark, base_dir):
     return validate.shape(inc.raw_incidents(spark, base_dir))
