@@ -95,9 +95,18 @@ def split_summary(df: DataFrame, split_col: str = "split") -> DataFrame:
     return counts.withColumn("share", F.round(F.col("rows") / total, 6)).orderBy(split_col)
 
 
-def repartition_by(df: DataFrame, n: int, *cols: str) -> DataFrame:
-    """Hash repartition into n on the given columns (one key -> one task)."""
-    return df.repartition(n, *cols)
+def repartition_by(df: DataFrame, n: int, *cols: str, spread: int = 1) -> DataFrame:
+    """Hash repartition into n on the given columns.
+
+    ``spread=1`` is the plain form (one key -> one task).  With ``spread=k`` each
+    key is salted over k tasks by a hash of the whole row, so a key holding a
+    third of all rows is cut into k pieces; the salt is deterministic, so a
+    recomputed task after executor loss sends every row to the same place.
+    """
+    if spread <= 1:
+        return df.repartition(n, *cols)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
+    return df.repartition(n, *cols, salt)
 
 
 def round_robin(df: DataFrame, n: int) -> DataFrame:

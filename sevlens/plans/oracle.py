@@ -510,3 +510,6 @@ UNION ALL SELECT 'domain', 'Severity', dom, round(dom * 100.0e0 / n, 4),
 UNION ALL SELECT 'bounds', 'Start_Lat,Start_Lng', box, round(box * 100.0e0 / n, 4),
   CASE WHEN box < n * 0.01e0 THEN 'PASS' ELSE 'WARN' END FROM t
 UNION ALL SELECT 'rows', '*', n, 100.0e0, CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END FROM t"""
+
+ORACLE_SQL["p01_model_columns"] = ENR + """
+SELECT ID, CAST(Severity - 1 AS DOUBLE) AS label, Start_Time, State, Severity, Region, Climate_Zone FROM enriched"""

@@ -160,6 +160,12 @@ def j01(spark, base_dir):
 
 # ---- projections -------------------------------------------------------------
 
+@register("p01_model_columns")
+def p01(spark, base_dir):
+    df = transform.label_from_severity(inc.enriched_incidents(spark, base_dir))
+    return transform.select_model_columns(df)
+
+
 @register("p03_bools_to_int")
 def p03(spark, base_dir):
     df = inc.raw_incidents(spark, base_dir)
@@ -211,7 +217,7 @@ def g05(spark, base_dir):
 
 @register("g06_repartition_by_state")
 def g06(spark, base_dir):
-    return sampling.repartition_by(inc.raw_incidents(spark, base_dir), 10, "State")
+    return sampling.repartition_by(inc.raw_incidents(spark, base_dir), 10, "State", spread=4)
 
 
 @register("g07_round_robin")
@@ -410,7 +416,7 @@ def _stages(spark, base_dir):
     path = files.write_partitioned(enriched, _scratch(spark, "lineage-parquet"), "State")
     return [("Ingestion", "events+customer+nation", "Parquet", raw),
             ("Validation", "incidents", "DF", raw),
-            ("Repartition", "incidents", "DF", sampling.repartition_by(raw, 10, "State")),
+            ("Repartition", "incidents", "DF", sampling.repartition_by(raw, 10, "State", spread=4)),
             ("Enrichment", "incidents+state_lookup", "DF", enriched),
             ("Parquet", "incidents_by_state", "Parquet", spark.read.parquet(path))]
 

@@ -58,3 +58,11 @@ def test_cached_unpersists(spark):
     with sampling.cached(df) as c:
         assert c.count() == 100 and c.is_cached
     assert not df.is_cached
+
+
+def test_salted_repartition_spreads_a_hot_key(spark):
+    hot = spark.range(30_000).select(F.col("id").alias("ID"), F.lit("HOT").alias("State"))
+    plain = sampling.partition_stats(sampling.repartition_by(hot, 8, "State")).first()
+    salted = sampling.partition_stats(sampling.repartition_by(hot, 8, "State", spread=8)).first()
+    assert plain.max_rows == 30_000
+    assert salted.max_rows < 30_000 and salted.rows == 30_000
