@@ -146,8 +146,13 @@ def binary_auc(preds: DataFrame, label: str = "binary_label",
     return evaluate.roc_auc(g).first()["auc"]
 
 
-def sample_vs_full(train: DataFrame, valid: DataFrame, n: int = 100_000) -> DataFrame:
-    """The same estimators fitted on a capped hash sample and on all training rows."""
+def sample_vs_full(train: DataFrame, valid: DataFrame, n: int = 100_000,
+                   full_fits: Mapping | None = None) -> DataFrame:
+    """The same estimators fitted on a capped hash sample and on all training rows.
+
+    ``full_fits`` optionally maps "LR" / "RF" / "GBT" to an already fitted
+    (model, seconds) on ``train``, so the full-data fits are not repeated.
+    """
     from sevlens.operators.enrich import has_at_most
     rows = []
     # When the training split has at most n rows the capped sample *is* the
@@ -160,9 +165,13 @@ def sample_vs_full(train: DataFrame, valid: DataFrame, n: int = 100_000) -> Data
             done = None
             for size_name, frame in ((f"sample_{n}", sample), ("full", train)):
                 if done is None or not whole:
-                    t0 = time.time()
-                    model = fit(frame)
-                    secs = time.time() - t0
+                    prefit = (full_fits or {}).get(name) if (size_name == "full" or whole) else None
+                    if prefit is not None:
+                        model, secs = prefit
+                    else:
+                        t0 = time.time()
+                        model = fit(frame)
+                        secs = time.time() - t0
                     m = evaluate_model(model.transform(valid), "prediction", label)
                     done = (round(secs, 3), m["accuracy"], m["f1"])
                 rows.append((name, size_name) + done)

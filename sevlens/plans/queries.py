@@ -629,7 +629,8 @@ REGISTRY["r05_importance_table"] = REGISTRY["e07_feature_importances"]
 @register("e08_sample_vs_full")
 def e08(spark, base_dir):
     _, frames = models.ready(spark, base_dir)
-    return models.sample_vs_full(frames["train"], frames["valid"])
+    full = {k: models.fitted(spark, base_dir, v) for k, v in (("LR", "lr"), ("RF", "rf"), ("GBT", "gbt"))}
+    return models.sample_vs_full(frames["train"], frames["valid"], full_fits=full)
 
 
 def _summary_rows(spark, base_dir):
