@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sevlens.operators.windows import running_sums
+from sevlens.session import materialize
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -46,7 +47,7 @@ def pair_counts(preds: DataFrame, label: str = "label", prediction: str = "predi
 
 def confusion(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """K x K confusion matrix in long form, zero cells included, K = classes seen in either column."""
-    counts = pair_counts(preds, label, prediction)
+    counts = materialize(pair_counts(preds, label, prediction))    # K x K rows, read twice below
     classes = counts.select(F.explode(F.array("label", "prediction")).alias("c")).distinct()
     all_classes = classes.agg(F.sort_array(F.collect_list("c"))).scalar()
     grid = classes.select(F.col("c").alias("label"), F.explode(all_classes).alias("prediction"))
@@ -153,9 +154,12 @@ def score_groups(preds: DataFrame, scores: Mapping, label: str = "label",
                                 F.col(col).cast("double").alias("score"),
                                 F.when(pos, 1).otherwise(0).alias("pos")))
     stacked = preds.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
-    return (stacked.groupBy("class", "score")
-            .agg(F.sum("pos").cast("bigint").alias("p"),
-                 F.sum(1 - F.col("pos")).cast("bigint").alias("n")))
+    groups = (stacked.groupBy("class", "score")
+              .agg(F.sum("pos").cast("bigint").alias("p"),
+                   F.sum(1 - F.col("pos")).cast("bigint").alias("n")))
+    # Read four times (size, range bounds, class totals, the sums themselves):
+    # scan and aggregate the predictions once.
+    return materialize(groups)
 
 
 def _cumulated(groups: DataFrame) -> DataFrame:

@@ -58,3 +58,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/sevlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and read it from there.
+
+    Used for small aggregated tables that several later steps read: the input
+    is scanned once, the lineage is cut, and a lost executor costs a re-read of
+    the checkpoint files, not a recomputation (never ``localCheckpoint``).
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
