@@ -117,9 +117,7 @@ ORACLE_SQL["s04_parquet_scan"] = BASE + "SELECT * FROM incidents"
 ORACLE_SQL["s07_state_lookup"] = with_ctes(LOOKUP) + "SELECT * FROM lookup"
 
 ORACLE_SQL["v01_shape"] = BASE + """
-SELECT count(*) AS rows, 33 AS columns FROM incidents"""
-# Spark returns an INTEGER literal for the column count.
-ORACLE_SQL["v01_shape"] = ORACLE_SQL["v01_shape"].replace("33 AS columns", "CAST(33 AS INTEGER) AS columns")
+SELECT count(*) AS rows, CAST(33 AS INTEGER) AS columns FROM incidents"""
 
 _CRIT = ("Severity", "Start_Time", "Start_Lat", "Start_Lng", "State")
 ORACLE_SQL["v02_null_report"] = BASE + "SELECT * FROM (" + _union_long(
