@@ -105,18 +105,24 @@ def evaluate_all(preds: DataFrame, models: Mapping[str, str], label: str = "labe
     One Generate stacks the models, one aggregate counts (model, label, prediction).
     """
     counts = pair_counts(stack_models(preds, models, label), "label", "prediction", ["model"])
-    t = _class_table(counts, ["model"])
-    per = t.select("model", "support", "tp",
+    res = _weighted_metrics(counts, ["model"])
+    return res.withColumns({m: F.round(m, digits) for m in ("accuracy", "f1", "precision", "recall")})
+
+
+def _weighted_metrics(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., accuracy, f1, precision, recall) from (by..., label, prediction, count)."""
+    by = list(by)
+    t = _class_table(counts, by)
+    per = t.select(*by, "support", "tp",
                    _ratio(F.col("tp"), F.col("predicted")).alias("p"),
                    _ratio(F.col("tp"), F.col("support")).alias("r"),
                    _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f"))
     n = F.sum("support")
-    res = per.groupBy("model").agg(
+    return per.groupBy(*by).agg(
         _ratio(F.sum("tp"), n).alias("accuracy"),
         _ratio(F.sum(F.col("f") * F.col("support")), n).alias("f1"),
         _ratio(F.sum(F.col("p") * F.col("support")), n).alias("precision"),
         _ratio(F.sum(F.col("r") * F.col("support")), n).alias("recall"))
-    return res.withColumns({m: F.round(m, digits) for m in ("accuracy", "f1", "precision", "recall")})
 
 
 def accuracy(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -275,3 +281,40 @@ def _poisson_accuracy(seed: pd.Series, model_key: pd.Series, rep: pd.Series,
         w = rng.poisson(float(n_wrong.iat[i]))
         out[i] = c / (c + w) if (c + w) > 0 else np.nan
     return pd.Series(out)
+
+
+def bootstrap_metric_ci(preds: DataFrame, models: Mapping[str, str], metric: str = "f1",
+                        label: str = "label", replicates: int = 500, ci: float = 0.95,
+                        seed: int = 42, digits: int = 4) -> DataFrame:
+    """Percentile bootstrap CI of any confusion-matrix metric (accuracy, weighted
+    f1 / precision / recall) per model, without materialising rows x replicates.
+
+    Resampling rows with Poisson(1) weights makes each confusion cell's count a
+    Poisson draw with the cell's count as mean, independently across cells.  So
+    the data is reduced once to (model, label, prediction) counts and every
+    replicate redraws those K x K cells; the metrics are then the same grouped
+    aggregates as ``evaluate_all``, keyed by (model, replicate).
+    """
+    counts = pair_counts(stack_models(preds, models, label), "label", "prediction", ["model"])
+    reps = counts.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
+    drawn = reps.withColumn("count", _poisson_count(
+        F.lit(seed), F.xxhash64("model", "label", "prediction"), F.col("replicate"), F.col("count")))
+    per_rep = _weighted_metrics(drawn, ["model", "replicate"])
+    alpha = (1.0 - ci) / 2.0
+    q = F.percentile(F.col(metric), F.array(F.lit(alpha), F.lit(1.0 - alpha)))
+    res = per_rep.groupBy("model").agg(F.avg(metric).alias("mean"), q.alias("__q"))
+    return res.select(
+        F.col("model").alias("Model"), F.lit(metric).alias("Metric"),
+        F.round("mean", digits).alias("Mean"),
+        F.round(F.col("__q")[0], digits).alias("CI_Lower"),
+        F.round(F.col("__q")[1], digits).alias("CI_Upper"),
+        F.round(F.col("__q")[1] - F.col("__q")[0], digits).alias("CI_Width"))
+
+
+@F.pandas_udf(T.LongType())
+def _poisson_count(seed: pd.Series, cell_key: pd.Series, rep: pd.Series, count: pd.Series) -> pd.Series:
+    out = np.empty(len(rep), dtype=np.int64)
+    for i in range(len(rep)):
+        rng = np.random.default_rng([int(seed.iat[i]), int(cell_key.iat[i]) & 0xFFFFFFFF, int(rep.iat[i])])
+        out[i] = rng.poisson(float(count.iat[i]))
+    return pd.Series(out)

@@ -310,6 +310,11 @@ def m12(spark, base_dir):
     return evaluate.bootstrap_ci(_preds(spark, base_dir), MODELS, replicates=500, seed=42)
 
 
+@register("m12_bootstrap_f1_ci")
+def m12f(spark, base_dir):
+    return evaluate.bootstrap_metric_ci(_preds(spark, base_dir), MODELS, "f1", replicates=500, seed=42)
+
+
 @register("m13_mcnemar_table")
 def m13(spark, base_dir):
     return evaluate.mcnemar(_preds(spark, base_dir), "pred_a", "pred_b").drop("p_value", "significant")

@@ -93,3 +93,12 @@ def test_bootstrap_ci_brackets_accuracy(preds):
 def test_best_by(spark):
     df = spark.createDataFrame([("x", 0.5), ("y", 0.7), ("a", 0.7)], "model string, f1 double")
     assert tuple(evaluate.best_by(df).first()) == ("a", 0.7)
+
+
+def test_bootstrap_metric_ci_brackets_f1(preds):
+    f1 = evaluate.evaluate_all(preds, {"a": "pred_a"}).first().f1
+    r = evaluate.bootstrap_metric_ci(preds, {"a": "pred_a"}, "f1", replicates=300, seed=3).first()
+    assert r.CI_Lower <= f1 <= r.CI_Upper and abs(r.Mean - f1) < 0.02
+    acc = evaluate.bootstrap_metric_ci(preds, {"a": "pred_a"}, "accuracy", replicates=300, seed=3).first()
+    base = evaluate.bootstrap_ci(preds, {"a": "pred_a"}, replicates=300, seed=3).first()
+    assert abs(acc.CI_Width - base.CI_Width) < 0.03       # two exact-in-distribution routes agree
