@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it provably holds at most this many rows.
+# A dimension is broadcast only when it provably holds at most this many rows
+# and at most this many bytes (rows x the schema's fixed row width estimate).
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -16,10 +18,34 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a bounded row check; otherwise leave the choice to
-    Catalyst / AQE (sort-merge join, converted at runtime if it turns out small)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+# Per-value size estimates (the same figures Spark's planner uses for these types).
+_TYPE_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4,
+               "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 20}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema; nested / unknown types count 64 bytes."""
+    return max(1, sum(_TYPE_BYTES.get(f.dataType.simpleString(), 64) for f in df.schema.fields))
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                         max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint behind a bounded size check; otherwise leave the choice to
+    Catalyst / AQE (sort-merge join, converted at runtime if it turns out small).
+
+    The check reads at most ``limit + 1`` rows, so proving the bound costs the
+    same whether the side is tiny or huge.
+    """
+    limit = min(max_rows, max_bytes // row_width(df))
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), limit)
+    if key not in _BOUNDED:
+        _BOUNDED[key] = has_at_most(df, limit)
+    return F.broadcast(df) if _BOUNDED[key] else df
+
+
+# Bound checks are remembered per application and logical plan: the same
+# dimension scan is proven once, not once per query that joins it.
+_BOUNDED: dict = {}
 
 
 def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",

@@ -97,7 +97,7 @@ def raw_incidents(spark: SparkSession, base_dir: str, events: DataFrame | None =
     nation = table(spark, base_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("State"))
     located = (events.join(broadcast_if_bounded(customer), "user_id", "left")
-               .join(F.broadcast(nation), "c_nationkey", "left"))   # nation: 25 rows by definition
+               .join(broadcast_if_bounded(nation), "c_nationkey", "left"))
     cols = incident_columns()
     ordered = [cols["ID"].alias("ID")] + [c.alias(n) for n, c in cols.items() if n != "ID"]
     ordered.insert(4, F.col("State"))
@@ -108,7 +108,7 @@ def state_lookup(spark: SparkSession, base_dir: str) -> DataFrame:
     """(State, Region, Climate_Zone) dimension from nation x region."""
     nation = table(spark, base_dir, "nation")
     region = table(spark, base_dir, "region")
-    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    return (nation.join(broadcast_if_bounded(region), nation.n_regionkey == region.r_regionkey)
             .where(F.col("r_name") != UNMATCHED_REGION)
             .select(F.col("n_name").alias("State"), F.col("r_name").alias("Region"),
                     F.concat(F.lit("Zone_"), (F.col("n_nationkey") % 4).cast("string"))
