@@ -49,7 +49,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="sevlens-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        configured = tempfile.mkdtemp(prefix="sevlens-ckpt-")   # local runs / tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
