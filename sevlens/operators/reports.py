@@ -109,3 +109,15 @@ def scalability(strong: DataFrame, weak: DataFrame) -> DataFrame:
     both = union_reports(strong.withColumn("Scaling_Type", F.lit("Strong")),
                          weak.withColumn("Scaling_Type", F.lit("Weak")))
     return cost(efficiency(both))
+
+
+def business_insights(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Per (State, Hour, Month, Predicted_Severity) counts, correct ones and accuracy."""
+    from sevlens.operators.aggregate import prediction_insights
+    return prediction_insights(preds, label, prediction)
+
+
+def ci_table(preds: DataFrame, models, label: str = "label", replicates: int = 500,
+             seed: int = 42) -> DataFrame:
+    """Bootstrap accuracy intervals per model (Model, Mean_Accuracy, CI_Lower, CI_Upper, CI_Width)."""
+    return evaluate.bootstrap_ci(preds, models, label, replicates=replicates, seed=seed)

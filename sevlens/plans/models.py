@@ -125,6 +125,11 @@ def importances(model, names: list[str], n: int = 20) -> DataFrame:
     return rank_top_n(df, "Importance", n, tie_col="Feature_Index", rank_col="Rank")
 
 
+def importance_table(model, names: list[str], n: int = 20) -> DataFrame:
+    """The ranked importance table (alias of ``importances``)."""
+    return importances(model, names, n)
+
+
 def _session_of(model):
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession()

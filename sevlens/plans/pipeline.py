@@ -140,31 +140,46 @@ def feature_columns() -> list[str]:
             + list(ENGINEERED_COLUMNS))
 
 
+def median_imputer(cols: Sequence[str] = IMPUTE_COLUMNS,
+                   relative_error: float = IMPUTE_RELATIVE_ERROR) -> Imputer:
+    """median imputation to ``<c>_imp`` (null and NaN are both missing)."""
+    return Imputer(strategy="median", relativeError=relative_error, inputCols=list(cols),
+                   outputCols=[f"{c}_imp" for c in cols])
+
+
+def string_indexers(cols: Sequence[str] = INDEX_COLUMNS) -> StringIndexer:
+    """one multi-column indexer (all label tables from a single pass), most
+    frequent value first, ties alphabetical; unseen / null -> the extra index n."""
+    return StringIndexer(inputCols=list(cols), outputCols=[f"{c}_idx" for c in cols],
+                         handleInvalid="keep", stringOrderType="frequencyDesc")
+
+
+def one_hot(cols: Sequence[str] = ONE_HOT_COLUMNS) -> OneHotEncoder:
+    """one-hot of indexed columns; with 'keep' indexing the dropped slot is the unseen one."""
+    return OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_ohe" for c in cols],
+                         dropLast=True)
+
+
+def assembler(cols: Sequence[str] | None = None, out: str = "raw_features") -> VectorAssembler:
+    """vector assembly; 'keep' turns a remaining null into NaN instead of failing."""
+    return VectorAssembler(inputCols=list(cols or feature_columns()), outputCol=out, handleInvalid="keep")
+
+
+def scaler(inp: str = "raw_features", out: str = "features") -> StandardScaler:
+    """standardise (mean and sample std; a zero-variance slot becomes 0.0)."""
+    return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
+
+
 def build_pipeline(relative_error: float = IMPUTE_RELATIVE_ERROR, with_features: bool = True,
                    scale: bool = True) -> Pipeline:
     """the full preprocessing pipeline (fit on the training split only)."""
-    stages: list = []
-    if with_features:
-        stages.append(IncidentFeatures())
-    stages += [
-        ConstantFill(),
-        CastColumns(inputCols=list(BOOL_COLUMNS), dataType="int"),
-        Imputer(strategy="median", relativeError=relative_error, inputCols=list(IMPUTE_COLUMNS),
-                outputCols=[f"{c}_imp" for c in IMPUTE_COLUMNS]),
-    ]
-    # one multi-column indexer: all six label tables come from a single pass
-    stages.append(StringIndexer(inputCols=list(INDEX_COLUMNS),
-                                outputCols=[f"{c}_idx" for c in INDEX_COLUMNS],
-                                handleInvalid="keep", stringOrderType="frequencyDesc"))
-    stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in ONE_HOT_COLUMNS],
-                                outputCols=[f"{c}_ohe" for c in ONE_HOT_COLUMNS], dropLast=True))
-    scalars = [c for c in feature_columns() if not c.endswith("_ohe")]
-    stages.append(CleanNumeric(inputCols=scalars))
-    stages.append(VectorAssembler(inputCols=feature_columns(), outputCol="raw_features",
-                                  handleInvalid="keep"))
+    stages: list = [IncidentFeatures()] if with_features else []
+    stages += [ConstantFill(), CastColumns(inputCols=list(BOOL_COLUMNS), dataType="int"),
+               median_imputer(relative_error=relative_error), string_indexers(), one_hot(),
+               CleanNumeric(inputCols=[c for c in feature_columns() if not c.endswith("_ohe")]),
+               assembler()]
     if scale:
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features",
-                                     withMean=True, withStd=True))
+        stages.append(scaler())
     return Pipeline(stages=stages)
 
 
@@ -186,3 +201,8 @@ def save_model(model, path: str) -> None:
 
 def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_model(path: str, model_class=PipelineModel):
+    """Load a saved model of the given MLlib class (a pipeline model by default)."""
+    return model_class.load(path)

@@ -492,23 +492,16 @@ def _filled(spark, base_dir):
 
 
 def _indexed(spark, base_dir):
-    from pyspark.ml.feature import StringIndexer
-    from sevlens.plans.pipeline import INDEX_COLUMNS
+    from sevlens.plans.pipeline import string_indexers
     df = _filled(spark, base_dir)
-    idx = StringIndexer(inputCols=list(INDEX_COLUMNS), outputCols=[f"{c}_idx" for c in INDEX_COLUMNS],
-                        handleInvalid="keep", stringOrderType="frequencyDesc").fit(df)
-    return idx.transform(df)
+    return string_indexers().fit(df).transform(df)
 
 
 @register("f01_median_impute")
 def f01(spark, base_dir):
-    from pyspark.ml.feature import Imputer
-    from sevlens.plans.pipeline import IMPUTE_COLUMNS, IMPUTE_RELATIVE_ERROR, IncidentFeatures
+    from sevlens.plans.pipeline import IMPUTE_COLUMNS, IncidentFeatures, median_imputer
     df = IncidentFeatures().transform(inc.enriched_incidents(spark, base_dir))
-    out = [f"{c}_imp" for c in IMPUTE_COLUMNS]
-    model = Imputer(strategy="median", relativeError=IMPUTE_RELATIVE_ERROR,
-                    inputCols=list(IMPUTE_COLUMNS), outputCols=out).fit(df)
-    return model.transform(df).select("ID", *out)
+    return median_imputer().fit(df).transform(df).select("ID", *[f"{c}_imp" for c in IMPUTE_COLUMNS])
 
 
 @register("f02_constant_fill")
@@ -525,23 +518,19 @@ def f03(spark, base_dir):
 
 @register("f04_one_hot")
 def f04(spark, base_dir):
-    from pyspark.ml.feature import OneHotEncoder
     from pyspark.ml.functions import vector_to_array
-    from sevlens.plans.pipeline import ONE_HOT_COLUMNS
+    from sevlens.plans.pipeline import ONE_HOT_COLUMNS, one_hot
     df = _indexed(spark, base_dir)
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in ONE_HOT_COLUMNS],
-                        outputCols=[f"{c}_ohe" for c in ONE_HOT_COLUMNS], dropLast=True).fit(df)
-    return ohe.transform(df).select("ID", *[vector_to_array(f"{c}_ohe").alias(f"{c}_ohe")
+    return one_hot().fit(df).transform(df).select("ID", *[vector_to_array(f"{c}_ohe").alias(f"{c}_ohe")
                                             for c in ONE_HOT_COLUMNS])
 
 
 def _plain_assembled(spark, base_dir):
-    from pyspark.ml.feature import VectorAssembler
-    from sevlens.plans.pipeline import BOOL_COLUMNS, ENGINEERED_COLUMNS, CastColumns, CleanNumeric
+    from sevlens.plans.pipeline import BOOL_COLUMNS, ENGINEERED_COLUMNS, CastColumns, CleanNumeric, assembler
     cols = list(BOOL_COLUMNS) + list(ENGINEERED_COLUMNS)
     df = CastColumns(inputCols=list(BOOL_COLUMNS)).transform(_filled(spark, base_dir))
     df = CleanNumeric(inputCols=cols).transform(df)
-    return VectorAssembler(inputCols=cols, outputCol="raw_features", handleInvalid="keep").transform(df)
+    return assembler(cols).transform(df)
 
 
 @register("f05_assemble")
@@ -552,12 +541,10 @@ def f05(spark, base_dir):
 
 @register("f06_standard_scale")
 def f06(spark, base_dir):
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
-    from sevlens.plans.pipeline import ENGINEERED_COLUMNS
-    df = VectorAssembler(inputCols=list(ENGINEERED_COLUMNS), outputCol="eng").transform(
-        featured(spark, base_dir))
-    scaled = StandardScaler(inputCol="eng", outputCol="scaled", withMean=True, withStd=True).fit(df).transform(df)
+    from sevlens.plans.pipeline import ENGINEERED_COLUMNS, assembler, scaler
+    df = assembler(list(ENGINEERED_COLUMNS), "eng").transform(featured(spark, base_dir))
+    scaled = scaler("eng", "scaled").fit(df).transform(df)
     return scaled.select("ID", F.transform(vector_to_array("scaled"), lambda x: F.round(x, 6)).alias("scaled"))
 
 
