@@ -34,8 +34,10 @@ def missing_report(df: DataFrame, decimals: int = 2) -> DataFrame:
                  *[F.count_if(F.col(c).isNull()).alias(f"__m_{i}") for i, c in enumerate(cols)])
     items = [(c, {"missing_pct": F.round(F.col(f"__m_{i}") * F.lit(100.0) / F.col("__n"), decimals)})
              for i, c in enumerate(cols)]
-    return (long_form(agg, items).where(F.col("missing_pct") > 0)
-            .orderBy(F.desc("missing_pct"), F.asc("column")))
+    # A global aggregate yields exactly one partition, so sorting within it is a
+    # total order and needs no range-partitioning pass.
+    return (long_form(agg, items).where(F.col("missing_pct") > 0).coalesce(1)
+            .sortWithinPartitions(F.desc("missing_pct"), F.asc("column")))
 
 
 def describe_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
