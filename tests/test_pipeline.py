@@ -102,3 +102,12 @@ def test_pipeline_fits_on_given_rows_only(spark, sf_small):
     surrogate = imputer.surrogateDF.first()["Distance_mi"]
     vals = sorted(r.Distance_mi for r in small.select("Distance_mi").collect())
     assert surrogate in vals
+
+
+def test_indexer_ties_are_alphabetical_and_unseen_gets_last_index(spark):
+    from sevlens.plans.pipeline import string_indexers
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "w string")
+    model = string_indexers(["w"]).fit(df)
+    assert model.labelsArray[0] == ["c", "a", "b"]
+    unseen = spark.createDataFrame([("zzz",)], "w string")
+    assert model.transform(unseen).first().w_idx == 3.0

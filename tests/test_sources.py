@@ -62,3 +62,14 @@ def test_export_csv_single_file(spark):
     local = path.replace("file:", "")
     parts = [p for p in os.listdir(local) if p.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_enrich_left_join_keeps_unknown_and_null_keys(spark):
+    from sevlens.operators.enrich import enrich
+    facts = spark.createDataFrame([(1, "CA"), (2, "ZZ"), (3, None)], "ID int, State string")
+    lookup = spark.createDataFrame([("CA", "West")], "State string, Region string")
+    out = enrich(facts, lookup, "State")
+    assert out.columns == ["State", "ID", "Region"]          # key once and first
+    got = {r.ID: r.Region for r in out.collect()}
+    assert got == {1: "West", 2: None, 3: None}
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
