@@ -109,6 +109,21 @@ def repartition_by(df: DataFrame, n: int, *cols: str, spread: int = 1) -> DataFr
     return df.repartition(n, *cols, salt)
 
 
+def ensure_parallelism(df: DataFrame, id_col: str = "ID", min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame over at least ``min_partitions`` (default: the cluster's
+    default parallelism) by hashing a unique id.
+
+    Iterative MLlib estimators run one task per input partition; a small input
+    file is a single split, which would train on one core.  Hashing a unique id
+    is balanced and deterministic (a retried task sends rows to the same place).
+    When the input is already wider, nothing changes and no shuffle is added.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, id_col)
+
+
 def round_robin(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 

@@ -48,7 +48,7 @@ def model_ready(spark: SparkSession, base_dir: str):
     # The labelled input feeds three fitting passes (imputer, indexer, scaler)
     # and the transform: persist it for the fit, release it once the training
     # split is materialised.  Lost blocks are recomputed from the scan.
-    df = sampling.assign_split(df).persist(StorageLevel.MEMORY_AND_DISK)
+    df = sampling.ensure_parallelism(sampling.assign_split(df)).persist(StorageLevel.MEMORY_AND_DISK)
     train_raw = df.where(F.col("split") == "train")
     pipe_model = build_pipeline().fit(train_raw)
     ready = pipe_model.transform(df).select(*READY_COLUMNS)
