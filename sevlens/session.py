@@ -71,3 +71,25 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_settings(input_bytes: int, total_cores: int,
+                     split_bytes: int = 256 * 1024 * 1024,
+                     shuffle_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Scan / shuffle sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    * File splits of ``split_bytes`` (100 TB -> ~400k scan tasks, each well inside
+      executor memory for the projected columns).
+    * An initial shuffle width that gives every core several tasks and keeps each
+      shuffle partition near ``shuffle_bytes`` even before AQE coalesces it
+      (AQE then merges small partitions and splits skewed ones at runtime).
+    """
+    initial = max(3 * total_cores, -(-input_bytes // shuffle_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_bytes),
+        **CLUSTER_DEFAULTS,
+    }
