@@ -62,7 +62,9 @@ def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str =
 
 
 def join_predictions(a: DataFrame, b: DataFrame, id_col: str = "ID") -> DataFrame:
-    """Pair two models' predictions on the row id (no reliance on row order)."""
+    """Pair two separately scored prediction frames on the row id (no reliance on
+    row order).  When both models score the same frame, score them in one chain
+    instead (``plans.models.score`` with prefixes) and no join is needed."""
     return a.join(b, id_col, "inner")
 
 

@@ -397,11 +397,12 @@ def s05(spark, base_dir):
 def s08(spark, base_dir):
     parts = sampling.split(inc.raw_incidents(spark, base_dir))
     paths = files.write_splits(parts, _scratch(spark, "splits"))
-    return evaluate_union([spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows"))
+    return _union_all([spark.read.parquet(p).agg(F.count(F.lit(1)).alias("rows"))
                            .select(F.lit(n).alias("split"), "rows") for n, p in paths.items()])
 
 
-def evaluate_union(dfs):
+def _union_all(dfs):
+    """Row-wise union of same-schema frames."""
     out = dfs[0]
     for d in dfs[1:]:
         out = out.unionByName(d)
@@ -552,7 +553,7 @@ def f06(spark, base_dir):
 def f07(spark, base_dir):
     from pyspark.ml.functions import vector_to_array
     _, frames = models.ready(spark, base_dir)
-    return evaluate_union([f.select("ID", "split", vector_to_array("features").alias("features"))
+    return _union_all([f.select("ID", "split", vector_to_array("features").alias("features"))
                            for f in frames.values()])
 
 
