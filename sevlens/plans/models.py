@@ -125,6 +125,12 @@ def importances(model, names: list[str], n: int = 20) -> DataFrame:
     return rank_top_n(df, "Importance", n, tie_col="Feature_Index", rank_col="Rank")
 
 
+def top_importances(model, n: int = 20, names: list[str] | None = None) -> DataFrame:
+    """The n largest importances of a tree model, Rank 1..n."""
+    size = len(model.featureImportances.toArray())
+    return importances(model, names or [f"slot_{i}" for i in range(size)], n)
+
+
 def importance_table(model, names: list[str], n: int = 20) -> DataFrame:
     """The ranked importance table (alias of ``importances``)."""
     return importances(model, names, n)
