@@ -73,3 +73,14 @@ def test_enrich_left_join_keeps_unknown_and_null_keys(spark):
     got = {r.ID: r.Region for r in out.collect()}
     assert got == {1: "West", 2: None, 3: None}
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_inline_lookup_enrichment(spark):
+    from sevlens.operators.enrich import enrich
+    from sevlens.sources.tables import inline_table
+    lookup = inline_table(spark, [("CA", "West"), ("TX", "South"), ("FL", "South"), ("NY", "Northeast"),
+                                  ("OH", "Midwest")], "State string, Region string")
+    facts = spark.createDataFrame([(i, s) for i, s in enumerate(["CA", "TX", "OH", "WA"])],
+                                  "ID int, State string")
+    out = {r.ID: r.Region for r in enrich(facts, lookup, "State").collect()}
+    assert out == {0: "West", 1: "South", 2: "Midwest", 3: None}
