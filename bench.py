@@ -88,7 +88,7 @@ def main() -> None:
         models.binary_auc(scored.withColumnRenamed("gbt_probability", "probability"))
         evaluate.mcnemar(scored, "rf_prediction", "lr_prediction").collect()
         evaluate.bootstrap_ci(scored, mc, replicates=500).collect()
-        aggregate.prediction_insights(scored, "label", "rf_prediction").collect()
+        run(aggregate.prediction_insights(scored, "label", "rf_prediction"))
         scored.unpersist()
     timed("score_and_evaluate", score_and_evaluate)
 
