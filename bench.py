@@ -19,8 +19,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from sevlens.operators import aggregate, evaluate, profile, sampling, validate  # noqa: E402
 from sevlens.plans import incidents as inc  # noqa: E402
 from sevlens.plans import models  # noqa: E402
