@@ -24,6 +24,8 @@ CLUSTER_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints of materialised aggregates are deleted once no plan references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
