@@ -67,10 +67,10 @@ def main() -> None:
     ci.show()
     evaluate.mcnemar(scored, "rf_prediction", "lr_prediction").show()
 
-    files.export_csv(metrics, f"{out}/tableau/model_performance")
-    files.export_csv(ci, f"{out}/tableau/bootstrap_confidence_intervals")
+    files.export_csv(metrics, f"{out}/dashboards/model_performance")
+    files.export_csv(ci, f"{out}/dashboards/bootstrap_confidence_intervals")
     files.export_csv(reports.business_insights(scored, "label", "rf_prediction"),
-                     f"{out}/tableau/business_insights")
+                     f"{out}/dashboards/business_insights")
     print("outputs under", out)
     spark.stop()
 
