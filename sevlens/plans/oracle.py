@@ -511,3 +511,28 @@ UNION ALL SELECT 'rows', '*', n, 100.0e0, CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL
 
 ORACLE_SQL["p01_model_columns"] = ENR + """
 SELECT ID, CAST(Severity - 1 AS DOUBLE) AS label, Start_Time, State, Severity, Region, Climate_Zone FROM enriched"""
+
+
+def _erfc_sql(x: str) -> str:
+    """erfc(x) for x >= 0 in plain SQL: power series of erf below 2.5, a 60-level
+    continued fraction above (both accurate to ~1e-13 there)."""
+    series = " + ".join(
+        f"(CASE WHEN {n} % 2 = 0 THEN 1 ELSE -1 END) * power({x}, {2 * n + 1}) "
+        f"/ (exp(lgamma({n + 1})) * {2 * n + 1})" for n in range(40))
+    frac = f"{x}"
+    for k in range(60, 0, -1):
+        frac = f"({x} + {k / 2!r} / {frac})"
+    return (f"CASE WHEN {x} < 2.5 THEN 1 - 2 / sqrt(pi()) * ({series}) "
+            f"ELSE exp(-{x} * {x}) / sqrt(pi()) / {frac} END")
+
+
+ORACLE_SQL["m13_mcnemar_test"] = PRED + """
+, t AS (SELECT count(*) FILTER (WHERE pred_a = label AND pred_b = label) AS n11,
+          count(*) FILTER (WHERE pred_a = label AND pred_b <> label) AS n10,
+          count(*) FILTER (WHERE pred_a <> label AND pred_b = label) AS n01,
+          count(*) FILTER (WHERE pred_a <> label AND pred_b <> label) AS n00 FROM preds),
+c AS (SELECT *, round(power(abs(n10 - n01) - 1, 2) / nullif(n10 + n01, 0), 6) AS chi2 FROM t),
+x AS (SELECT *, sqrt(chi2 / 2.0e0) AS z FROM c)
+SELECT n11, n10, n01, n00, chi2, round(""" + _erfc_sql("z") + """, 6) AS p_value,
+  coalesce(round(""" + _erfc_sql("z") + """, 6) < 0.05, false) AS significant
+FROM x"""
