@@ -536,3 +536,32 @@ x AS (SELECT *, sqrt(chi2 / 2.0e0) AS z FROM c)
 SELECT n11, n10, n01, n00, chi2, round(""" + _erfc_sql("z") + """, 6) AS p_value,
   coalesce(round(""" + _erfc_sql("z") + """, 6) < 0.05, false) AS significant
 FROM x"""
+
+
+# ---- F7: the whole fitted pipeline (fit on the training split, applied to all) -------
+
+_PIPE_FILL = ("\n, labelled AS (SELECT *, " + _SPLIT + " AS split FROM featured)"
+              "\n, filled AS (SELECT * REPLACE (" + ", ".join(f"coalesce({c}, '{v}') AS {c}" for c, v in _FILL)
+              + ") FROM labelled)\n, tr AS (SELECT * FROM filled WHERE split = 'train')\n")
+_PIPE_MED = ", med AS (SELECT " + ", ".join(f"quantile_disc({c}, 0.5) AS m_{c}" for c in _IMPUTE) + " FROM tr)\n"
+_PIPE_IX = "".join(
+    f", ix_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY n DESC, v) - 1 AS DOUBLE) AS i, "
+    f"count(*) OVER () AS k FROM (SELECT {c} AS v, count(*) AS n FROM tr GROUP BY 1))\n"
+    f", k_{c} AS (SELECT count(DISTINCT {c}) AS k FROM tr)\n" for c in _INDEX)
+_PIPE_IDX = {c: f"coalesce(ix_{c}.i, CAST(k_{c}.k AS DOUBLE))" for c in _INDEX}
+_PIPE_SLOTS = (
+    "list_concat([" + ", ".join(f"coalesce(f.{c}, med.m_{c})" for c in _IMPUTE) + "], "
+    + ", ".join(f"list_transform(range(k_{c}.k), lambda j: CASE WHEN {_PIPE_IDX[c]} = j THEN 1.0e0 ELSE 0.0e0 END)"
+                for c in _OHE)
+    + ", [" + ", ".join([_PIPE_IDX["Wind_Direction"], _PIPE_IDX["Weather_Condition"]]
+                        + [f"coalesce(CAST(CAST(f.{c} AS INTEGER) AS DOUBLE), 0.0e0)" for c in _FLAGS]
+                        + [f"CAST(f.{c} AS DOUBLE)" for c in _ENG]) + "])")
+_PIPE_JOIN = (" ".join(f"LEFT JOIN ix_{c} ON f.{c} = ix_{c}.v" for c in _INDEX)
+              + " CROSS JOIN med " + " ".join(f"CROSS JOIN k_{c}" for c in _INDEX))
+ORACLE_SQL["f07_pipeline_features"] = FEAT + _PIPE_FILL + _PIPE_MED + _PIPE_IX + f"""
+, rawv AS (SELECT f.ID, f.split, {_PIPE_SLOTS} AS r FROM filled f {_PIPE_JOIN})
+, cells AS (SELECT ID, split, unnest(r) AS x, unnest(range(len(r))) AS slot FROM rawv)
+, mom AS (SELECT slot, avg(x) AS mu, stddev_samp(x) AS sd FROM cells WHERE split = 'train' GROUP BY slot)
+SELECT ID, split, list(round(CASE WHEN sd = 0 OR sd IS NULL THEN 0.0e0 ELSE (x - mu) / sd END, 6) ORDER BY c.slot)
+  AS features
+FROM cells c JOIN mom USING (slot) GROUP BY ID, split"""

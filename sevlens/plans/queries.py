@@ -553,8 +553,9 @@ def f06(spark, base_dir):
 def f07(spark, base_dir):
     from pyspark.ml.functions import vector_to_array
     _, frames = models.ready(spark, base_dir)
-    return _union_all([f.select("ID", "split", vector_to_array("features").alias("features"))
-                           for f in frames.values()])
+    return _union_all([f.select("ID", "split", F.transform(vector_to_array("features"),
+                                                          lambda x: F.round(x, 6)).alias("features"))
+                       for f in frames.values()])
 
 
 @register("f09_clean_numeric")
