@@ -565,3 +565,11 @@ ORACLE_SQL["f07_pipeline_features"] = FEAT + _PIPE_FILL + _PIPE_MED + _PIPE_IX +
 SELECT ID, split, list(round(CASE WHEN sd = 0 OR sd IS NULL THEN 0.0e0 ELSE (x - mu) / sd END, 6) ORDER BY c.slot)
   AS features
 FROM cells c JOIN mom USING (slot) GROUP BY ID, split"""
+
+_NAME_LIST = ("list_concat([" + ", ".join(f"'{c}_imp'" for c in _IMPUTE) + "], "
+              + ", ".join(f"(SELECT list('{c}_ohe_' || v ORDER BY i) FROM ix_{c})" for c in _OHE)
+              + ", [" + ", ".join(["'Wind_Direction_idx'", "'Weather_Condition_idx'"]
+                                  + [f"'{c}'" for c in _FLAGS] + [f"'{c}'" for c in _ENG]) + "])")
+ORACLE_SQL["f10_slot_names"] = FEAT + _PIPE_FILL + _PIPE_IX + f"""
+, names AS (SELECT {_NAME_LIST} AS n)
+SELECT CAST(unnest(range(len(n))) AS INTEGER) AS slot, unnest(n) AS name FROM names"""
