@@ -44,12 +44,14 @@ def bounded_sample(df: DataFrame, label: str, n: int, key: str = "doc_id") -> Da
     """
     from pyspark.sql import Window
 
-    counts = df.groupBy(label).agg(F.count("*").alias("_n"))
-    h = F.xxhash64(F.lit("fit sample"), F.col(key))
-    near = (df.withColumn("_h", h).join(F.broadcast(counts), label)
-            .where(F.pmod("_h", F.lit(1_000_003)) * F.col("_n") <= F.lit(2 * n + 50) * 1_000_003))
+    limits = {x: (2 * n + 50) / c for x, c in df.groupBy(label).count().collect() if x is not None}    # a model has a part for each label
+    if not limits:
+        return df.limit(0)
+    share = F.pmod(F.xxhash64(F.lit("fit sample"), F.col(key)), F.lit(1_000_003)) / 1_000_003
+    limit = F.element_at(F.create_map(*[F.lit(v) for kv in limits.items() for v in kv]), F.col(label))
+    near = df.where(F.col(label).isNotNull()).withColumn("_h", F.xxhash64(F.lit("fit order"), F.col(key))).where(share <= limit)
     w = Window.partitionBy(label).orderBy("_h", key)
-    return near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_h", "_n", "_r")
+    return near.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_h", "_r")
 
 
 def strings(column: pa.Array) -> list[str]:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sevlens.llm import embedding_dedup, mixing, token_output
-from sevlens.llm.common import read, stored
+from sevlens.llm import decontaminate, embedding_dedup, language, mixing, repeats, secrets, token_output, toxicity
+from sevlens.llm.common import held_out, read, stored
 from sevlens.session import scratch_path
 
 
@@ -21,6 +21,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_copies")).alias("taken")))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"))
+    model = language.fit(docs.where(~out))
+    return language.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -34,9 +41,79 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), 0.9)
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_documents(read(spark, sf_dir, "documents"))
+    text = lambda kinds: F.concat_ws(",", F.transform(
+        F.filter("spans", lambda s: s["kind"].isin(*kinds)), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(text(("assign", "access", "hex")), 256).alias("base_sha256"),
+                        text(secrets.KINDS).alias("spans"))
+
+
+def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """(doc_id, text, y) of the labelled documents that may be learned from."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("y")).where("y IS NOT NULL").distinct()
+    return docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(labels, "doc_id")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(stored(labelled(spark, sf_dir, docs), "labelled"))
+    return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.kept_bytes(repeats.with_repeats(read(spark, sf_dir, "documents"), 100))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_language": op2_language,
     "op3_token_output": op3_token_output,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_secrets": op5_secrets,
+    "op6_toxicity": op6_toxicity,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_repeats": op10_repeats,
+}
+#: The words of a text, as in the contract of operator 9.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                                         AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.vec_id <> b.vec_id
+                  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+        low AS (SELECT u, min(v) AS m FROM reach GROUP BY u), n AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+        SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+               vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+        FROM v LEFT JOIN low ON low.u = vec_id LEFT JOIN n ON n.u = vec_id""",
+    "op9_decontaminate": f"""
+        WITH i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, w[s:s + 12] AS win
+                FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+        d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        sizes AS (SELECT DISTINCT len(win) AS size FROM win),
+        dw AS (SELECT doc_id, s, size, w[s:s + size - 1] AS win
+               FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, sizes)),
+        hit AS (SELECT doc_id, s, size, item_id FROM dw JOIN win USING (win)),
+        covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                    FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM hit) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
 }
-ORACLE_SQL: dict[str, str] = {}
