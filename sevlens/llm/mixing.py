@@ -160,10 +160,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     return stored(extra_limits(slim, copies), "mix"), targets
 
 
-def with_copies(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """``docs`` with columns ``_size`` and ``_copies``."""
-    g = groups.select(F.col("source").alias("_s"), F.col("size").alias("_z"), "base", "upto")
-    d = docs.withColumn("_size", tokens())
-    j = d.join(g, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
-    more = F.coalesce((order_hash() <= F.col("upto")).cast("int"), F.lit(0))
-    return j.withColumn("_copies", (F.col("base") + more).cast("int")).drop("_s", "_z", "base", "upto")
+def with_copies(docs: DataFrame, groups: DataFrame, size: str = "__mix_size", copies: str = "__mix_copies") -> DataFrame:
+    """``docs`` with its token count and its number of copies as two more columns."""
+    s, z, base, upto = (f"__mix_{x}" for x in ("source", "group", "base", "upto"))
+    g = groups.toDF(s, z, base, upto)
+    j = docs.withColumn(size, tokens()).join(g, F.col("source").eqNullSafe(F.col(s)) & (F.col(size) == F.col(z)))
+    more = F.coalesce((order_hash() <= F.col(upto)).cast("int"), F.lit(0))
+    return j.withColumn(copies, (F.col(base) + more).cast("int")).drop(s, z, base, upto)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sevlens.llm import decontaminate, embedding_dedup, language, mixing, repeats, secrets, token_output, toxicity
+from sevlens.llm import decontaminate, embedding_dedup, jaccard_join, language, licenses, mixing, repeats, secrets, token_output, toxicity
 from sevlens.llm.common import held_out, read, stored
 from sevlens.session import scratch_path
 
@@ -16,9 +16,9 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     groups, targets = mixing.mix(docs, (3, 1, 2), 1.5, 2)
     t = targets.select(F.col("source").alias("_t"), "source_size", "target")
-    return (mixing.with_copies(docs.select("doc_id", "source", "text"), groups).drop("text")
+    return (mixing.with_copies(docs.select("doc_id", "source", "text"), groups, "size", "copies").drop("text")
             .join(t, F.col("source").eqNullSafe(F.col("_t")))
-            .select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_copies")).alias("taken")))
+            .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")))
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,19 +50,21 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         text(secrets.KINDS).alias("spans"))
 
 
-def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
-    """(doc_id, text, y) of the labelled documents that may be learned from."""
-    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("y")).where("y IS NOT NULL").distinct()
-    return docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(labels, "doc_id")
-
-
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    model = toxicity.fit(stored(labelled(spark, sf_dir, docs), "labelled"))
-    return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+    model = toxicity.fit(toxicity.labelled(docs, read(spark, sf_dir, "labels")))
+    return toxicity.score(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                                               (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -80,6 +82,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
+    "op7_licenses": op7_licenses,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_repeats": op10_repeats,
 }
@@ -87,7 +91,24 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+_KNOWN = "[" + ", ".join(f"'{s}'" for s in licenses.SENTENCES) + "]"
+_RULES = ", ".join(f"CASE WHEN contains(line, ',{','.join(map(str, r))},') THEN '{name}' END" for name, r in licenses.RULES)
+
+
+def _sentences(end: str) -> str:
+    return f"""(SELECT doc_id, list_filter(list_transform(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{end}'),
+        lambda s: coalesce(list_position({_KNOWN}, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), 0)), lambda i: i > 0) AS ids FROM documents)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_licenses": f"""
+        WITH a AS {_sentences(licenses.LINE_END)}, b AS {_sentences(licenses.MARK_END)},
+        cuts AS (SELECT doc_id, ids FROM a UNION ALL SELECT doc_id, ids FROM b),
+        held AS (SELECT doc_id, unnest([{_RULES}]) AS name FROM (SELECT doc_id, concat(',', array_to_string(ids, ','), ',') AS line FROM cuts)),
+        names AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM held WHERE name IS NOT NULL GROUP BY doc_id)
+        SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(names, '') AS licenses
+        FROM a LEFT JOIN names USING (doc_id)""",
     "op4_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
         ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0

@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sevlens.llm.common import bounded_sample, rebatched, strings
+from sevlens.llm.common import bounded_sample, held_out, rebatched, stored, strings
 
 WORDS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -42,6 +43,12 @@ def terms(text: str) -> Counter:
     return out
 
 
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, y) of the labelled documents that may be learned from; a row for each distinct label."""
+    y = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).where("y IS NOT NULL").distinct()
+    return stored(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(y, "doc_id"), "labelled")
+
+
 def term_counts(rows: DataFrame) -> DataFrame:
     """(term, n0, n1): rows of each label that hold the term; the empty term counts rows."""
 
@@ -164,14 +171,19 @@ def fit(rows: DataFrame, sample: int = 3000, most_terms: int = 20_000, least: fl
     return model | {"known": known, "idf": idf, "index": index, "y": y, "ids": [r["doc_id"] for r in got], "steps": steps}
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """(doc_id, score, evidence) of every whole text; evidence: the nearest examples with label and cosine."""
-    out = "doc_id long, score double, evidence array<struct<doc_id:long,label:int,cosine:double>>"
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(scorer(docs, model, ["doc_id"]), out)
+EVIDENCE = T.ArrayType(T.StructType([T.StructField('doc_id', T.LongType()), T.StructField('label', T.IntegerType()),
+                                     T.StructField('cosine', T.DoubleType())]))
+
+
+def score(docs: DataFrame, model: dict, name: str = "score", evidence: str = "evidence") -> DataFrame:
+    """``docs`` with the score of every whole text and its evidence: the nearest examples, their labels and cosines."""
+    keep = docs.columns
+    types = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType()),
+                          T.StructField(evidence, EVIDENCE)])
+    return docs.mapInArrow(scorer(docs, model, keep, [name, evidence]), types)
 
 
-def scorer(docs: DataFrame, model: dict, keep: list[str]):
+def scorer(docs: DataFrame, model: dict, keep: list[str], names: list[str]):
     shared = docs.sparkSession.sparkContext.broadcast(model)
     item = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
@@ -189,6 +201,6 @@ def scorer(docs: DataFrame, model: dict, keep: list[str]):
                     scores.append(m["none"])
                 evidence.append([{"doc_id": m["ids"][r], "label": int(m["y"][r]), "cosine": float(c)} for r, c in zip(rows, near)])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scores, pa.float64()), pa.array(evidence, item)],
-                                             names=[*keep, "score", "evidence"])
+                                             names=[*keep, *names])
 
     return run
