@@ -1,7 +1,74 @@
-"""Corpus pipeline: stages in order, each a DataFrame of documents written as Parquet and reread."""
+"""Corpus pipeline: toxicity, near duplicates, decontamination, mixing, token files.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the
+last return the columns of ``docs``.  ``run`` writes each result as Parquet in the shared checkpoint
+folder and reads it for the next stage.
+
+Defined results: extra columns pass through; null and empty texts are kept by the first three
+stages and encoded as their end id alone; rows that repeat an id count as one document for the near
+duplicates; an empty table stays empty.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sevlens.llm import decontaminate, jaccard_join, mixing, token_output, toxicity
+from sevlens.llm.common import read, stored
+from sevlens.session import scratch_path
+
+REJECT = 0.7
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.7."""
+    model = toxicity.fit(toxicity.labelled(docs, read(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model, "__score", "__evidence").where(F.col("__score") < REJECT).select(*docs.columns)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group linked by a Jaccard similarity of 0.8 or more."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    node = F.coalesce("doc_id", -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
+    one = Window.partitionBy("__id").orderBy(F.xxhash64(text))
+    rows = docs.withColumn("__id", node).withColumn("__row", F.row_number().over(one)).where("__row = 1")
+    kept = jaccard_join.join(docs).where("kept").select(F.col("component_id").alias("__id")).distinct()
+    return rows.join(kept, "__id", "left_semi").select(*docs.columns)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark's windows do not contaminate."""
+    found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark")).where("contaminated")
+    bad = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    return docs.join(bad, same, "left_anti")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    groups, _ = mixing.mix(docs, (3, 1, 2), 1.5, 2)
+    taken = mixing.with_copies(docs, groups).where("__mix_copies > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))).select(*docs.columns)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all documents; per document its place in them."""
+    import public_tokenizers
+
+    folder = scratch_path(spark, "tokens")
+    shards = token_output.write_tokens(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), 50257)
+    return token_output.read_tokens(stored(token_output.with_bases(stored(shards, "shards")), "bases"), folder, 50257)
+
+
+STAGES = [("toxicity", clean), ("near_duplicates", distinct), ("decontamination", uncontaminated), ("mixing", mixed), ("token_output", token_files)]
+
+#: Classifier, forest and tokenizer are beyond SQL; tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
