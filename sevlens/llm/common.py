@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,10 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table.  Python workers find this package where the driver does (on a cluster, as installed)."""
+    home, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), home) if x)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

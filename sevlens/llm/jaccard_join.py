@@ -80,10 +80,8 @@ def prefix_length(threshold: float, trees: int, depth: int, recall: float) -> in
 def labels(h: np.ndarray, a: np.ndarray, b: np.ndarray, trees: int) -> np.ndarray:
     """One 64-bit key for each tree: its prefix of minimum hashes."""
     least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(h), 4096):
-        x = h[i:i + 4096]
-        for k in range(len(a)):
-            least[k] = min(least[k], ((x * a[k]) ^ b[k]).min())
+    for i in range(0, len(h), 512):
+        least = np.minimum(least, (np.multiply.outer(h[i:i + 512], a) ^ b).min(axis=0))
     least = mixed(least).reshape(trees, -1)
     key = np.zeros(trees, np.uint64)
     for column in least.T:

@@ -33,7 +33,7 @@ from sevlens.llm.common import rebatched, stored
 
 GRAM = 12
 NULL_ID = -(1 << 63)
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def word64(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

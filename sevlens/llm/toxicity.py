@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and their 4- and 5-letter beginnings.  Over all labelled training rows, term
-counts by label give the terms that tell the labels apart (log-likelihood ratio) and their IDF;
+counts by label give the terms that mark label 1 (in one of 200 of its rows, ten times as frequent as
+elsewhere, ranked by log-likelihood ratio) and their IDF;
 a bounded sample of labelled rows (``sample`` for each label) gives the examples.  Their
 vectors form an inverted index cut into blocks of examples with the largest weight of every
 term in every block.  A text's blocks are read by falling bound, and reading stops when
@@ -134,7 +135,8 @@ def vector(text: str, known: dict, idf: np.ndarray) -> tuple[np.ndarray, np.ndar
     return t, w / np.linalg.norm(w) if len(w) else w
 
 
-def fit(rows: DataFrame, sample: int = 3000, most_terms: int = 20_000, least: float = 24.0, k: int = 15) -> dict:
+def fit(rows: DataFrame, sample: int = 1500, most_terms: int = 2000, least: float = 24.0, lift: float = 10.0, share: int = 200,
+        k: int = 15) -> dict:
     """Model from labelled rows (doc_id, text, y in 0, 1)."""
     rows = rows.where("y IN (0, 1)").select("doc_id", F.col("text").cast("string").alias("text"), F.col("y").cast("int").alias("y"))
     per = dict(rows.groupBy("y").count().collect())
@@ -143,7 +145,8 @@ def fit(rows: DataFrame, sample: int = 3000, most_terms: int = 20_000, least: fl
     if not all0 or not all1:
         return model
     g = likelihood_ratio(F.col("n0"), F.col("n1"), all0, all1)
-    kept = (term_counts(rows).where("term <> ''").withColumn("g", g).where(F.col("g") >= least)
+    marks = (F.col("n1") >= max(3, all1 / share)) & (F.col("n1") * all0 >= lift * all1 * F.col("n0"))
+    kept = (term_counts(rows).where("term <> ''").where(marks).withColumn("g", g).where(F.col("g") >= least)
             .orderBy(F.desc("g"), "term").limit(most_terms).collect())
     known = {r["term"]: i for i, r in enumerate(kept)}
     idf = np.array([math.log((all0 + all1) / (r["n0"] + r["n1"])) + 0.1 for r in kept])
@@ -158,12 +161,12 @@ def fit(rows: DataFrame, sample: int = 3000, most_terms: int = 20_000, least: fl
     got = sorted(got, key=lambda r: (r["t"][:1], r["y"], r["t"], repr(r["doc_id"])))        # like examples share blocks
     y = np.array([r["y"] for r in got], float)
     index = Examples([(np.array(r["t"], np.int64), np.array(r["w"], float)) for r in got], len(known))
-    share = {label: per[label] / max(1, (y == label).sum()) for label in (0, 1)}
+    stands_for = {label: per[label] / max(1, (y == label).sum()) for label in (0, 1)}
     raw = []
     for i, r in enumerate(got):
         rows_, near = index.nearest(np.array(r["t"], np.int64), np.array(r["w"], float), k, i) if r["t"] else (y[:0], y[:0])
         raw.append(vote(near, y[rows_]) if len(near) else -1.0)
-    raw, w = np.array(raw), np.where(y == 1, share[1], share[0])
+    raw, w = np.array(raw), np.where(y == 1, stands_for[1], stands_for[0])
     none = raw < 0
     if none.any():
         model["none"] = float((w * y)[none].sum() / w[none].sum())
