@@ -85,7 +85,7 @@ class Examples:
         order = np.lexsort((row, term))
         self.row, self.weight, term = row[order], weight[order], term[order]
         self.at = np.searchsorted(term * (self.blocks + 1) + self.row // BLOCK,
-                                  (np.arange(n_terms)[:, None] * (self.blocks + 1) + np.arange(self.blocks + 1)).ravel()).reshape(n_terms, -1)
+                                  (np.arange(n_terms)[:, None] * (self.blocks + 1) + np.arange(self.blocks + 1)).ravel()).reshape(n_terms, self.blocks + 1)
         self.most = np.zeros((n_terms, max(self.blocks, 1)))
         np.maximum.at(self.most, (term, self.row // BLOCK), self.weight)
 

@@ -1,0 +1,50 @@
+"""The corpus pipeline, stage by stage, against plain versions."""
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(__file__))
+import brute  # noqa: E402
+
+import corpus_pipeline as P  # noqa: E402
+from sevlens.llm import mixing  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(df):
+    return sorted((r.doc_id, r.text) for r in df.collect())
+
+
+def test_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, labels = docs.columns, {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    one = P.STAGES[0][1](spark, docs, SF)
+    left = plain(one)
+    gone = {r.doc_id for r in docs.collect()} - {i for i, _ in left}
+    assert one.columns == columns and not any(labels.get(i) == 0 for i in gone)
+    two = P.STAGES[1][1](spark, one, SF)
+    _, component = brute.jaccard(left)
+    assert two.columns == columns and plain(two) == [(i, t) for i, t in left if component[i] == i]
+    three = P.STAGES[2][1](spark, two, SF)
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bad = brute.contaminated(plain(two), items)
+    assert three.columns == columns and plain(three) == [(i, t) for i, t in plain(two) if not bad[i]]
+    four = P.STAGES[3][1](spark, three, SF)
+    groups, _ = mixing.mix(three)
+    want = sum(r["__mix_copies"] for r in mixing.with_copies(three, groups).collect())
+    assert four.columns == columns and four.count() == want
+    five = P.STAGES[4][1](spark, four, SF)
+    assert sorted(map(tuple, five.collect())) == brute.tokens(plain(four))
+
+
+def test_odd_rows_pass(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    odd = docs.selectExpr("CAST(NULL AS LONG) AS doc_id", "text", "lang", "CAST(NULL AS STRING) AS source", "n_chars").limit(2)
+    odd = docs.unionByName(odd).unionByName(docs.selectExpr("doc_id + 1000 AS doc_id", "CAST(NULL AS STRING) AS text", "lang", "source", "n_chars").limit(3))
+    odd = odd.unionByName(docs.limit(4)).selectExpr("*", "1 AS size", "'x' AS score", "2 AS base")
+    for _, stage in P.STAGES[:4]:
+        odd = stage(spark, odd, SF)
+        assert odd.columns == [*docs.columns, "size", "score", "base"]
+    n = odd.count()
+    assert n and P.STAGES[4][1](spark, odd, SF).count() == n
