@@ -36,6 +36,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checked(keys: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``keys`` (a few numbers a row, cheap to count) with a broadcast hint if it has at most ``rows`` rows.
+
+    Beyond that the join is left to Spark, which shuffles both sides.
+    """
+    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3, is 1 (a null id is never held out)."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))

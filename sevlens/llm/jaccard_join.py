@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sevlens.llm.common import connected_components, min_roots, rebatched, stored
+from sevlens.llm.common import checked, connected_components, min_roots, rebatched, stored
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -211,8 +211,8 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
             sets = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "h"])
 
-    ids = wanted.select("id").distinct()
-    sets = docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(shingle, "id long, h binary").dropDuplicates(["id"])
+    ids = stored(wanted.select("id").distinct(), "first-pair-ids")
+    sets = docs.join(checked(ids), "id", "left_semi").select("id", "text").mapInArrow(shingle, "id long, h binary").dropDuplicates(["id"])
     full = stored(sets.join(classes.select("id", "copies", "keys"), "id"), "shingle-sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

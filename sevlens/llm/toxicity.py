@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sevlens.llm.common import bounded_sample, held_out, rebatched, stored, strings
+from sevlens.llm.common import bounded_sample, checked, held_out, rebatched, stored, strings
 
 WORDS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -47,7 +47,7 @@ def terms(text: str) -> Counter:
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, y) of the labelled documents that may be learned from; a row for each distinct label."""
     y = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).where("y IS NOT NULL").distinct()
-    return stored(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(y, "doc_id"), "labelled")
+    return stored(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(checked(y), "doc_id"), "labelled")
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
