@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sevlens.llm import decontaminate, jaccard_join, mixing, token_output, toxicity
-from sevlens.llm.common import read, stored
+from sevlens.llm.common import checked, read, stored
 from sevlens.session import scratch_path
 
 REJECT = 0.7
@@ -30,19 +30,22 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked by a Jaccard similarity of 0.8 or more."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    node = F.coalesce("doc_id", -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
+    rows = docs.withColumn("__id", F.coalesce("doc_id", -1 - F.shiftrightunsigned(F.xxhash64(text), 1)))
+    found = jaccard_join.join(docs).groupBy(F.col("component_id").alias("__id")).agg(F.max("kept").alias("kept"))
+    times = rows.groupBy("__id").agg(F.count("*").alias("__times"))
+    kept = stored(found.where("kept").join(times, "__id").select("__id", "__times"), "kept")
+    once = rows.join(checked(kept.where("__times = 1")), "__id", "left_semi")
     one = Window.partitionBy("__id").orderBy(F.xxhash64(text))
-    rows = docs.withColumn("__id", node).withColumn("__row", F.row_number().over(one)).where("__row = 1")
-    kept = jaccard_join.join(docs).where("kept").select(F.col("component_id").alias("__id")).distinct()
-    return rows.join(kept, "__id", "left_semi").select(*docs.columns)
+    more = rows.join(checked(kept.where("__times > 1")), "__id", "left_semi").withColumn("__row", F.row_number().over(one)).where("__row = 1")
+    return once.select(*docs.columns).unionByName(more.select(*docs.columns))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark's windows do not contaminate."""
     found = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark")).where("contaminated")
-    bad = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    bad = stored(found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "contaminated")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(bad, same, "left_anti")
+    return docs.join(checked(bad), same, "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
