@@ -29,23 +29,17 @@ def row_width(df: DataFrame) -> int:
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                         max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                         max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                         measured: DataFrame | None = None) -> DataFrame:
     """Broadcast hint behind a bounded size check; otherwise leave the choice to
     Catalyst / AQE (sort-merge join, converted at runtime if it turns out small).
 
-    The check reads at most ``limit + 1`` rows, so proving the bound costs the
-    same whether the side is tiny or huge.
+    The check reads at most ``limit + 1`` rows of ``measured`` (by default ``df``; a base
+    table of at least as many rows costs no shuffle to count), and is made each time, so
+    a table that has grown is not broadcast on an old proof.
     """
     limit = min(max_rows, max_bytes // row_width(df))
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), limit)
-    if key not in _BOUNDED:
-        _BOUNDED[key] = has_at_most(df, limit)
-    return F.broadcast(df) if _BOUNDED[key] else df
-
-
-# Bound checks are remembered per application and logical plan: the same
-# dimension scan is proven once, not once per query that joins it.
-_BOUNDED: dict = {}
+    return F.broadcast(df) if has_at_most(df if measured is None else measured, limit) else df
 
 
 def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",

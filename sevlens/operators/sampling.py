@@ -3,7 +3,8 @@
 Sampling and splits hash the row id (``functions.hashing.unit_hash``) instead of
 drawing from per-partition random streams, so a row's split never changes with
 the number of partitions, with AQE coalescing, or when a lost task is
-recomputed on another executor.
+recomputed on another executor.  Splits and samples mix their purpose into the
+hashed text, so that a sample of a split is a sample and not a prefix of it.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sevlens.functions.hashing import unit_hash
@@ -22,36 +23,36 @@ SPLIT_NAMES = ("train", "valid", "test")
 SEED = 42
 
 
+def sample_hash(id_col: str, seed) -> Column:
+    """Position of a row for sampling, independent of its position for splitting."""
+    return unit_hash(id_col, f"sample:{seed}")
+
+
 def sample_fraction(df: DataFrame, fraction: float, id_col: str = "ID", seed=SEED) -> DataFrame:
-    """Stable Bernoulli sample: keep rows whose id hash is below ``fraction``."""
-    return df.where(unit_hash(id_col, seed) < F.lit(float(fraction)))
+    """Stable Bernoulli sample: keep rows whose sampling hash is below ``fraction``."""
+    return df.where(sample_hash(id_col, seed) < F.lit(float(fraction)))
 
 
-CAP_MARGIN = 1.1
+#: Ranges of the sampling hash that are counted to find where the n-th row lies.
+CAP_RANGES = 4096
 
 
 def sample_cap(df: DataFrame, n: int, id_col: str = "ID", seed=SEED) -> DataFrame:
-    """At most n rows: exactly the n smallest id hashes.
-
-    A plain ``orderBy(hash).limit(n)`` keeps n rows per task and merges
-    tasks x n rows in one task.  Instead the rows are first thinned by a hash
-    threshold just above n / count (a distributed filter, as the reference's
-    fraction = n / count), and only the ~1.1 n survivors are ordered.  Every
-    row below the threshold has a smaller hash than every row above it, so the
-    result is exact; the threshold grows in the (improbable) case that fewer
-    than n rows pass.
+    """At most n rows: exactly the n smallest sampling hashes.
+
+    One aggregate counts rows per hash range (a fixed number of them); the ranges up to
+    the one that holds the n-th row are kept, so about n + count / CAP_RANGES rows are
+    ordered instead of n rows per task.
     """
-    total = df.count()
-    if total <= n:
-        return df
-    h = unit_hash(id_col, seed)
-    frac = min(1.0, CAP_MARGIN * n / total)
-    while True:
-        cand = df.where(h < F.lit(frac))
-        if frac >= 1.0 or cand.count() >= n:
+    h = sample_hash(id_col, seed)
+    at = F.floor(h * CAP_RANGES).cast("int").alias("at")
+    held, upto = 0, 1.0
+    for r in sorted(df.groupBy(at).agg(F.count(F.lit(1)).alias("n")).collect()):
+        held += r["n"]
+        if held >= n:
+            upto = (r["at"] + 1) / CAP_RANGES
             break
-        frac = min(1.0, frac * 1.5)
-    return cand.withColumn("__h", h).orderBy("__h", id_col).limit(n).drop("__h")
+    return df.where(h < F.lit(upto)).withColumn("__h", h).orderBy("__h", id_col).limit(n).drop("__h")
 
 
 def assign_split(df: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,

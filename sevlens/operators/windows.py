@@ -77,11 +77,12 @@ def baseline_relative(df: DataFrame, group: Sequence[str] | str, order_col: str,
     """value / value of the first row (smallest ``order_col``) of its group.
 
     The baseline of each group comes from a partial aggregate (``min_by``), joined
-    back on the group key, so no group is ever gathered into one task.
+    back on the group key, so no group is ever gathered into one task; the join has no
+    hint, adaptive execution picks it from the aggregate's real size.
     """
     group = [group] if isinstance(group, str) else list(group)
     firsts = df.groupBy(*group).agg(F.min_by(value_col, order_col).alias("__first"))
-    return (df.join(broadcast_if_bounded(firsts), group, "left")
+    return (df.join(firsts, group, "left")
             .withColumn(out, F.try_divide(F.col(value_col), F.col("__first"))).drop("__first"))
 
 

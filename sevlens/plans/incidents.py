@@ -90,14 +90,16 @@ def raw_incidents(spark: SparkSession, base_dir: str, events: DataFrame | None =
     """The raw incident table (the reference's ingested CSV), state attached.
 
     ``events`` may be a streaming frame: the dimension joins are stream-static.
+    Each dimension is one row per key by its grouping, so the optimizer drops the
+    left joins where State is not selected.
     """
     events = table(spark, base_dir, "events") if events is None else events
-    customer = table(spark, base_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), "c_nationkey")
-    nation = table(spark, base_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("State"))
-    located = (events.join(broadcast_if_bounded(customer), "user_id", "left")
-               .join(broadcast_if_bounded(nation), "c_nationkey", "left"))
+    customer = table(spark, base_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+    nation = table(spark, base_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("State"))
+    located = events
+    for dimension, key, value in ((customer, "user_id", "c_nationkey"), (nation, "c_nationkey", "State")):
+        one = dimension.groupBy(key).agg(F.max(value).alias(value))
+        located = located.join(broadcast_if_bounded(one, measured=dimension), key, "left")
     cols = incident_columns()
     ordered = [cols["ID"].alias("ID")] + [c.alias(n) for n, c in cols.items() if n != "ID"]
     ordered.insert(4, F.col("State"))

@@ -234,10 +234,15 @@ FROM preds"""
 _U = "(CAST(('0x' || substr(md5('42:' || CAST(ID AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0e0)"
 _SPLIT = (f"CASE WHEN {_U} < 0.7e0 THEN 'train' WHEN {_U} < (0.7e0 + 0.15e0) THEN 'valid' "
           "ELSE 'test' END")
+_US = _U.replace("'42:'", "'sample:42:'")        # samples hash another text than splits
 IDS = "SELECT ID, Start_Time, Severity FROM incidents"
 
-ORACLE_SQL["g01_sample_fraction"] = BASE + IDS + f" WHERE {_U} < 0.1e0"
-ORACLE_SQL["g02_sample_cap"] = BASE + IDS + f" ORDER BY {_U}, ID LIMIT 1000"
+ORACLE_SQL["g01_sample_fraction"] = BASE + IDS + f" WHERE {_US} < 0.1e0"
+ORACLE_SQL["g02_sample_cap"] = BASE + IDS + f" ORDER BY {_US}, ID LIMIT 1000"
+ORACLE_SQL["g01_sample_of_train"] = BASE + IDS + f" WHERE {_SPLIT} = 'train' AND {_US} < 0.2e0"
+ORACLE_SQL["g01_sample_of_test"] = BASE + IDS + f" WHERE {_SPLIT} = 'test' AND {_US} < 0.5e0"
+ORACLE_SQL["g02_cap_of_test"] = BASE + IDS + f" WHERE {_SPLIT} = 'test' ORDER BY {_US}, ID LIMIT 100"
+ORACLE_SQL["j03_overlap_of_samples"] = BASE + f"SELECT ID FROM incidents WHERE {_SPLIT} = 'train' AND {_US} < 0.1e0"
 ORACLE_SQL["g03_split"] = BASE + f"SELECT ID, {_SPLIT} AS split FROM incidents"
 ORACLE_SQL["g04_temporal_split"] = BASE + """
 SELECT ID, CASE WHEN Start_Time < TIMESTAMP '2024-01-22 00:00:00' THEN 'train'

@@ -198,6 +198,27 @@ def g02(spark, base_dir):
     return sampling.sample_cap(_ids(spark, base_dir), 1000, "ID", 42)
 
 
+@register("g01_sample_of_train")
+def g01_train(spark, base_dir):
+    return sampling.sample_fraction(sampling.split(_ids(spark, base_dir))["train"], 0.2, "ID", 42)
+
+
+@register("g01_sample_of_test")
+def g01_test(spark, base_dir):
+    return sampling.sample_fraction(sampling.split(_ids(spark, base_dir))["test"], 0.5, "ID", 42)
+
+
+@register("g02_cap_of_test")
+def g02_test(spark, base_dir):
+    return sampling.sample_cap(sampling.split(_ids(spark, base_dir))["test"], 100, "ID", 42)
+
+
+@register("j03_overlap_of_samples")
+def j03_samples(spark, base_dir):
+    ids = _ids(spark, base_dir)
+    return enrich.split_overlap(sampling.split(ids)["train"], sampling.sample_fraction(ids, 0.1, "ID", 42))
+
+
 @register("g03_split")
 def g03(spark, base_dir):
     return sampling.assign_split(_ids(spark, base_dir)).select("ID", "split")

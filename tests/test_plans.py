@@ -15,7 +15,7 @@ def test_scan_prunes_columns_and_pushes_filters(spark, sf_small):
     df = inc.raw_incidents(spark, sf_small).where(F.col("ID") < 100).select("ID", "Severity")
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "PushedFilters: [IsNotNull(event_id), LessThan(event_id,100)]" in plan
-    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in plan
+    assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
 
 
 def test_dimension_joins_are_broadcast(spark, sf_small):
@@ -38,3 +38,11 @@ def test_top_k_uses_take_ordered(spark, sf_small):
 def test_aggregates_combine_map_side(spark, sf_small):
     plan = _plan(Q.flagship(spark, sf_small))
     assert plan.count("HashAggregate") >= 2 or "partial_" in plan
+
+
+def test_state_is_joined_only_where_it_is_used(spark, sf_small):
+    from sevlens.plans import queries as Q
+    for key in ("v01_shape", "v05_class_distribution", "m01_accuracy"):
+        name = next(k for k in Q.REGISTRY if k.startswith(key.split("_")[0] + "_"))
+        plan = Q.REGISTRY[name](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+        assert "customer" not in plan and "LeftOuter" not in plan, name

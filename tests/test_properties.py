@@ -46,5 +46,5 @@ def test_sample_cap_is_the_n_smallest_hashes(spark, n, total):
     from sevlens.functions.hashing import unit_hash
     df = spark.range(total).withColumnRenamed("id", "ID")
     got = sorted(r.ID for r in sampling.sample_cap(df, n).collect())
-    ranked = df.withColumn("h", unit_hash("ID", sampling.SEED)).orderBy("h", "ID").limit(n)
+    ranked = df.withColumn("h", unit_hash("ID", f"sample:{sampling.SEED}")).orderBy("h", "ID").limit(n)
     assert got == sorted(r.ID for r in ranked.collect())

@@ -66,3 +66,12 @@ def test_salted_repartition_spreads_a_hot_key(spark):
     salted = sampling.partition_stats(sampling.repartition_by(hot, 8, "State", spread=8)).first()
     assert plain.max_rows == 30_000
     assert salted.max_rows < 30_000 and salted.rows == 30_000
+
+
+def test_sample_of_each_split_has_its_share(spark):
+    for name, part in sampling.split(spark.range(20_000).withColumnRenamed("id", "ID")).items():
+        n = part.count()
+        for share in (0.1, 0.2, 0.5):
+            kept = sampling.sample_fraction(part, share).count()
+            assert abs(kept - share * n) < 3 * (n * share * (1 - share)) ** 0.5 + 1, (name, share)
+        assert sampling.sample_cap(part, 500).count() == 500
