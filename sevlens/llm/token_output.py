@@ -56,20 +56,33 @@ class ChunkEncoder:
     being encoded whole.  Distinct chunks are kept up to ``keep`` entries.
     """
 
-    def __init__(self, path: str, dtype: str, keep: int = 600_000):
+    def __init__(self, path: str, dtype: str, keep: int = 700_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype, self.keep, self.known = dtype, keep, {}
+        words = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.leads = np.zeros(max(words.values()) + 1, bool)
+        self.leads[[i for w, i in words.items() if w.startswith("\u0120")]] = True      # the byte-level sign of a space
 
     def learn(self, chunks: set[str]) -> None:
+        """Encodes new chunks; those led by a space in lines of many, cut where a token begins with a space."""
         new = [c for c in chunks if c not in self.known]
-        for i in range(0, len(new), 50_000):
-            part = new[i:i + 50_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, dtype=self.dtype).tobytes()
+        led = [c for c in new if c[0] == " " and len(c) > 1]
+        lines = [led[i:i + 1000] for i in range(0, len(led), 1000)]
+        rest = [c for c in new if c[0] != " " or len(c) == 1]
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast(["".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            at = np.nonzero(self.leads[ids])[0]
+            if len(at) != len(line):            # a token that holds a space elsewhere: one by one
+                rest += line
+                continue
+            raw, cut = ids.tobytes(), (np.append(at, len(ids)) * ids.itemsize).tolist()
+            self.known.update((c, raw[x:y]) for c, x, y in zip(line, cut[:-1], cut[1:]))
+        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.known[c] = np.array(e.ids, dtype=self.dtype).tobytes()
 
     def chunks(self, text: str) -> list[str]:
         words = text.split(" ")
@@ -103,6 +116,16 @@ class ChunkEncoder:
         return out
 
 
+#: One encoder for each worker process and tokenizer, so that later tasks reuse its chunks.
+_ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
+
+
+def encoder_of(path: str, dtype: str) -> ChunkEncoder:
+    if (path, dtype) not in _ENCODERS:
+        _ENCODERS[path, dtype] = ChunkEncoder(path, dtype)
+    return _ENCODERS[path, dtype]
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end_id: int = 0) -> DataFrame:
     """Write the shards of ``docs`` to ``folder``; one row per shard with its token and document base."""
     base, dtype = local_folder(folder), "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -111,7 +134,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int,
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = ChunkEncoder(tokenizer, dtype)
+        encoder = encoder_of(tokenizer, dtype)
         number, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         docs = tokens = 0
         files = {}
