@@ -1,6 +1,8 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and their 4- and 5-letter beginnings.  Over all labelled training rows, term
+Terms are words and their 4- and 5-letter beginnings.  Of copies and near copies under a label
+one trains (rows that share the least hash of their five-word shingles), so that the wording of a
+much-copied text isn't taken for a mark of its label.  Over all labelled training rows so left, term
 counts by label give the terms that mark label 1 (in one of 200 of its rows, ten times as frequent as
 elsewhere, ranked by log-likelihood ratio) and their IDF;
 a bounded sample of labelled rows (``sample`` for each label) gives the examples.  Their
@@ -11,7 +13,7 @@ Votes weighted by distance give a raw score, which isotonic regression over the
 each left out of its own vote, turns into a share of label 1.
 
 Defined results: a null or empty text, or one without a known term, gets the share of such
-texts; labels of null train nothing; of rows that share an id all count; without both labels the
+texts; labels and ids of null train nothing; without both labels the
 score is the share of label 1 (0 without labels); other columns are ignored.
 """
 
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sevlens.llm.common import bounded_sample, checked, held_out, rebatched, stored, strings
+from sevlens.llm.jaccard_join import Shingler
 
 WORDS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -50,6 +53,21 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(checked(y), "doc_id"), "labelled")
 
 
+def distinct_texts(rows: DataFrame, words: int = 5) -> DataFrame:
+    """Rows of the smallest id for each label and least shingle hash; only ids and hashes are shuffled."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(words)
+        for batch in rebatched(batches):
+            h = [shingles(t) for t in strings(batch.column("text"))]
+            least = np.array([x[0] if len(x) else 0 for x in h], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(least)], names=["doc_id", "y", "least"])
+
+    first = rows.mapInArrow(sign, "doc_id long, y int, least long").groupBy("y", "least").agg(F.min("doc_id").alias("doc_id"))
+    ids = stored(first.select("doc_id", "y"), "training-ids")
+    return stored(rows.join(checked(ids), ["doc_id", "y"], "left_semi"), "training-rows")
+
+
 def term_counts(rows: DataFrame) -> DataFrame:
     """(term, n0, n1): rows of each label that hold the term; the empty term counts rows."""
 
@@ -138,7 +156,8 @@ def vector(text: str, known: dict, idf: np.ndarray) -> tuple[np.ndarray, np.ndar
 def fit(rows: DataFrame, sample: int = 1500, most_terms: int = 2000, least: float = 24.0, lift: float = 10.0, share: int = 200,
         k: int = 15) -> dict:
     """Model from labelled rows (doc_id, text, y in 0, 1)."""
-    rows = rows.where("y IN (0, 1)").select("doc_id", F.col("text").cast("string").alias("text"), F.col("y").cast("int").alias("y"))
+    rows = distinct_texts(rows.where("y IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                                           F.col("y").cast("int").alias("y")))
     per = dict(rows.groupBy("y").count().collect())
     all0, all1 = per.get(0, 0), per.get(1, 0)
     model = {"known": {}, "k": k, "none": all1 / max(all0 + all1, 1)}

@@ -216,6 +216,19 @@ def test_toxicity_learns_and_handles_edges(spark, empty):
     assert [x.score for x in toxicity.score(odd, none).collect()] == [0.0] * 4 and r
 
 
+def test_copies_of_a_toxic_text_mark_no_words(spark):
+    rows = [(i, passage(30, i) + (" vile" if i % 4 == 0 else "") + " end", int(i % 4 == 0)) for i in range(400)]
+    often = "harmless " + passage(80, 1000)
+    rows += [(1000 + i, f"{often} vile {passage(2, 2000 + i)}", 1) for i in range(60)]
+    train = spark.createDataFrame(rows + rows[:7], "doc_id long, text string, y int")
+    kept = toxicity.distinct_texts(train)
+    assert kept.where("doc_id >= 1000").count() <= 6 and kept.where("doc_id < 1000").select("doc_id").distinct().count() == 400
+    model = toxicity.fit(train, sample=100)
+    assert "vile" in model["known"] and "harmless" not in model["known"]
+    got = toxicity.score(spark.createDataFrame([(1, "a harmless text"), (2, "a vile text")], "doc_id long, text string"), model).collect()
+    assert [x.score >= 0.7 for x in sorted(got, key=lambda x: x.doc_id)] == [False, True]
+
+
 def test_decontamination_small_blocks_and_edges(spark, docs, rows, empty):
     items = [(1, rows[0][1]), (2, "one two"), (3, None), (4, ""), (5, passage(13, 4)), (6, "nowhere to be seen")]
     bench = spark.createDataFrame(items, "item_id long, text string")
