@@ -3,8 +3,9 @@
 Every string of ``least`` bytes holds one anchor, its 12-byte gram of least hash, so equal
 strings have equal anchors.  Consecutive strings of one anchor form a segment (under twice
 ``least`` bytes); segments go to buckets by anchor hash, packed and compressed.  Equal
-segments of one batch of documents go once, the later ones being repeats already, so a passage
-that a third of the documents hold arrives once per batch.
+segments of one batch of documents go once, from the first place by (doc_id, start) in whatever
+order they are read; the other places are repeats already, so a passage that a third of the
+documents hold arrives once per batch.
 
 In a bucket, suffixes that start a repeated string with differing bytes before it (others are
 covered by the string one byte longer to the left) are sorted into a suffix array with
@@ -21,6 +22,7 @@ a hash of the text; an empty table gives an empty result; other columns are igno
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +51,7 @@ def anchors(b: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     eight, four = word64(b)
     h = eight[:len(b) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
     h ^= four[8:8 + len(h)] * np.uint64(0xC2B2AE3D27D4EB4F)
+    del eight, four
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     bits = np.uint64(int(len(h)).bit_length())
@@ -94,15 +97,16 @@ def unpack(blob: bytes) -> list[bytes]:
 
 
 class Segments:
-    """Collects the segments of documents, in their order, for the buckets."""
+    """Collects the segments of documents, read in any order, for the buckets."""
 
     def __init__(self, least: int, buckets: int):
         self.least, self.buckets = least, buckets
         self.clear()
 
     def clear(self) -> None:
-        self.seen: dict[bytes, None] = {}
-        self.bucket, self.row, self.spans, self.size = [], [], [], 0
+        self.seen: dict[bytes, int] = {}        # the segment's place in bucket and row
+        self.bucket, self.size = array("q"), 0
+        self.row, self.spans = array("q"), array("q")        # three and four numbers each, flat
 
     def add(self, docs: list[tuple[int, int, bytes]]) -> None:
         """Documents (id, text hash, bytes) in ascending order, each at least ``least`` long."""
@@ -119,24 +123,32 @@ class Segments:
         ok = valid[first]
         first, last = first[ok], last[ok] - 1 + self.least
         owner, bucket = doc[first], (h[first] % np.uint64(self.buckets)).astype(np.int64)
-        seen, spans = self.seen, self.spans
+        seen, spans, row = self.seen, self.spans, self.row
         for s, e, d, k in zip(first.tolist(), last.tolist(), owner.tolist(), bucket.tolist()):
             text, (i, t, _), at = data[s:e], docs[d], s - int(begin[d])
-            if text in seen:
-                if spans and spans[-1][0] == i and spans[-1][1] == t and at <= spans[-1][3]:
-                    spans[-1] = (i, t, spans[-1][2], at + e - s)
-                else:
-                    spans.append((i, t, at, at + e - s))
-            else:
-                seen[text] = None
+            known = seen.get(text)
+            if known is None:
+                seen[text] = len(self.bucket)
                 self.bucket.append(k)
-                self.row.append((i, t, at))
+                row.extend((i, t, at))
                 self.size += e - s
+                continue
+            place, first_place = (i, t, at), tuple(row[3 * known:3 * known + 3])
+            if place == first_place:            # a repeated row
+                continue
+            if place < first_place:             # read later, but the first: the place so far is the repeat
+                row[3 * known:3 * known + 3] = array("q", place)
+                i, t, at = first_place
+            if spans and spans[-4] == i and spans[-3] == t and spans[-2] <= at <= spans[-1]:
+                spans[-1] = max(spans[-1], at + e - s)
+            else:
+                spans.extend((i, t, at, at + e - s))
 
     def rows(self) -> pa.RecordBatch:
         """One packed row for each bucket; the spans found here travel with the first."""
-        order = np.argsort(np.array(self.bucket, np.int64), kind="stable")
-        texts, bucket = list(self.seen), np.array(self.bucket, np.int64)[order]
+        bucket = np.array(self.bucket, np.int64)
+        order = np.argsort(bucket, kind="stable")
+        texts, bucket = list(self.seen), bucket[order]
         cuts = [0, *(np.nonzero(np.diff(bucket))[0] + 1), len(bucket)] if len(bucket) else [0]
         spans = np.array(self.spans, "<i8").reshape(-1, 4)
         out, blobs, where = [], [], np.array(self.row, "<i8").reshape(-1, 3)

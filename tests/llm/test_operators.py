@@ -54,6 +54,20 @@ def test_repeated_rows_are_one_document(docs):
     assert len(twice) == 2 * len(once) and {tuple(r) for r in twice} == once
 
 
+def test_first_occurrence_stays_in_any_order(spark, rows):
+    most = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    down = sorted(rows, reverse=True)
+    mixed = random.Random(8).sample(rows + rows, 2 * len(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")     # many pieces in one task
+    try:
+        for given in (down, down + down, mixed):
+            df = spark.createDataFrame(given, "doc_id long, text string").coalesce(1)
+            got = repeats.kept_bytes(repeats.with_repeats(df)).collect()
+            assert len(got) == len(given) and {r[0]: tuple(r)[1:] for r in got} == brute.removed(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+
+
 def test_maximal_repeats_have_diverse_left_bytes():
     # suffixes 0-2 share 5, 0-1 share 8; all have the same byte before except the last
     found = list(repeats.maximal_repeats([0, 8, 5], np.array([1, 1, 2]), 5))
