@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and their 4- and 5-letter beginnings.  Of copies and near copies under a label
-one trains (rows that share the least hash of their five-word shingles), so that the wording of a
-much-copied text isn't taken for a mark of its label.  Over all labelled training rows so left, term
+one trains (operator 8 within the label: linked by verified five-word Jaccard similarities of 0.8 or
+more), so that the wording of a much-copied text isn't taken for a mark of its label.  Over all labelled training rows so left, term
 counts by label give the terms that mark label 1 (in one of 200 of its rows, ten times as frequent as
 elsewhere, ranked by log-likelihood ratio) and their IDF;
 a bounded sample of labelled rows (``sample`` for each label) gives the examples.  Their
@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sevlens.llm import jaccard_join
 from sevlens.llm.common import bounded_sample, checked, held_out, rebatched, stored, strings
-from sevlens.llm.jaccard_join import Shingler
 
 WORDS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -53,18 +53,11 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(checked(y), "doc_id"), "labelled")
 
 
-def distinct_texts(rows: DataFrame, words: int = 5) -> DataFrame:
-    """Rows of the smallest id for each label and least shingle hash; only ids and hashes are shuffled."""
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(words)
-        for batch in rebatched(batches):
-            h = [shingles(t) for t in strings(batch.column("text"))]
-            least = np.array([x[0] if len(x) else 0 for x in h], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(least)], names=["doc_id", "y", "least"])
-
-    first = rows.mapInArrow(sign, "doc_id long, y int, least long").groupBy("y", "least").agg(F.min("doc_id").alias("doc_id"))
-    ids = stored(first.select("doc_id", "y"), "training-ids")
+def distinct_texts(rows: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
+    """Rows of the smallest id of each group of verified near copies under a label."""
+    kept = [jaccard_join.join(rows.where(F.col("y") == y), threshold, words).where("kept AND doc_id IS NOT NULL")
+            .select("doc_id", F.lit(y).alias("y")).distinct() for y in (0, 1)]
+    ids = stored(kept[0].unionByName(kept[1]), "training-ids")
     return stored(rows.join(checked(ids), ["doc_id", "y"], "left_semi"), "training-rows")
 
 

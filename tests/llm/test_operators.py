@@ -243,6 +243,14 @@ def test_copies_of_a_toxic_text_mark_no_words(spark):
     assert [x.score >= 0.7 for x in sorted(got, key=lambda x: x.doc_id)] == [False, True]
 
 
+def test_texts_that_share_a_passage_all_train(spark):
+    quote = passage(20, 3000)
+    rows = [(i, f"{passage(30, 3001 + i)} {quote}", i % 2) for i in range(120)]
+    rows += [(200 + i, f"{rows[0][1]} {passage(1, 4000 + i)}", 0) for i in range(5)]      # near copies of the first
+    train = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    assert sorted(r.doc_id for r in toxicity.distinct_texts(train).collect()) == list(range(120))
+
+
 def test_decontamination_small_blocks_and_edges(spark, docs, rows, empty):
     items = [(1, rows[0][1]), (2, "one two"), (3, None), (4, ""), (5, passage(13, 4)), (6, "nowhere to be seen")]
     bench = spark.createDataFrame(items, "item_id long, text string")
