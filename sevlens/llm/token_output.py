@@ -53,7 +53,8 @@ class ChunkEncoder:
     The pre-tokenizer always cuts before a space that a non-space follows and on both
     sides of a line feed between non-spaces, so chunks cut there encode on their
     own; a line that holds other white space is cut only where that is certain, by
-    being encoded whole.  Distinct chunks are kept up to ``keep`` entries.
+    being encoded whole, and so is a text that holds an added token such as
+    <|endoftext|>.  Distinct chunks are kept up to ``keep`` entries.
     """
 
     def __init__(self, path: str, dtype: str, keep: int = 700_000):
@@ -61,22 +62,26 @@ class ChunkEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype, self.keep, self.known = dtype, keep, {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.leads = np.zeros(max(words.values()) + 1, bool)
         self.leads[[i for w, i in words.items() if w.startswith("\u0120")]] = True      # the byte-level sign of a space
 
+    def holds_added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
+
     def learn(self, chunks: set[str]) -> None:
         """Encodes new chunks; those led by a space in lines of many, cut where a token begins with a space."""
         new = [c for c in chunks if c not in self.known]
-        led = [c for c in new if c[0] == " " and len(c) > 1]
+        led, rest = [], []
+        for c in new:
+            (led if c[0] == " " and len(c) > 1 and not self.holds_added(c) else rest).append(c)
         lines = [led[i:i + 1000] for i in range(0, len(led), 1000)]
-        rest = [c for c in new if c[0] != " " or len(c) == 1]
         for line, e in zip(lines, self.tokenizer.encode_batch_fast(["".join(x) for x in lines], add_special_tokens=False)):
             ids = np.array(e.ids, self.dtype)
             at = np.nonzero(self.leads[ids])[0]
-            if len(at) != len(line):            # a token that holds a space elsewhere: one by one
+            if len(at) != len(line) or self.holds_added("".join(line)):    # a token that holds a space elsewhere: one by one
                 rest += line
                 continue
             raw, cut = ids.tobytes(), (np.append(at, len(ids)) * ids.itemsize).tolist()
@@ -94,6 +99,8 @@ class ChunkEncoder:
         """Chunks whose encodings, put together, are the encoding of ``text``."""
         if not text:
             return []
+        if self.holds_added(text):
+            return [text]
         lines = text.split("\n")
         if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
             return [text]                   # runs of white space around a line feed
