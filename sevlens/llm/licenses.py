@@ -40,12 +40,18 @@ SENTENCES = (
     "licensed under cc by nc 4 0",
     "this work is licensed under a creative commons attribution 4 0 international license",
     "all rights reserved",
+    # 22-25: the header of sentences 10 and 11 as its colon and semicolon cut it
+    "this program is free software",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "this program is distributed in the hope that it will be useful but without any warranty",
+    "without even the implied warranty of merchantability or fitness for a particular purpose",
 )
 # Fixed values: (licence, identifiers in order).
 RULES = (
     ("MIT", (1,)), ("MIT", (2,)), ("MIT", (3, 4, 5)), ("Apache-2.0", (6,)), ("Apache-2.0", (7, 8)), ("GPL-3.0", (9,)),
     ("GPL-3.0-or-later", (10, 11)), ("BSD-2-Clause", (12, 13, 14)), ("BSD-3-Clause", (12, 13, 14, 15)), ("ISC", (16,)), ("CC-BY-4.0", (17,)),
     ("CC-BY-4.0", (20,)), ("CC-BY-SA-4.0", (18,)), ("CC-BY-NC-4.0", (19,)), ("Proprietary", (21,)),
+    ("GPL-3.0-or-later", (22, 23, 24, 25)),
 )
 #: Ends of sentences where lines end sentences, and where only marks and blank lines do.
 LINE_END = r"[.:;!?][ \t]+|\r?\n"

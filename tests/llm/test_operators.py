@@ -295,3 +295,61 @@ def test_license_rules(spark, empty):
     got = {r.doc_id: r.licenses for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: "MIT", 2: "Apache-2.0", 3: "", 4: "", 5: "MIT,Proprietary", 6: ""}
     assert licenses.scan_licenses(empty).count() == 0
+
+
+GENUINE = {
+    "GPL-3.0-or-later": """
+    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.
+""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""",
+    "MIT": "Licensed under the MIT license.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0\nInternational License.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0", "Proprietary": "Copyright (c) 2020 X. All rights reserved.",
+}
+GENUINE["BSD-2-Clause,BSD-3-Clause"] = GENUINE["BSD-2-Clause"] + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_every_license_by_its_genuine_text(spark):
+    names = list(GENUINE)
+    assert {n for x in names for n in x.split(",")} == {name for name, _ in licenses.RULES}
+    forms = (lambda t: t, lambda t: "\n".join(f"# {line}" for line in t.strip().split("\n")), lambda t: " ".join(t.split()),
+             lambda t: "int x;\n\n" + t.replace("\n", "\r\n"))
+    rows = [(10 * i + j, form(GENUINE[n])) for i, n in enumerate(names) for j, form in enumerate(forms)]
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {10 * i + j: n for i, n in enumerate(names) for j in range(len(forms))}
+    lesser = GENUINE["GPL-3.0-or-later"].replace("GNU General", "GNU Lesser General")
+    assert [r.licenses for r in licenses.scan_licenses(spark.createDataFrame([(1, lesser)], "doc_id long, text string")).collect()] == [""]
