@@ -3,8 +3,8 @@
 Terms are words and their 4- and 5-letter beginnings.  Of copies and near copies under a label
 one trains (operator 8 within the label: linked by verified five-word Jaccard similarities of 0.8 or
 more), so that the wording of a much-copied text isn't taken for a mark of its label.  Over all labelled training rows so left, term
-counts by label give the terms that mark label 1 (in one of 200 of its rows, ten times as frequent as
-elsewhere, ranked by log-likelihood ratio) and their IDF;
+counts by label give the terms that mark label 1 (in three of its rows, ten times as frequent as
+elsewhere, with a log-likelihood ratio of 24 or more, however many) and their IDF;
 a bounded sample of labelled rows (``sample`` for each label) gives the examples.  Their
 vectors form an inverted index cut into blocks of examples with the largest weight of every
 term in every block.  A text's blocks are read by falling bound, and reading stops when
@@ -146,8 +146,7 @@ def vector(text: str, known: dict, idf: np.ndarray) -> tuple[np.ndarray, np.ndar
     return t, w / np.linalg.norm(w) if len(w) else w
 
 
-def fit(rows: DataFrame, sample: int = 1500, most_terms: int = 2000, least: float = 24.0, lift: float = 10.0, share: int = 200,
-        k: int = 15) -> dict:
+def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float = 10.0, support: int = 3, k: int = 15) -> dict:
     """Model from labelled rows (doc_id, text, y in 0, 1)."""
     rows = distinct_texts(rows.where("y IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                                            F.col("y").cast("int").alias("y")))
@@ -157,9 +156,9 @@ def fit(rows: DataFrame, sample: int = 1500, most_terms: int = 2000, least: floa
     if not all0 or not all1:
         return model
     g = likelihood_ratio(F.col("n0"), F.col("n1"), all0, all1)
-    marks = (F.col("n1") >= max(3, all1 / share)) & (F.col("n1") * all0 >= lift * all1 * F.col("n0"))
+    marks = (F.col("n1") >= support) & (F.col("n1") * all0 >= lift * all1 * F.col("n0"))
     kept = (term_counts(rows).where("term <> ''").where(marks).withColumn("g", g).where(F.col("g") >= least)
-            .orderBy(F.desc("g"), "term").limit(most_terms).collect())
+            .orderBy(F.desc("g"), "term").collect())
     known = {r["term"]: i for i, r in enumerate(kept)}
     idf = np.array([math.log((all0 + all1) / (r["n0"] + r["n1"])) + 0.1 for r in kept])
 

@@ -271,6 +271,14 @@ def test_texts_that_share_a_passage_all_train(spark):
     assert sorted(r.doc_id for r in toxicity.distinct_texts(train).collect()) == list(range(120))
 
 
+def test_rare_marks_are_learned_however_many_rows(spark):
+    words = lambda kind, i: " ".join(f"{kind}{'abcdefghij'[int(d)]}" for d in f"{i:04d}")
+    rows = [(i, f"{words('so', i)} {passage(8, 5000 + i)}" + (" vile" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(8000)]
+    rows = [(i, t + (" zurkig" if i in range(0, 36, 4) else ""), y) for i, t, y in rows]        # in 9 of 2,000 toxic rows
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, y int"), sample=50)
+    assert {"vile", "zurkig"} <= set(model["known"])
+
+
 def test_decontamination_small_blocks_and_edges(spark, docs, rows, empty):
     items = [(1, rows[0][1]), (2, "one two"), (3, None), (4, ""), (5, passage(13, 4)), (6, "nowhere to be seen")]
     bench = spark.createDataFrame(items, "item_id long, text string")
