@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sevlens.llm import decontaminate, embedding_dedup, jaccard_join, language, licenses, mixing, repeats, secrets, token_output, toxicity
+from sevlens.llm import (decontaminate, embedding_dedup, jaccard_join, language, licenses, merkle, mixing, oracle, prefix_trie, repeats, secrets, substrings,
+                         token_output, toxicity)
 from sevlens.llm.common import held_out, read, stored
 from sevlens.session import scratch_path
 
@@ -75,6 +76,18 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.kept_bytes(repeats.with_repeats(read(spark, sf_dir, "documents"), 100))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(read(spark, sf_dir, "documents"))
+
+
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.kept_words(substrings.with_repeats(read(spark, sf_dir, "documents"), 50))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(prefix_trie.rebuilt(read(spark, sf_dir, "conversations")))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_language": op2_language,
@@ -86,7 +99,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_repeats": op10_repeats,
+    "op11_merkle": op11_merkle,
+    "op12_substrings": op12_substrings,
+    "op13_prefix_trie": op13_prefix_trie,
 }
+
 #: The words of a text, as in the contract of operator 9.
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -137,4 +154,7 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op11_merkle": oracle.MERKLE,
+    "op12_substrings": oracle.SUBSTRINGS,
+    "op13_prefix_trie": oracle.PREFIX_TRIE,
 }

@@ -97,10 +97,94 @@ def tokens(rows):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     out, at = [], 0
     for i, text in rows:
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
         out.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
     return out
+
+
+SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def kept_words(rows, least=50):
+    """{(doc_id, text): (n_words, n_removed, sha256)} by a table of all windows; a null id comes first."""
+    order = lambda i: (i is not None, i or 0)
+    split, low = [(i, t, SPLIT.findall(t or "")) for i, t in rows], {}
+    for i, _, w in split:
+        for s in range(len(w) - least + 1):
+            x = tuple(w[s:s + least])
+            low[x] = min(low.get(x, order(i)), order(i))
+    out = {}
+    for i, t, w in split:
+        gone = [False] * len(w)
+        for s in range(len(w) - least + 1):
+            if low[tuple(w[s:s + least])] < order(i):
+                gone[s:s + least] = [True] * least
+        kept = [x for x, g in zip(w, gone) if not g]
+        out[i, t] = (len(w), sum(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest())
+    return out
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle(rows):
+    """Sorted (doc_id, leaf, subroot, root, proof, folded root, verified) of rows (doc_id, source, lang, n_chars, text)."""
+    def leaf(row):
+        return sha("".join("-" if x is None else f"{len(str(x).encode())}:{x}" for x in row))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([sha("".join(out[-1][i:i + 3])) for i in range(0, len(out[-1]), 3)])
+        return out
+
+    def path(tree, i):
+        for level in tree[:-1]:
+            s = i - i % 3
+            yield level[s:i], level[i + 1:s + 3]
+            i //= 3
+
+    by = defaultdict(list)
+    for row in rows:
+        by[row[1]].append((row[0] is not None, row[0] or 0, leaf(row), row))
+    sources = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: sorted(by[s], key=lambda x: x[:3]) for s in sources}
+    lower = {s: levels([x[2] for x in trees[s]]) for s in sources}
+    top = levels([lower[s][-1][0] for s in sources]) if sources else []
+    out = []
+    for j, s in enumerate(sources):
+        for i, (_, _, own, row) in enumerate(trees[s]):
+            way, node = [*path(lower[s], i), *path(top, j)], own
+            if row[0] is not None and row[4] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0:
+                node = leaf((*row[:4], row[4].replace("\n", "")))
+            for a, b in way:
+                node = sha("".join([*a, node, *b]))
+            out.append((row[0], own, lower[s][-1][0], top[-1][0], sha("".join(x for a, b in way for x in a + b)), node, node == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def trie(rows):
+    """Sorted nodes of the prefixes of rebuilt conversations, from rows (conv_id, turn, role, text)."""
+    own, members, ends, children, below = defaultdict(list), defaultdict(list), defaultdict(list), defaultdict(list), {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(v, key=lambda x: x[:2])] for c, v in own.items()}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        seq = tuple(own.get(c - c % 100, [])[:h] + own[c][h:])
+        for d in range(len(seq) + 1):
+            members[seq[:d]].append(c)
+        ends[seq].append(c)
+    for p in members:
+        if p:
+            children[p[:-1]].append(p)
+    for p in sorted(members, key=len, reverse=True):
+        below[p] = (sum(below[x][0] for x in children[p]) or 1,
+                    (len(members[p]) - 1) * (len(p[-1][1]) if p else 0) + sum(below[x][1] for x in children[p]))
+    return sorted(((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(children[p]), *below[p], sha(",".join(map(str, sorted(ends[p])))))
+                   for p, m in members.items()), key=str)
