@@ -1,8 +1,11 @@
 """Removal of repeated byte strings by an enhanced suffix array.
 
 Every string of ``least`` bytes holds one anchor, its 12-byte gram of least hash, so equal
-strings have equal anchors.  Consecutive strings of one anchor form a segment (under twice
-``least`` bytes); segments go to buckets by anchor hash, packed and compressed.  Equal
+strings have equal anchors.  Grams that a hundredth of a bounded sample of documents hold come after
+all others, so the anchor of a string at the edge of a line that every document has is not that
+line's.  Consecutive strings of one anchor form a segment (under twice
+``least`` bytes); segments go to buckets by anchor hash, packed and compressed, and a bucket is
+worked off in parts of about 2 MB.  Equal
 segments of one batch of documents go once, from the first place by (doc_id, start) in whatever
 order they are read; the other places are repeats already, so a passage that a third of the
 documents hold arrives once per batch.
@@ -27,7 +30,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,9 @@ from sevlens.llm.common import rebatched, stored
 
 GRAM = 12
 NULL_ID = -(1 << 63)
-BUCKET_BYTES = 8 << 20
+PART_BYTES = 2 << 20
+PARTS = 4           # of a bucket
+FREQUENT_BITS = 22
 
 
 def word64(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -46,16 +50,27 @@ def word64(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (four[:-4] << np.uint64(32)) | four[4:], four
 
 
-def anchors(b: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each start of a string of ``least`` bytes: the place of its anchor and the anchor's hash."""
+def grams(b: np.ndarray) -> np.ndarray:
+    """Hash of the 12 bytes from every start."""
     eight, four = word64(b)
     h = eight[:len(b) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
     h ^= four[8:8 + len(h)] * np.uint64(0xC2B2AE3D27D4EB4F)
-    del eight, four
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h
+
+
+def anchors(b: np.ndarray, least: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each start of a string of ``least`` bytes: the place of its anchor and the anchor's hash.
+
+    ``frequent`` says of each value of a hash's first bits whether such a gram comes after all others.
+    """
+    h = grams(b)
     bits = np.uint64(int(len(h)).bit_length())
-    key = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)     # of equal hashes the first
+    key = h >> np.uint64(1) >> bits << bits
+    if frequent is not None:
+        key |= frequent[(h >> np.uint64(64 - FREQUENT_BITS)).astype(np.int32)].astype(np.uint64) << np.uint64(63)
+    key |= np.arange(len(h), dtype=np.uint64)                          # of equal hashes the first
     width, span = least - GRAM + 1, 1
     while span * 2 <= width:
         key = np.minimum(key[:-span], key[span:])
@@ -85,11 +100,15 @@ def string_hashes(b: np.ndarray, least: int) -> np.ndarray:
 
 
 def pack(*parts: bytes) -> bytes:
+    import zstandard
+
     sizes = np.array([len(parts), *map(len, parts)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(sizes + b"".join(parts))
+    return zstandard.ZstdCompressor(level=5).compress(sizes + b"".join(parts))
 
 
 def unpack(blob: bytes) -> list[bytes]:
+    import zstandard
+
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(raw, "<i8", 1)[0])
     ends = 8 * (n + 1) + np.concatenate([[0], np.cumsum(np.frombuffer(raw, "<i8", n, 8))])
@@ -99,13 +118,13 @@ def unpack(blob: bytes) -> list[bytes]:
 class Segments:
     """Collects the segments of documents, read in any order, for the buckets."""
 
-    def __init__(self, least: int, buckets: int):
-        self.least, self.buckets = least, buckets
+    def __init__(self, least: int, parts: int, frequent: np.ndarray | None = None):
+        self.least, self.parts, self.frequent = least, parts, frequent
         self.clear()
 
     def clear(self) -> None:
         self.seen: dict[bytes, int] = {}        # the segment's place in bucket and row
-        self.bucket, self.size = array("q"), 0
+        self.part, self.size = array("q"), 0
         self.row, self.spans = array("q"), array("q")        # three and four numbers each, flat
 
     def add(self, docs: list[tuple[int, int, bytes]]) -> None:
@@ -113,7 +132,7 @@ class Segments:
         data = b"".join(t for _, _, t in docs)
         sizes = np.array([len(t) for _, _, t in docs])
         begin = np.cumsum(sizes) - sizes
-        place, h = anchors(np.frombuffer(data, np.uint8), self.least)
+        place, h = anchors(np.frombuffer(data, np.uint8), self.least, self.frequent)
         doc = np.repeat(np.arange(len(docs)), sizes)[:len(place)]
         valid = np.arange(len(place)) <= (begin + sizes - self.least)[doc]
         cut = np.ones(len(place), bool)
@@ -122,14 +141,14 @@ class Segments:
         last = np.append(first[1:], len(place))
         ok = valid[first]
         first, last = first[ok], last[ok] - 1 + self.least
-        owner, bucket = doc[first], (h[first] % np.uint64(self.buckets)).astype(np.int64)
+        owner, part = doc[first], (h[first] % np.uint64(self.parts)).astype(np.int64)
         seen, spans, row = self.seen, self.spans, self.row
-        for s, e, d, k in zip(first.tolist(), last.tolist(), owner.tolist(), bucket.tolist()):
+        for s, e, d, k in zip(first.tolist(), last.tolist(), owner.tolist(), part.tolist()):
             text, (i, t, _), at = data[s:e], docs[d], s - int(begin[d])
             known = seen.get(text)
             if known is None:
-                seen[text] = len(self.bucket)
-                self.bucket.append(k)
+                seen[text] = len(self.part)
+                self.part.append(k)
                 row.extend((i, t, at))
                 self.size += e - s
                 continue
@@ -146,9 +165,9 @@ class Segments:
 
     def rows(self) -> pa.RecordBatch:
         """One packed row for each bucket; the spans found here travel with the first."""
-        bucket = np.array(self.bucket, np.int64)
-        order = np.argsort(bucket, kind="stable")
-        texts, bucket = list(self.seen), bucket[order]
+        part_of = np.array(self.part, np.int64)
+        order = np.argsort(part_of, kind="stable")
+        texts, bucket = list(self.seen), part_of[order] // PARTS
         cuts = [0, *(np.nonzero(np.diff(bucket))[0] + 1), len(bucket)] if len(bucket) else [0]
         spans = np.array(self.spans, "<i8").reshape(-1, 4)
         out, blobs, where = [], [], np.array(self.row, "<i8").reshape(-1, 3)
@@ -157,6 +176,7 @@ class Segments:
             own = [texts[i] for i in part]
             out.append(int(bucket[s]))
             blobs.append(pack(np.array([len(x) for x in own], "<i4").tobytes(), where[part].T.tobytes(), b"".join(own),
+                              (part_of[part] % PARTS).astype(np.int8).tobytes(),
                               spans.T.tobytes() if s == 0 else b""))
         self.clear()
         return pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
@@ -189,7 +209,9 @@ def bucket_spans(sizes: np.ndarray, where: np.ndarray, data: bytes, least: int)
     h = string_hashes(b, least)[q]
     bits = np.uint64(int(len(q)).bit_length())
     key = np.sort((h >> bits << bits) | np.arange(len(q), dtype=np.uint64))
+    del h
     at, top = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), key >> bits
+    del key
     same = top[1:] == top[:-1]
     member = np.zeros(len(at), bool)
     member[1:] |= same
@@ -206,6 +228,7 @@ def bucket_spans(sizes: np.ndarray, where: np.ndarray, data: bytes, least: int)
     if not len(at):
         return none
     p, s = q[at], seg[at]
+    del q, seg, member, top
     e = ends[s]
     suffix = [data[x:y] for x, y in zip(p.tolist(), e.tolist())]
     order = np.array(sorted(range(len(suffix)), key=suffix.__getitem__))
@@ -242,18 +265,44 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[at, 0], far[np.append(at[1:], len(far)) - 1]], axis=1)
 
 
+def frequent_grams(docs: DataFrame, n: int, total: int, sample: int = 8 << 20, share: float = 0.01) -> np.ndarray:
+    """For each value of a gram hash's first bits: whether such a gram is in ``share`` of the documents (8 at least) of about ``sample`` bytes.
+
+    It decides only which anchors serve, never which strings count as repeated.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rebatched(batches, 1 << 20):
+            own = [np.unique(grams(np.frombuffer(t, np.uint8)) >> np.uint64(64 - FREQUENT_BITS))
+                   for t in batch.column("text").cast(pa.binary()).to_pylist() if len(t) >= GRAM]
+            if own:
+                value, m = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(m.astype(np.int64))], names=["gram", "m"])
+
+    every = max(1, total // sample)
+    some = docs.where(F.pmod(F.xxhash64(F.lit("grams"), "id", "h"), F.lit(every)) == 0)
+    out = np.zeros(1 << FREQUENT_BITS, np.uint8)
+    least = max(8, int(share * n / every))
+    # at most one row for each value of the first bits
+    found = some.select("text").mapInArrow(count, "gram long, m long").groupBy("gram").agg(F.sum("m").alias("m")).where(F.col("m") >= least).select("gram")
+    for batch in found.toArrow().to_batches():
+        out[batch.column("gram").to_numpy()] = 1
+    return out
+
+
 def with_repeats(docs: DataFrame, least: int = 100) -> DataFrame:
     """(doc_id, text, spans): each document with its removed runs [start, end) in bytes, flat and ascending."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total, n = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     spark = docs.sparkSession
     # about 3.2 bytes of segments for each byte of text
-    buckets = max(2 * spark.sparkContext.defaultParallelism, -(-int(total * 3.2) // BUCKET_BYTES))
+    parts = max(2 * PARTS * spark.sparkContext.defaultParallelism, -(-int(total * 3.2) // PART_BYTES))
+    often = spark.sparkContext.broadcast(frequent_grams(docs, n, total))          # 4 MB
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments = Segments(least, buckets)
-        for batch in rebatched(batches, 3 << 20):
+        segments = Segments(least, parts, often.value)
+        for batch in rebatched(batches, 1 << 20):
             rows = zip(batch.column("id").to_pylist(), batch.column("h").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
             own = sorted({r for r in rows if len(r[2]) >= least})
             if own:
@@ -264,24 +313,32 @@ def with_repeats(docs: DataFrame, least: int = 100) -> DataFrame:
             yield segments.rows()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, held, spans = None, [], []
+        bucket, held, spans = None, [], []          # held: part, sizes, places, bytes
         for batch in batches:
             for k, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist()):
                 if k != bucket and held:
                     yield from span_rows(held, spans)
                     held, spans = [], []
                 bucket = k
-                sizes, where, data, own = unpack(blob)
-                held.append((np.frombuffer(sizes, "<i4").astype(np.int64), np.frombuffer(where, "<i8").reshape(3, -1), data))
+                sizes, where, data, part, own = unpack(blob)
+                sizes, part = np.frombuffer(sizes, "<i4").astype(np.int64), np.frombuffer(part, np.int8)
+                ends, cuts = np.cumsum(sizes), np.searchsorted(part, np.arange(PARTS + 1))      # a blob has its parts one after the other
+                for i, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    if s < e:
+                        held.append((i, sizes[s:e], np.frombuffer(where, "<i8").reshape(3, -1)[:, s:e], data[ends[s] - sizes[s]:ends[e - 1]]))
                 spans.append(np.frombuffer(own, "<i8").reshape(4, -1).T)
         if held:
             yield from span_rows(held, spans)
 
     def span_rows(held: list, spans: list) -> Iterator[pa.RecordBatch]:
         """Spans of one bucket, united for each document."""
-        more = bucket_spans(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held], axis=1),
-                            b"".join(x[2] for x in held), least)
-        rows = np.concatenate([more, *spans])
+        more = []
+        for i in range(PARTS):
+            own = [x[1:] for x in held if x[0] == i]
+            held[:] = [x for x in held if x[0] != i]
+            if own:
+                more.append(bucket_spans(np.concatenate([x[0] for x in own]), np.concatenate([x[1] for x in own], axis=1), b"".join(x[2] for x in own), least))
+        rows = np.concatenate([*more, *spans])
         if not len(rows):
             return
         rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]

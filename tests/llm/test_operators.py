@@ -68,6 +68,20 @@ def test_first_occurrence_stays_in_any_order(spark, rows):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
 
 
+def test_one_line_in_every_document(spark):
+    line, r = "this line stands in every single document of the table, whatever else it says; ", random.Random(21)
+    rows = [(i, f"{passage(20, 900 + i)} {line}{passage(20, 1900 + i % 40)}") for i in range(120)] + [(200 + i, line * 3) for i in range(40)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x[0]: tuple(x)[1:] for x in repeats.kept_bytes(repeats.with_repeats(df)).collect()}
+    assert got == brute.removed(rows)
+    often = repeats.frequent_grams(df.selectExpr("doc_id AS id", "text", "xxhash64(text) AS h"), len(rows), sum(len(t.encode()) for _, t in rows))
+    text = dict(rows)[7].encode()
+    at, _ = repeats.anchors(np.frombuffer(text, np.uint8), 100, often)
+    where = text.find(line.encode())
+    assert not ((at >= where) & (at + repeats.GRAM <= where + len(line))).any()     # no anchor within the line
+
+
 def test_maximal_repeats_have_diverse_left_bytes():
     # suffixes 0-2 share 5, 0-1 share 8; all have the same byte before except the last
     found = list(repeats.maximal_repeats([0, 8, 5], np.array([1, 1, 2]), 5))
