@@ -6,9 +6,11 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from sevlens.session import scratch_path
 
@@ -36,12 +38,66 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked(keys: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """``keys`` (a few numbers a row, cheap to count) with a broadcast hint if it has at most ``rows`` rows.
+#: Bits of the map of a key set that is broadcast, whatever the set's size: 8 MB.
+MAP_BITS = 1 << 26
 
-    Beyond that the join is left to Spark, which shuffles both sides.
+
+def may_hold(keys: DataFrame, *columns: str) -> Column:
+    """Condition on rows with ``columns`` (of the same types): false only where no row of ``keys`` has their values.
+
+    A bit map of the keys' hashes, of fixed size, is broadcast; only the hash goes to Python.  Rows
+    it lets through need an exact join, the others none, so a join with a few
+    keys moves few texts.  A fuller map lets more rows through.
     """
-    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+    cell = F.pmod(F.xxhash64(*columns), F.lit(MAP_BITS)) + 1
+    found = keys.select(cell.alias("c")).groupBy(F.bitmap_bucket_number("c").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("c")).alias("bits")).collect()
+    bits = np.zeros(MAP_BITS // 8, np.uint8)
+    for r in found:
+        bits[(r["b"] - 1) * 4096:r["b"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    def held(c: pd.Series) -> pd.Series:
+        at = c.to_numpy() - 1
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return pandas_udf(held, "boolean")(cell)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def placed(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` (tree, ...) with ``pos``, the row's place in its tree by ``order``, and ``size``, the tree's rows."""
+    fields = df.columns
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, k = None, 0
+        for batch in batches:
+            tree = np.array(batch.column("tree").to_pylist(), object)
+            first = np.nonzero(np.append(True, tree[1:] != tree[:-1]))[0] if len(tree) else []
+            at = np.arange(len(tree))
+            for s in first:
+                at[s:] -= at[s]
+            if len(tree) and tree[0] == last:
+                at[:first[1] if len(first) > 1 else len(tree)] += k
+            if len(tree):
+                last, k = tree[-1], int(at[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int64())], names=[*batch.schema.names, "k"])
+
+    df = stored(df.withColumn("tie", F.monotonically_increasing_id()), f"{name}-leaves")
+    by = ["tree", *order, "tie"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "tie")
+    runs = df.repartitionByRange(*by).sortWithinPartitions(*by).drop("tie").withColumn("part", F.spark_partition_id())
+    runs = stored(runs.mapInArrow(number, f"{schema}, part int, k long"), f"{name}-runs")
+    counts = runs.groupBy("tree", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("tree").orderBy("part")
+    counts = counts.select("tree", "part", F.sum("n").over(before).alias("upto"), "n", F.sum("n").over(Window.partitionBy("tree")).alias("size"))
+    return runs.join(counts, ["tree", "part"]).select(*fields, (F.col("k") + F.col("upto") - F.col("n")).alias("pos"), "size")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -55,8 +111,6 @@ def bounded_sample(df: DataFrame, label: str, n: int, key: str = "doc_id") -> Da
     Counts per label give a hash threshold that keeps about 2 n rows of a label, so
     that the exact choice of n never sorts a large label in one task.
     """
-    from pyspark.sql import Window
-
     limits = {x: (2 * n + 50) / c for x, c in df.groupBy(label).count().collect() if x is not None}    # a model has a part for each label
     if not limits:
         return df.limit(0)

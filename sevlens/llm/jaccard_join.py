@@ -12,7 +12,8 @@ their sets are sent.  A chunk pair gives link counts and a spanning forest, neve
 Words are as in :data:`WORD` after lower-casing A-Z; a text of fewer words than a shingle is one
 shingle.  Defined results: null, empty and word-less texts link with nothing; repeated rows and
 equal texts link with each other; a row of null id stands under a negative hash of its text; rows that
-share an id are one node; an empty table gives an empty result; other columns are ignored.
+share an id but not the text are nodes of their own, and of a component the row with the smallest id, then
+hash of its text, is kept; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sevlens.llm.common import checked, connected_components, min_roots, rebatched, stored
+from sevlens.llm.common import connected_components, may_hold, min_roots, placed, rebatched, stored
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -153,10 +154,13 @@ def sides(t: pa.Table, trees: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 20, depth: int = 8, recall: float = 0.999,
          chunk: int = 256) -> DataFrame:
-    """(doc_id, class_id, n_links, component_id, kept) for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, class_id, n_links, component_id, kept, id, text_hash) for every row of ``docs`` (doc_id, text).
+
+    ``id`` is the row's own or, for a null one, a hash of the text; a row is known by it and ``text_hash``.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1)).alias("id"), text.alias("text"))
+                       F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1)).alias("id"), text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
     length = prefix_length(threshold, trees, depth, recall)
     seeds = np.random.Generator(np.random.PCG64(8)).integers(0, 1 << 63, (2, trees * length), dtype=np.uint64)
     a, b = seeds[0] * np.uint64(2) + np.uint64(1), seeds[1] * np.uint64(2)
@@ -170,12 +174,17 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
                 n.append(len(h))
                 sets.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
                 keys.append(labels(h, a, b, trees).astype("<i8").tobytes() if len(h) else b"")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("id"), pa.array(n, pa.int64()), pa.array(sets, pa.binary()),
-                                              pa.array(keys, pa.binary())], names=["doc_id", "id", "n", "shingles", "keys"])
-
-    signed = stored(docs.mapInArrow(sign, "doc_id long, id long, n long, shingles binary, keys binary"), "signatures")
-    classes = stored(signed.where("n > 0").groupBy("shingles")
-                     .agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("id"), batch.column("text_hash"), pa.array(n, pa.int64()),
+                                              pa.array(sets, pa.binary()), pa.array(keys, pa.binary())],
+                                             names=["doc_id", "id", "text_hash", "n", "shingles", "keys"])
+
+    signed = stored(docs.mapInArrow(sign, "doc_id long, id long, text_hash long, n long, shingles binary, keys binary"), "signatures")
+    classes = stored(signed.where("n > 0").groupBy("shingles").agg(
+        F.min(F.struct("id", "text_hash")).alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .select("shingles", F.col("first.id").alias("own"), F.col("first.text_hash").alias("own_hash"), "copies", "n", "keys"), "classes")
+    # a class's number, in the order of its first rows: rows of one id may belong to several classes
+    order = placed(classes.select(F.lit("").alias("tree"), "own", "own_hash", "shingles"), ["own", "own_hash", "shingles"], "jaccard-order")
+    classes = stored(classes.join(order.select("shingles", F.col("pos").alias("id")), "shingles"), "numbered-classes")
 
     # the tries: a node is a (tree, prefix); only nodes of two classes or more go on
     part = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.xxhash64(t, F.substring("keys", t * 8 + 1, F.lit(8))))
@@ -209,11 +218,13 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
         shingles = Shingler(words)
         for batch in rebatched(batches):
             sets = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], names=["id", "h"])
+            yield pa.RecordBatch.from_arrays([batch.column("own"), batch.column("own_hash"), pa.array(sets, pa.binary())], names=["own", "own_hash", "h"])
 
-    ids = stored(wanted.select("id").distinct(), "first-pair-ids")
-    sets = docs.join(checked(ids), "id", "left_semi").select("id", "text").mapInArrow(shingle, "id long, h binary").dropDuplicates(["id"])
-    full = stored(sets.join(classes.select("id", "copies", "keys"), "id"), "shingle-sets")
+    some = classes.join(wanted.select("id").distinct(), "id").select("own", "own_hash", "id", "copies", "keys")
+    some = stored(some, "first-pair-classes")
+    rows = docs.select(F.col("id").alias("own"), F.col("text_hash").alias("own_hash"), "text").where(may_hold(some, "own", "own_hash"))
+    sets = rows.mapInArrow(shingle, "own long, own_hash long, h binary").dropDuplicates(["own", "own_hash"])
+    full = stored(sets.join(some, ["own", "own_hash"]).drop("own", "own_hash"), "shingle-sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in chunks(batches):
@@ -237,10 +248,12 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
         verify, "id long, links long, peer long"), "jaccard-links")
     links = linked.groupBy("id").agg(F.sum("links").alias("links"))
     parts = connected_components(linked.select(F.col("id").alias("u"), F.col("peer").alias("v")), "jaccard-components")
-    result = (classes.select("shingles", "id", "copies").join(links, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left")
-              .select(F.col("shingles").alias("_s"), F.col("id").alias("class_id"), "copies", "links", "component"))
+    first = classes.select(F.col("id").alias("component"), F.col("own").alias("first_id"), F.col("own_hash").alias("first_hash"))
+    result = (classes.select("shingles", "id", "own", "copies").join(links, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left")
+              .withColumn("component", F.coalesce("component", "id")).join(first, "component")
+              .select(F.col("shingles").alias("_s"), F.col("own").alias("class_id"), "copies", "links", "first_id", "first_hash"))
     out = signed.join(result, F.when(F.col("n") > 0, F.col("shingles")) == F.col("_s"), "left")
-    component = F.coalesce("component", "class_id", "id")
+    kept = (F.col("id") == F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
     return out.select("doc_id", F.coalesce("class_id", "id").alias("class_id"),
                       F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
-                      component.alias("component_id"), (component == F.col("id")).alias("kept"))
+                      F.coalesce("first_id", "id").alias("component_id"), F.coalesce(kept, F.lit(True)).alias("kept"), "id", "text_hash")

@@ -16,23 +16,27 @@ results; whole texts are used whatever their length; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sevlens.llm.common import bounded_sample, rebatched, strings
 
 SLOTS = 1 << 14
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = r"\p{L}"
 _TABLE = np.full(256, 32, np.uint8)
 _TABLE[97:123] = np.arange(97, 123)
 _TABLE[128:] = np.arange(128, 256)
 
 
+def has_letter(text: Column) -> Column:
+    """Whether the text has a letter; digits, fractions and numerals are none.  Learning and prediction both ask this."""
+    return F.coalesce(text.rlike(LETTER), F.lit(False))
+
+
 def counts(text: str) -> np.ndarray:
     """Counts of the text's hashed n-grams."""
     b = _TABLE[np.frombuffer(f"  {text.lower()}  ".encode(), np.uint8)]
@@ -91,7 +95,7 @@ def clusters(x: np.ndarray, k: int, rounds: int = 10) -> tuple[np.ndarray, np.nd
 def fit(rows: DataFrame, sample: int = 300, centroids: int = 4) -> dict:
     """Model from ``rows`` (doc_id, text, lang): idf, labels, centroid matrix, each centroid's limit."""
     rows = rows.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    rows = rows.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
     df, n = document_frequencies(rows)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32) + np.float32(0.05)
 
@@ -115,9 +119,9 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
         for whole in rebatched(batches, 4 << 20):
             for s in range(0, whole.num_rows, 256):
                 batch = whole.slice(s, 256)
-                texts = strings(batch.column("text"))
+                texts, letters = strings(batch.column("text")), batch.column("letters").to_pylist()
                 lang, score, far = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-                use = [i for i, t in enumerate(texts) if m["lang"] and LETTER.search(t)]
+                use = [i for i, t in enumerate(texts) if m["lang"] and letters[i]]
                 if use:
                     near = vectors([texts[i] for i in use], m["idf"]) @ m["c"].T
                     best = near.argmax(axis=1)
@@ -126,5 +130,6 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lang), pa.array(score), pa.array(far)],
                                                  names=["doc_id", "lang_pred", "score", "rejected"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), has_letter(text).alias("letters")).mapInArrow(
         run, "doc_id long, lang_pred string, score double, rejected boolean")

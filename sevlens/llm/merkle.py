@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sevlens.llm.common import stored
+from sevlens.llm.common import placed, stored
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 RUN = 3
@@ -146,35 +146,6 @@ def fold(node: bytes, path: list) -> bytes:
     return node
 
 
-def placed(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """``df`` (tree, ...) with ``pos``, the row's place in its tree by ``order``, and ``size``, the tree's rows."""
-    fields = df.columns
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, k = None, 0
-        for batch in batches:
-            tree = np.array(batch.column("tree").to_pylist(), object)
-            first = np.nonzero(np.append(True, tree[1:] != tree[:-1]))[0] if len(tree) else []
-            at = np.arange(len(tree))
-            for s in first:
-                at[s:] -= at[s]
-            if len(tree) and tree[0] == last:
-                at[:first[1] if len(first) > 1 else len(tree)] += k
-            if len(tree):
-                last, k = tree[-1], int(at[-1]) + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int64())], names=[*batch.schema.names, "k"])
-
-    df = stored(df.withColumn("tie", F.monotonically_increasing_id()), f"{name}-leaves")
-    by = ["tree", *order, "tie"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "tie")
-    runs = df.repartitionByRange(*by).sortWithinPartitions(*by).drop("tie").withColumn("part", F.spark_partition_id())
-    runs = stored(runs.mapInArrow(number, f"{schema}, part int, k long"), f"{name}-runs")
-    counts = runs.groupBy("tree", "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("tree").orderBy("part")
-    counts = counts.select("tree", "part", F.sum("n").over(before).alias("upto"), "n", F.sum("n").over(Window.partitionBy("tree")).alias("size"))
-    return runs.join(counts, ["tree", "part"]).select(*fields, (F.col("k") + F.col("upto") - F.col("n")).alias("pos"), "size")
-
-
 def rounds(nodes: DataFrame, name: str, height: int) -> tuple[list[DataFrame], DataFrame]:
     """(block tables from the leaves up, (tree, root)) of the trees of ``nodes`` (tree, pos, size, digest)."""
     width = RUN ** height

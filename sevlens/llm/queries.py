@@ -63,7 +63,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.join(read(spark, sf_dir, "documents"))
+    return jaccard_join.join(read(spark, sf_dir, "documents")).drop("id", "text_hash")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

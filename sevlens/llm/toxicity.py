@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sevlens.llm import jaccard_join
-from sevlens.llm.common import bounded_sample, checked, held_out, rebatched, stored, strings
+from sevlens.llm.common import bounded_sample, held_out, may_hold, rebatched, stored, strings
 
 WORDS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -49,8 +49,10 @@ def terms(text: str) -> Counter:
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, y) of the labelled documents that may be learned from; a row for each distinct label."""
-    y = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).where("y IS NOT NULL").distinct()
-    return stored(docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(checked(y), "doc_id"), "labelled")
+    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("y IS NOT NULL").distinct()
+    y = stored(y, "labels")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(~held_out(F.col("doc_id")))
+    return stored(rows.where(may_hold(y, "doc_id")).join(y, "doc_id"), "labelled")
 
 
 def distinct_texts(rows: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -58,7 +60,7 @@ def distinct_texts(rows: DataFrame, words: int = 5, threshold: float = 0.8) -> D
     kept = [jaccard_join.join(rows.where(F.col("y") == y), threshold, words).where("kept AND doc_id IS NOT NULL")
             .select("doc_id", F.lit(y).alias("y")).distinct() for y in (0, 1)]
     ids = stored(kept[0].unionByName(kept[1]), "training-ids")
-    return stored(rows.join(checked(ids), ["doc_id", "y"], "left_semi"), "training-rows")
+    return stored(rows.join(ids, ["doc_id", "y"], "left_semi"), "training-rows")
 
 
 def term_counts(rows: DataFrame) -> DataFrame:

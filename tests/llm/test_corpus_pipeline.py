@@ -48,3 +48,27 @@ def test_odd_rows_pass(spark):
         assert odd.columns == [*docs.columns, "size", "score", "base"]
     n = odd.count()
     assert n and P.STAGES[4][1](spark, odd, SF).count() == n
+
+
+def test_no_text_is_lost_under_a_shared_id(spark):
+    a, b, c = ("alpha " * 12 + "one two three", " ".join(f"b{i}" for i in range(20)), " ".join(f"c{i}" for i in range(20)))
+    rows = [(1, a), (1, b), (2, c), (3, b), (2, c), (None, a), (4, None), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 2) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, __id string, __hash int")
+    got = P.distinct(spark, docs, SF)
+    assert got.columns == docs.columns
+    # the copy of a under a null id stands under a negative number and comes first
+    assert sorted(plain_rows(got), key=str) == sorted([(None, a), (1, b), (2, c), (4, None), (5, "")], key=str)
+    got = P.distinct(spark, docs.where("doc_id IS NOT NULL"), SF)
+    assert sorted(plain_rows(got), key=str) == sorted([(1, a), (1, b), (2, c), (4, None), (5, "")], key=str)
+
+
+def plain_rows(df):
+    return [(r.doc_id, r.text) for r in df.collect()]
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in P.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.count() == 0
+    assert P.STAGES[4][1](spark, docs, SF).count() == 0

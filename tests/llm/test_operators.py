@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
-from sevlens.llm import (decontaminate, embedding_dedup, jaccard_join, language, licenses, mixing, queries, repeats, secrets,  # noqa: E402
+from sevlens.llm import (common, decontaminate, embedding_dedup, jaccard_join, language, licenses, mixing, queries, repeats, secrets,  # noqa: E402
                          token_output, toxicity)
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("source", T.StringType()),
@@ -231,6 +231,20 @@ def test_language_held_out(spark, empty):
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 ..."), (4, "é")], "doc_id long, text string")
     model = language.fit(empty)
     assert {r.lang_pred for r in language.predict(odd, model).collect()} == {"und"}
+    model = language.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 ..."), (4, "\u00bd \u00b2"), (5, "\u2460\u2461\u2462"), (6, "\u2167"), (7, "_ 7_"), (8, "\u00e9"),
+                                 (9, "the of and " * 200_000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in language.predict(odd, model).collect()}
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in range(1, 8)) and "und" not in (got[8].lang_pred, got[9].lang_pred)
+    assert language.predict(empty, model).count() == 0
+
+
+def test_a_key_map_passes_every_key(spark):
+    keys = spark.range(0, 100_000, 7).selectExpr("id AS a", "id * 3 AS b")
+    rows = spark.range(100_000).selectExpr("id AS a", "id * 3 AS b")
+    may = rows.where(common.may_hold(keys, "a", "b"))
+    assert may.join(keys, ["a", "b"]).count() == keys.count() and may.count() < 1.1 * keys.count()
+    assert rows.where(common.may_hold(keys.limit(0), "a", "b")).count() == 0
 
 
 def test_nearest_examples_are_exact():
