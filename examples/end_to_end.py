@@ -37,8 +37,9 @@ def main() -> None:
     raw = inc.raw_incidents(spark, base)
     validate.ingest_report(raw).show(truncate=False)
     enriched = inc.enriched_incidents(spark, base)
-    files.write_partitioned(enriched, f"{out}/incidents_by_state", "State")
-    files.verify_write(spark, f"{out}/incidents_by_state", enriched, "State").show()
+    out_df, seen = files.observed(enriched)
+    files.write_partitioned(out_df, f"{out}/incidents_by_state", "State")
+    files.verify_write(spark, f"{out}/incidents_by_state", enriched.schema, seen.get["rows"], "State").show()
 
     # 2. EDA and the model-ready table (pipeline fitted on the training split)
     profile.missing_report(enriched).show()

@@ -1,62 +1,88 @@
 """Report tables (R1-R6, S11, B3, B4) as DataFrames ready for CSV export.
 
-Row counts and null rates are measured on the data (one aggregate per stage);
-the reference typed its stage timings in by hand, here they are measured when
-asked for.
+Row counts, null rates, sizes and times of the stages are observed while the stages
+are written, in one pass each, and saved as a table that the reports read back.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sevlens.operators import evaluate
 from sevlens.operators.windows import union_reports
+from sevlens.sources import files
 
 COST_PER_CORE_HOUR = 0.10
 
 
-def _stage_row(step: int, name: str, source: str, fmt: str, df: DataFrame) -> DataFrame:
-    """One aggregate: rows and the share of null cells over all columns."""
-    cols = df.columns
-    nulls = sum((F.col(c).isNull().cast("long") for c in cols), F.lit(0).cast("long"))
-    agg = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(nulls).alias("__null_cells"))
-    return agg.select(
-        F.lit(step).alias("step"), F.lit(name).alias("name"), F.lit(source).alias("source"),
-        F.col("rows").alias("rows"), F.lit(fmt).alias("format"),
-        F.round(F.coalesce(F.try_divide(F.col("__null_cells") * F.lit(100.0),
-                                        F.col("rows") * F.lit(len(cols))), F.lit(0.0)), 4)
-        .alias("null_rate_pct"))
+LINEAGE = ("step int, name string, source string, rows bigint, format string, columns int, null_cells bigint, "
+           "stored_bytes bigint, seconds double, partitions int")
 
 
-def lineage(stages: Sequence[tuple[str, str, str, DataFrame]]) -> DataFrame:
-    """(step, name, source, rows, format, null_rate_pct) per (name, source, format, frame)."""
-    parts = [_stage_row(i + 1, n, s, f, d) for i, (n, s, f, d) in enumerate(stages)]
-    return union_reports(*parts)
+@dataclass
+class Stage:
+    """A pipeline stage: ``path`` is where its rows are written, None for one that only passes them on."""
+
+    name: str
+    source: str
+    format: str
+    frame: DataFrame
+    path: str | None = None
+    partition_by: str | None = None
 
 
-def pipeline_quality(stages: Sequence[tuple[str, str, str, DataFrame]], measure: bool = False) -> DataFrame:
-    """Stage, Row_Count, Format, Null_Rate_Pct [, Partition_Count, Processing_Time_s].
+def run_stages(spark: SparkSession, stages: Iterable[Callable[[], Stage]], path: str) -> DataFrame:
+    """Run each stage once, save what its write observed, and read the lineage back from ``path``.
 
-    ``measure=True`` runs each stage once to time it and records its partition
-    count (plan metadata); these columns depend on the machine.
+    Each item makes its stage when its turn comes, so it can read what the ones before have written.  A stage
+    is one pass over its input: rows and null cells are observed on the write (or, without a path,
+    on a sink that keeps nothing), never counted again.
     """
-    lin = lineage(stages).select(
-        F.col("step"), F.col("name").alias("Stage"), F.col("rows").alias("Row_Count"),
-        F.col("format").alias("Format"), F.col("null_rate_pct").alias("Null_Rate_Pct"))
-    if not measure:
-        return lin.drop("step")
-    spark = stages[0][3].sparkSession
     rows = []
-    for i, (_, _, _, d) in enumerate(stages):
-        t0 = time.time()
-        d.write.format("noop").mode("overwrite").save()
-        rows.append((i + 1, d.rdd.getNumPartitions(), round(time.time() - t0, 3)))
-    timing = spark.createDataFrame(rows, "step int, Partition_Count int, Processing_Time_s double")
-    return lin.join(F.broadcast(timing), "step").drop("step")
+    for step, make in enumerate(stages, 1):
+        stage = make()
+        out, seen = files.observed(stage.frame)
+        began = time.time()
+        if stage.path is None:
+            out.write.format("noop").mode("overwrite").save()
+        elif stage.partition_by:
+            files.write_partitioned(out, stage.path, stage.partition_by)
+        else:
+            files.write_parquet(out, stage.path)
+        seconds = round(time.time() - began, 3)
+        where = stage.path and (files.stored_bytes(spark, stage.path), files.partition_dirs(spark, stage.path))
+        size, parts = where or (None, None)
+        rows.append((step, stage.name, stage.source, seen.get["rows"], stage.format, len(stage.frame.columns), seen.get["null_cells"], size, seconds, parts))
+    files.write_metrics(spark.createDataFrame(rows, LINEAGE), path)
+    return files.read_metrics(spark, path, LINEAGE)
+
+
+def _null_rate() -> Column:
+    """Share of null cells, in per cent."""
+    cells = F.col("rows") * F.col("columns")
+    return F.round(F.coalesce(F.try_divide(F.col("null_cells") * F.lit(100.0), cells), F.lit(0.0)), 4)
+
+
+def lineage(saved: DataFrame) -> DataFrame:
+    """(step, name, source, rows, format, null_rate_pct) of a saved lineage."""
+    return saved.select("step", "name", "source", "rows", "format", _null_rate().alias("null_rate_pct"))
+
+
+def pipeline_quality(saved: DataFrame, measure: bool = False) -> DataFrame:
+    """Stage, Row_Count, Format, Null_Rate_Pct [, Storage_MB, Partition_Count, Processing_Time_s] of a saved lineage.
+
+    The added columns depend on the machine: size and partition folders of the written files, time of the one pass.
+    """
+    out = [F.col("name").alias("Stage"), F.col("rows").alias("Row_Count"), F.col("format").alias("Format"), _null_rate().alias("Null_Rate_Pct")]
+    if measure:
+        out += [F.round(F.col("stored_bytes") / (1024 * 1024), 3).alias("Storage_MB"), F.col("partitions").alias("Partition_Count"),
+                F.col("seconds").alias("Processing_Time_s")]
+    return saved.orderBy("step").select(*out)
 
 
 def model_performance(preds: DataFrame, multiclass: Mapping[str, str], binary: Mapping[str, tuple[str, str]],

@@ -18,14 +18,16 @@ import json
 from collections.abc import Mapping, Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import ImputerModel, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sevlens.functions.features import finite_or_zero, incident_feature_columns
+from sevlens.operators.windows import select_ranks
 
 # Fixed values of the reference pipeline (column names are our clean aliases).
 IMPUTE_COLUMNS = ("Temperature_F", "Wind_Chill_F", "Humidity_Pct", "Pressure_in", "Visibility_mi",
@@ -40,7 +42,6 @@ BOOL_COLUMNS = ("Amenity", "Bump", "Crossing", "Give_Way", "Junction", "No_Exit"
                 "Roundabout", "Station", "Stop", "Traffic_Calming", "Traffic_Signal", "Turning_Loop")
 ENGINEERED_COLUMNS = ("Hour", "DayOfWeek", "Month", "Is_Peak_Hour", "Is_Weekend", "Temp_Risk",
                       "Low_Visibility", "Distance_Bucket", "Is_Night", "Infra_Risk_Score")
-IMPUTE_RELATIVE_ERROR = 1e-5   # see operators.profile.QUANTILE_ACCURACY
 
 
 class IncidentFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -140,11 +141,38 @@ def feature_columns() -> list[str]:
             + list(ENGINEERED_COLUMNS))
 
 
-def median_imputer(cols: Sequence[str] = IMPUTE_COLUMNS,
-                   relative_error: float = IMPUTE_RELATIVE_ERROR) -> Imputer:
-    """median imputation to ``<c>_imp`` (null and NaN are both missing)."""
-    return Imputer(strategy="median", relativeError=relative_error, inputCols=list(cols),
-                   outputCols=[f"{c}_imp" for c in cols])
+class MedianImputer(Estimator, HasInputCols, HasOutputCols):
+    """Median imputation with exact medians (rank ceil(n / 2)) selected by running counts.
+
+    The fitted model is Spark's own ``ImputerModel``, so it saves, loads and transforms as
+    one; null and NaN are both missing.
+    """
+
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] = (), outputCols: Sequence[str] = ()):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> ImputerModel:
+        cols = list(self.getInputCols())
+        stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value"))
+                                                for c in cols])).alias("x")).select("x.*")
+        medians = {r["column"]: r["value"] for r in select_ranks(stacked, ["column"], "value", [0.5]).collect()}   # a number for each column
+        missing = [c for c in cols if c not in medians]
+        if missing:
+            raise ValueError(f"no value to take a median of in {missing}")
+        jvm = df.sparkSession.sparkContext._jvm
+        names = ImputerModel._new_java_array(cols, jvm.java.lang.String)
+        values = ImputerModel._new_java_array([medians[c] for c in cols], jvm.double)
+        model = ImputerModel(ImputerModel._new_java_obj("org.apache.spark.ml.feature.ImputerModel", self.uid, names, values))
+        model._set(inputCols=cols, outputCols=list(self.getOutputCols()), strategy="median")
+        model._transfer_params_to_java()
+        return model
+
+
+def median_imputer(cols: Sequence[str] = IMPUTE_COLUMNS) -> MedianImputer:
+    """median imputation to ``<c>_imp``."""
+    return MedianImputer(inputCols=list(cols), outputCols=[f"{c}_imp" for c in cols])
 
 
 def string_indexers(cols: Sequence[str] = INDEX_COLUMNS) -> StringIndexer:
@@ -170,12 +198,11 @@ def scaler(inp: str = "raw_features", out: str = "features") -> StandardScaler:
     return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
 
 
-def build_pipeline(relative_error: float = IMPUTE_RELATIVE_ERROR, with_features: bool = True,
-                   scale: bool = True) -> Pipeline:
+def build_pipeline(with_features: bool = True, scale: bool = True) -> Pipeline:
     """the full preprocessing pipeline (fit on the training split only)."""
     stages: list = [IncidentFeatures()] if with_features else []
     stages += [ConstantFill(), CastColumns(inputCols=list(BOOL_COLUMNS), dataType="int"),
-               median_imputer(relative_error=relative_error), string_indexers(), one_hot(),
+               median_imputer(), string_indexers(), one_hot(),
                CleanNumeric(inputCols=[c for c in feature_columns() if not c.endswith("_ohe")]),
                assembler()]
     if scale:

@@ -54,10 +54,25 @@ def test_running_sums_ranges_match_single_window(spark):
     rows = [(k % 3, float(i), 1, i % 2) for k in range(3) for i in range(500)]
     df = spark.createDataFrame(rows, "k int, s double, p int, n int")
     one = windows.running_sums(df, ["k"], "s", ["p", "n"])
-    many = windows.running_sums(df, ["k"], "s", ["p", "n"], rows_per_range=97)
     a = sorted(tuple(r) for r in one.collect())
-    b = sorted(tuple(r) for r in many.select(*one.columns).collect())
-    assert a == b
+    for ranges in (1, 7, 60):
+        many = windows.running_sums(df, ["k"], "s", ["p", "n"], ranges=ranges)
+        assert a == sorted(tuple(r) for r in many.select(*one.columns).collect())
+
+
+def test_ranks_are_selected_exactly(spark):
+    import math
+
+    rows = [(k, float((i * 37) % 101) if i % 9 else None) for k in ("a", "b", None) for i in range(200 if k else 30)] + [("hot", 5.0)] * 400 + [("none", None)]
+    probs = (0.0, 0.05, 0.25, 0.5, 0.95, 1.0)
+    for ranges in (None, 1, 13):
+        got = {(r.k, r.prob): r.v for r in windows.select_ranks(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", probs, ranges)
+               .withColumnRenamed("value", "v").collect()}
+        want = {}
+        for k in ("a", "b", None, "hot"):
+            own = sorted(v for x, v in rows if x == k and v is not None)
+            want |= {(k, p): own[max(math.ceil(p * len(own)), 1) - 1] for p in probs}
+        assert got == want
 
 
 def test_curves_start_and_end_points(preds):

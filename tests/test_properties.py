@@ -29,10 +29,10 @@ def test_auc_equals_pairwise_count(spark, rows):
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(vals=st.lists(st.integers(0, 1000), min_size=1, max_size=60, unique=True),
-       per=st.integers(1, 9))
-def test_running_sums_equal_prefix_sums(spark, vals, per):
+       ranges=st.sampled_from([None, 1, 2, 9, 40]))
+def test_running_sums_equal_prefix_sums(spark, vals, ranges):
     df = spark.createDataFrame([(0, float(v), v % 7) for v in vals], "k int, s double, m int")
-    got = {r.s: r.cum_m for r in windows.running_sums(df, ["k"], "s", ["m"], rows_per_range=per).collect()}
+    got = {r.s: r.cum_m for r in windows.running_sums(df, ["k"], "s", ["m"], ranges=ranges).collect()}
     acc, want = 0, {}
     for v in sorted(vals, reverse=True):
         acc += v % 7

@@ -1,9 +1,12 @@
 """Report tables: efficiency, cost, scalability, lineage, model performance."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from sevlens.operators import reports
 from sevlens.plans import incidents as inc
+from sevlens.session import scratch_path
+from sevlens.sources import files
 
 
 def test_efficiency_and_cost(spark):
@@ -20,17 +23,21 @@ def test_efficiency_and_cost(spark):
     assert rows[("Strong", 2)].data_fraction is None
 
 
-def test_lineage_and_quality(spark, sf_small):
-    raw = inc.raw_incidents(spark, sf_small)
-    stages = [("Ingestion", "events", "Parquet", raw), ("Enrichment", "lookup", "DF",
-                                                        inc.enriched_incidents(spark, sf_small))]
-    lin = reports.lineage(stages).orderBy("step").collect()
-    n = raw.count()
-    assert [r.rows for r in lin] == [n, n] and [r.step for r in lin] == [1, 2]
-    assert all(0 < r.null_rate_pct < 100 for r in lin)
-    q = reports.pipeline_quality(stages, measure=True).collect()
-    assert {r.Stage for r in q} == {"Ingestion", "Enrichment"}
-    assert all(r.Partition_Count >= 1 and r.Processing_Time_s >= 0 for r in q)
+def test_lineage_is_observed_saved_and_read_back(spark, sf_small):
+    raw, at = inc.raw_incidents(spark, sf_small), {x: scratch_path(spark, x) for x in ("raw", "state", "saved")}
+    saved = reports.run_stages(spark, [
+        lambda: reports.Stage("Ingestion", "events", "Parquet", raw, at["raw"]),
+        lambda: reports.Stage("Validation", "incidents", "DF", spark.read.parquet(at["raw"])),
+        lambda: reports.Stage("Enrichment", "lookup", "DF", inc.enriched_incidents(spark, sf_small), at["state"], "State")], at["saved"])
+    lin, n = reports.lineage(saved).orderBy("step").collect(), raw.count()
+    assert [r.rows for r in lin] == [n] * 3 and [r.step for r in lin] == [1, 2, 3]
+    cells = raw.select(sum(F.count_if(F.col(c).isNull()) for c in raw.columns).alias("n")).first().n
+    assert lin[0].null_rate_pct == lin[1].null_rate_pct == pytest.approx(100 * cells / n / len(raw.columns), abs=1e-4)
+    q = {r.Stage: r for r in reports.pipeline_quality(saved, measure=True).collect()}
+    assert q["Ingestion"].Storage_MB > 0 and q["Validation"].Storage_MB is None
+    assert q["Enrichment"].Partition_Count == raw.select("State").distinct().count()
+    assert all(r.Processing_Time_s >= 0 for r in q.values())
+    assert reports.lineage(files.read_metrics(spark, at["saved"], reports.LINEAGE)).count() == 3
 
 
 def test_model_performance_union(spark):

@@ -32,14 +32,28 @@ def test_corrupt_rows_are_captured(spark):
     good, bad = files.split_corrupt(files.read_csv_with_corrupt(spark, path, schema))
     assert sorted(r.a for r in good.collect()) == [1, 3]
     assert [r[files.CORRUPT_COLUMN] for r in bad.collect()] == ["2,x"]
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_is_corrupt" in plan and "csv" not in plan.lower().replace("csv_", "")
+    clean = files.read_csv_with_corrupt(spark, path, schema).where("_corrupt_record IS NULL")
+    good, bad = files.split_corrupt(clean)
+    assert good.count() == 2 and bad.count() == 0
 
 
 def test_partitioned_write_and_verify(spark, sf_small):
     df = inc.enriched_incidents(spark, sf_small)
     path = files.write_partitioned(df, scratch_path(spark, "t-part"), "State")
-    r = files.verify_write(spark, path, df, "State").first()
+    rows = df.count()
+    r = files.verify_write(spark, path, df.schema, rows, "State").first()
     assert r.rows_match and r.schema_match
     assert r.partition_values == df.select("State").distinct().count()
+    states = df.select("State").distinct().count()
+    parts = files.write_partitioned(df.repartition(40), scratch_path(spark, "t-clustered"), "State", max_records_per_file=100)
+    written = spark.read.parquet(parts).select(F.input_file_name()).distinct().count()
+    assert written <= states + rows // 100      # whatever the number of scan tasks
+    seen_df, seen = files.observed(df)
+    files.write_parquet(seen_df, scratch_path(spark, "t-observed"))
+    nulls = df.select(sum(F.count_if(F.col(c).isNull()) for c in df.columns).alias("n")).first().n
+    assert seen.get == {"rows": rows, "null_cells": nulls}
     back = spark.read.parquet(path).where(F.col("State") == "NATION_3")
     assert "PartitionFilters: [isnotnull(State" in back._jdf.queryExecution().executedPlan().toString()
 
