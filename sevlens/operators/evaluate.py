@@ -45,6 +45,15 @@ def pair_counts(preds: DataFrame, label: str = "label", prediction: str = "predi
             .agg(F.count(F.lit(1)).alias("count")))
 
 
+def model_pair_counts(preds: DataFrame, models: Mapping[str, str], label: str = "label") -> DataFrame:
+    """(model, label, prediction, count): one aggregate over (label, every model's prediction),
+    and only its few rows are repeated for each model, never the data's."""
+    cube = preds.groupBy(F.col(label).cast("double").alias("label"), *[
+        F.col(c).cast("double").alias(f"__p{i}") for i, c in enumerate(models.values())]).agg(F.count(F.lit(1)).alias("count"))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"__p{i}").alias("prediction")) for i, m in enumerate(models)]))
+    return cube.select("label", "count", each.alias("__m")).select("__m.model", "label", "__m.prediction", "count")
+
+
 def confusion(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """K x K confusion matrix in long form, zero cells included, K = classes seen in either column."""
     counts = materialize(pair_counts(preds, label, prediction))    # K x K rows, read twice below
@@ -64,16 +73,14 @@ def confusion_norm(preds: DataFrame, label: str = "label", prediction: str = "pr
 
 
 def _class_table(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Per (by..., class): tp, predicted, support from the pair counts."""
-    by = list(by)
-    as_label = counts.groupBy(*by, F.col("label").alias("class")).agg(
-        F.sum("count").alias("support"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)).alias("tp"))
-    as_pred = counts.groupBy(*by, F.col("prediction").alias("class")).agg(
-        F.sum("count").alias("predicted"))
-    return (as_label.join(as_pred, by + ["class"], "full")
-            .select(*by, "class", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-                                    for c in ("tp", "predicted", "support")]))
+    """Per (by..., class): tp, predicted, support; every cell counts for its label and for its prediction."""
+    by, zero = list(by), F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(zero)
+    sides = F.explode(F.array(
+        F.struct(F.col("label").alias("class"), hit.alias("tp"), zero.alias("predicted"), F.col("count").alias("support")),
+        F.struct(F.col("prediction").alias("class"), zero.alias("tp"), F.col("count").alias("predicted"), zero.alias("support"))))
+    return (counts.select(*by, sides.alias("__c")).select(*by, "__c.*").groupBy(*by, "class")
+            .agg(*[F.sum(c).cast("bigint").alias(c) for c in ("tp", "predicted", "support")]))
 
 
 def class_report(preds: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -86,26 +93,23 @@ def class_report(preds: DataFrame, label: str = "label", prediction: str = "pred
         _ratio(F.col("tp"), F.col("support")).alias("recall"),
         _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1"),
         "support")
-    n = F.sum("support")
-    macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
-                    F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-                    n.cast("bigint").alias("support"))
-    weighted = per.agg(F.lit("weighted avg").alias("class"),
-                       *[_ratio(F.sum(F.col(m) * F.col("support")), n).alias(m)
-                         for m in ("precision", "recall", "f1")],
-                       n.cast("bigint").alias("support"))
-    out = per.unionByName(macro).unionByName(weighted)
-    return out.withColumns({m: F.round(m, digits) for m in ("precision", "recall", "f1")})
+    n, three = F.sum("support"), ("precision", "recall", "f1")
+    # the K class rows and both averages from one aggregate
+    macro = F.struct(F.lit("macro avg").alias("class"), *[F.avg(m).alias(m) for m in three], n.cast("bigint").alias("support"))
+    weighted = F.struct(F.lit("weighted avg").alias("class"), *[_ratio(F.sum(F.col(m) * F.col("support")), n).alias(m) for m in three],
+                        n.cast("bigint").alias("support"))
+    rows = per.agg(F.collect_list(F.struct("class", *three, "support")).alias("own"), macro.alias("macro"), weighted.alias("weighted"))
+    out = rows.select(F.explode(F.concat("own", F.array("macro", "weighted"))).alias("r")).select("r.*")
+    return out.withColumns({m: F.round(m, digits) for m in three})
 
 
 def evaluate_all(preds: DataFrame, models: Mapping[str, str], label: str = "label",
                  digits: int = 6) -> DataFrame:
     """(model, accuracy, f1, precision, recall): weighted metrics as MLlib defines them.
 
-    One Generate stacks the models, one aggregate counts (model, label, prediction).
+    All follow from one count of (label, every model's prediction).
     """
-    counts = pair_counts(stack_models(preds, models, label), "label", "prediction", ["model"])
-    res = _weighted_metrics(counts, ["model"])
+    res = _weighted_metrics(model_pair_counts(preds, models, label), ["model"])
     return res.withColumns({m: F.round(m, digits) for m in ("accuracy", "f1", "precision", "recall")})
 
 
@@ -251,10 +255,10 @@ def bootstrap_ci(preds: DataFrame, models: Mapping[str, str], label: str = "labe
     two Poisson counts: the work is O(rows) once plus O(models x replicates),
     never rows x replicates.
     """
-    stacked = stack_models(preds, models, label)
-    counts = stacked.groupBy("model").agg(
-        F.count_if(F.col("label") == F.col("prediction")).alias("n_correct"),
-        F.count_if(F.col("label") != F.col("prediction")).alias("n_wrong"))
+    right = F.col("label") == F.col("prediction")
+    counts = model_pair_counts(preds, models, label).groupBy("model").agg(
+        F.sum(F.when(right, F.col("count")).otherwise(0)).alias("n_correct"),
+        F.sum(F.when(~right, F.col("count")).otherwise(0)).alias("n_wrong"))
     reps = counts.select("model", "n_correct", "n_wrong",
                          F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
     draws = reps.withColumn("acc", _poisson_accuracy(
@@ -295,7 +299,7 @@ def bootstrap_metric_ci(preds: DataFrame, models: Mapping[str, str], metric: str
     replicate redraws those K x K cells; the metrics are then the same grouped
     aggregates as ``evaluate_all``, keyed by (model, replicate).
     """
-    counts = pair_counts(stack_models(preds, models, label), "label", "prediction", ["model"])
+    counts = (model_pair_counts(preds, models, label).groupBy("model", "label", "prediction").agg(F.sum("count").alias("count")))
     reps = counts.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
     drawn = reps.withColumn("count", _poisson_count(
         F.lit(seed), F.xxhash64("model", "label", "prediction"), F.col("replicate"), F.col("count")))

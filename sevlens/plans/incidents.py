@@ -86,22 +86,23 @@ def incident_columns() -> dict[str, Column]:
     return cols
 
 
-def raw_incidents(spark: SparkSession, base_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """The raw incident table (the reference's ingested CSV), state attached.
+def raw_incidents(spark: SparkSession, base_dir: str, events: DataFrame | None = None, state: bool = True) -> DataFrame:
+    """The raw incident table (the reference's ingested CSV), state attached unless ``state`` is false.
 
     ``events`` may be a streaming frame: the dimension joins are stream-static.
-    Each dimension is one row per key by its grouping, so the optimizer drops the
-    left joins where State is not selected.
+    ``c_custkey`` and ``n_nationkey`` are the dimensions' primary keys, so the joins keep one row
+    for each event without an aggregate; a caller that doesn't read State leaves them out.
     """
     events = table(spark, base_dir, "events") if events is None else events
     customer = table(spark, base_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     nation = table(spark, base_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("State"))
-    located = events
-    for dimension, key, value in ((customer, "user_id", "c_nationkey"), (nation, "c_nationkey", "State")):
-        one = dimension.groupBy(key).agg(F.max(value).alias(value))
-        located = located.join(broadcast_if_bounded(one, measured=dimension), key, "left")
     cols = incident_columns()
     ordered = [cols["ID"].alias("ID")] + [c.alias(n) for n, c in cols.items() if n != "ID"]
+    if not state:
+        return events.select(*ordered)
+    located = events
+    for dimension, key in ((customer, "user_id"), (nation, "c_nationkey")):
+        located = located.join(broadcast_if_bounded(dimension), key, "left")
     ordered.insert(4, F.col("State"))
     return located.select(*ordered)
 
@@ -140,4 +141,5 @@ def rule_predictions(incidents: DataFrame) -> DataFrame:
     }
     for k, center in enumerate(CLASS_CENTERS):
         cols[f"score_{k}"] = F.lit(1.0) / (F.lit(1.0) + F.abs(d * F.lit(100.0) - F.lit(center)))
-    return incidents.select("ID", "Start_Time", "State", *[c.alias(n) for n, c in cols.items()])
+    kept = [c for c in ("ID", "Start_Time", "State") if c in incidents.columns]
+    return incidents.select(*kept, *[c.alias(n) for n, c in cols.items()])

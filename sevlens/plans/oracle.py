@@ -571,6 +571,10 @@ SELECT ID, split, list(round(CASE WHEN sd = 0 OR sd IS NULL THEN 0.0e0 ELSE (x -
   AS features
 FROM cells c JOIN mom USING (slot) GROUP BY ID, split"""
 
+ORACLE_SQL["f08_pipeline_saved_and_loaded"] = ORACLE_SQL["f07_pipeline_features"]
+ORACLE_SQL["e06_model_saved_and_loaded"] = FEAT + _PIPE_FILL + """
+SELECT ID, true AS same_prediction, true AS known_class FROM filled WHERE split = 'test'"""
+
 _NAME_LIST = ("list_concat([" + ", ".join(f"'{c}_imp'" for c in _IMPUTE) + "], "
               + ", ".join(f"(SELECT list('{c}_ohe_' || v ORDER BY i) FROM ix_{c})" for c in _OHE)
               + ", [" + ", ".join(["'Wind_Direction_idx'", "'Weather_Condition_idx'"]

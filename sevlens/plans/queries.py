@@ -74,17 +74,17 @@ def v02(spark, base_dir):
 
 @register("v03_domain_check")
 def v03(spark, base_dir):
-    return validate.domain_violations(inc.raw_incidents(spark, base_dir), "Severity")
+    return validate.domain_violations(inc.raw_incidents(spark, base_dir, state=False), "Severity")
 
 
 @register("v04_range_check")
 def v04(spark, base_dir):
-    return validate.range_violations(inc.raw_incidents(spark, base_dir))
+    return validate.range_violations(inc.raw_incidents(spark, base_dir, state=False))
 
 
 @register("v05_class_distribution")
 def v05(spark, base_dir):
-    return profile.class_distribution(inc.raw_incidents(spark, base_dir), "Severity")
+    return profile.class_distribution(inc.raw_incidents(spark, base_dir, state=False), "Severity")
 
 
 @register("v06_missing_report")
@@ -94,13 +94,13 @@ def v06(spark, base_dir):
 
 @register("v07_describe_numeric")
 def v07(spark, base_dir):
-    d = profile.describe_numeric(inc.raw_incidents(spark, base_dir), inc.NUMERIC_COLUMNS)
+    d = profile.describe_numeric(inc.raw_incidents(spark, base_dir, state=False), inc.NUMERIC_COLUMNS)
     return transform.round_columns(d, ["mean", "stddev", "min", "max"], 6)
 
 
 @register("v08_quantiles")
 def v08(spark, base_dir):
-    return profile.quantiles(inc.raw_incidents(spark, base_dir), inc.NUMERIC_COLUMNS)
+    return profile.quantiles(inc.raw_incidents(spark, base_dir, state=False), inc.NUMERIC_COLUMNS)
 
 
 @register("v09_all_null_columns")
@@ -110,18 +110,18 @@ def v09(spark, base_dir):
 
 @register("v10_histogram")
 def v10(spark, base_dir):
-    h = profile.histogram(inc.raw_incidents(spark, base_dir), "Temperature_F", "Severity", 30)
+    h = profile.histogram(inc.raw_incidents(spark, base_dir, state=False), "Temperature_F", "Severity", 30)
     return h
 
 
 @register("v11_box_stats")
 def v11(spark, base_dir):
-    return profile.box_stats(inc.raw_incidents(spark, base_dir), "Visibility_mi", "Severity")
+    return profile.box_stats(inc.raw_incidents(spark, base_dir, state=False), "Visibility_mi", "Severity")
 
 
 @register("v12_count_by_hour")
 def v12(spark, base_dir):
-    return profile.count_by(inc.raw_incidents(spark, base_dir), F.hour("Start_Time"), "Hour")
+    return profile.count_by(inc.raw_incidents(spark, base_dir, state=False), F.hour("Start_Time"), "Hour")
 
 
 @register("v13_top_states")
@@ -131,7 +131,7 @@ def v13(spark, base_dir):
 
 @register("v13_top_weather")
 def v13w(spark, base_dir):
-    return profile.top_k(inc.raw_incidents(spark, base_dir), "Weather_Condition", 10)
+    return profile.top_k(inc.raw_incidents(spark, base_dir, state=False), "Weather_Condition", 10)
 
 
 @register("v15_feature_bounds")
@@ -175,7 +175,7 @@ def p03(spark, base_dir):
 @register("p04_labels")
 def p04(spark, base_dir):
     """0-based label, binary label, correctness flag, rename, rounding."""
-    df = transform.binary_label(inc.rule_predictions(inc.raw_incidents(spark, base_dir)))
+    df = transform.binary_label(inc.rule_predictions(inc.raw_incidents(spark, base_dir, state=False)))
     df = transform.with_correct(df.select("ID", "label", "binary_label", "pred_a", "score"),
                                 "label", "pred_a")
     df = transform.rename(df, {"score": "Score"})
@@ -185,7 +185,7 @@ def p04(spark, base_dir):
 # ---- sampling / splits ------------------------------------------------------------
 
 def _ids(spark, base_dir):
-    return inc.raw_incidents(spark, base_dir).select("ID", "Start_Time", "Severity")
+    return inc.raw_incidents(spark, base_dir, state=False).select("ID", "Start_Time", "Severity")
 
 
 @register("g01_sample_fraction")
@@ -258,8 +258,8 @@ CLASS_SCORES = {k: f"score_{k}" for k in range(4)}
 MODELS = {"rule_a": "pred_a", "rule_b": "pred_b"}
 
 
-def _preds(spark, base_dir):
-    return inc.rule_predictions(inc.raw_incidents(spark, base_dir))
+def _preds(spark, base_dir, state=False):
+    return inc.rule_predictions(inc.raw_incidents(spark, base_dir, state=state))
 
 
 @register("m01_accuracy")
@@ -365,7 +365,7 @@ def j03(spark, base_dir):
 
 @register("a04_prediction_insights")
 def a04(spark, base_dir):
-    return aggregate.prediction_insights(_preds(spark, base_dir), "label", "pred_a")
+    return aggregate.prediction_insights(_preds(spark, base_dir, state=True), "label", "pred_a")
 
 
 # ---- sources and sinks (write to the shared scratch folder, read back) ----------------
@@ -385,7 +385,7 @@ def s01(spark, base_dir):
 @register("s02_corrupt_records")
 def s02(spark, base_dir):
     from pyspark.sql import types as T
-    src = inc.raw_incidents(spark, base_dir).select(
+    src = inc.raw_incidents(spark, base_dir, state=False).select(
         "ID", F.when(F.col("ID") % 97 == 0, F.lit("n/a"))
         .otherwise(F.col("Severity").cast("string")).alias("Severity"), "Distance_mi")
     path = files.write_csv(src, _scratch(spark, "corrupt-csv"))
@@ -433,7 +433,7 @@ def _union_all(dfs):
 
 @register("s09_export_csv")
 def s09(spark, base_dir):
-    dist = profile.class_distribution(inc.raw_incidents(spark, base_dir), "Severity")
+    dist = profile.class_distribution(inc.raw_incidents(spark, base_dir, state=False), "Severity")
     path = files.export_csv(dist, _scratch(spark, "class-distribution-csv"))
     return files.read_csv(spark, path, dist.schema)
 
@@ -472,7 +472,7 @@ def w03(spark, base_dir):
 
 @register("w04_hourly_vs_first_hour")
 def w04(spark, base_dir):
-    raw = inc.raw_incidents(spark, base_dir)
+    raw = inc.raw_incidents(spark, base_dir, state=False)
     counts = raw.groupBy("Severity", F.hour("Start_Time").alias("Hour")).agg(
         F.count(F.lit(1)).alias("count"))
     out = windows.baseline_relative(counts, "Severity", "Hour", "count")
@@ -581,11 +581,41 @@ def f07(spark, base_dir):
                        for f in frames.values()])
 
 
+@register("f08_pipeline_saved_and_loaded")
+def f08(spark, base_dir):
+    """The fitted pipeline saved, loaded by its path alone and applied to the incidents."""
+    from pyspark.ml.functions import vector_to_array
+
+    from sevlens.plans.pipeline import load_pipeline, save_model
+    pipe, _ = models.ready(spark, base_dir)
+    path = _scratch(spark, "saved-pipeline")
+    save_model(pipe, path)
+    rows = transform.binary_label(transform.label_from_severity(inc.enriched_incidents(spark, base_dir)))
+    out = load_pipeline(path).transform(sampling.assign_split(rows))
+    return out.select("ID", "split", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
+
+
+@register("e06_model_saved_and_loaded")
+def e06(spark, base_dir):
+    """A fitted model saved, loaded and scoring the test split, next to the one in memory."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from sevlens.plans.pipeline import load_model, save_model
+    _, frames = models.ready(spark, base_dir)
+    model, _ = models.fitted(spark, base_dir, "lr")
+    path = _scratch(spark, "saved-model")
+    save_model(model, path)
+    rows = frames["test"].select("ID", "features")
+    loaded = load_model(path, LogisticRegressionModel).transform(rows).select("ID", F.col("prediction").alias("loaded"))
+    both = model.transform(rows).select("ID", "prediction").join(loaded, "ID")
+    return both.select("ID", (F.col("prediction") == F.col("loaded")).alias("same_prediction"), F.col("prediction").isin(0.0, 1.0, 2.0, 3.0).alias("known_class"))
+
+
 @register("f09_clean_numeric")
 def f09(spark, base_dir):
     from sevlens.plans.pipeline import CleanNumeric
     cols = list(inc.NUMERIC_COLUMNS) + ["Junction"]
-    df = inc.raw_incidents(spark, base_dir).select("ID", *cols)
+    df = inc.raw_incidents(spark, base_dir, state=False).select("ID", *cols)
     return CleanNumeric(inputCols=cols).transform(df)
 
 

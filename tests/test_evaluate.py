@@ -117,3 +117,12 @@ def test_bootstrap_metric_ci_brackets_f1(preds):
     acc = evaluate.bootstrap_metric_ci(preds, {"a": "pred_a"}, "accuracy", replicates=300, seed=3).first()
     base = evaluate.bootstrap_ci(preds, {"a": "pred_a"}, replicates=300, seed=3).first()
     assert abs(acc.CI_Width - base.CI_Width) < 0.03       # two exact-in-distribution routes agree
+
+
+def test_class_report_counts_once(preds):
+    report = evaluate.class_report(preds, "label", "pred_a")
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange ") <= 3 and "Join" not in plan
+    two = evaluate.evaluate_all(preds, {"a": "pred_a", "again": "pred_a"}).collect()
+    assert tuple(two[0])[1:] == tuple(two[1])[1:]

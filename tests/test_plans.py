@@ -12,7 +12,7 @@ def _plan(df) -> str:
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark, sf_small):
-    df = inc.raw_incidents(spark, sf_small).where(F.col("ID") < 100).select("ID", "Severity")
+    df = inc.raw_incidents(spark, sf_small, state=False).where(F.col("ID") < 100).select("ID", "Severity")
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "PushedFilters: [IsNotNull(event_id), LessThan(event_id,100)]" in plan
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
@@ -46,3 +46,9 @@ def test_state_is_joined_only_where_it_is_used(spark, sf_small):
         name = next(k for k in Q.REGISTRY if k.startswith(key.split("_")[0] + "_"))
         plan = Q.REGISTRY[name](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
         assert "customer" not in plan and "LeftOuter" not in plan, name
+
+
+def test_state_join_needs_no_aggregate_of_the_dimension(spark, sf_small):
+    plan = inc.raw_incidents(spark, sf_small)._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert inc.raw_incidents(spark, sf_small).count() == inc.table(spark, sf_small, "events").count()
