@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sevlens.functions.hashing import unit_hash
 from sevlens.operators.windows import running_sums
 from sevlens.session import materialize
 
@@ -244,6 +244,50 @@ def _chi2_sf_1dof(chi2: pd.Series) -> pd.Series:
     return chi2.map(lambda x: float("nan") if pd.isna(x) else erfc(sqrt(x / 2.0)))
 
 
+#: A count of mean m is drawn from [m - SPAN * sqrt(m) - SPAN, m + SPAN * sqrt(m) + SPAN]; what lies outside is below 2^-32.
+POISSON_SPAN = 10
+_TABLE_BLOCK = 4096
+
+
+def poisson_draws(counts: DataFrame, cell: Sequence[str], replicates: int, seed: int = 42) -> DataFrame:
+    """(cell..., replicate, count): every count redrawn as a Poisson count of that mean, once a replicate.
+
+    The draw is the smallest k whose cumulative probability reaches the uniform that md5
+    gives for (seed, cell, replicate): the same on every engine, partitioning and retry.
+    A cell's cumulative table has about 20 sqrt(count) rows, made from the ratios
+    m / k of neighbouring probabilities; table and uniforms meet in one sort by value.
+    """
+    cell, m = list(cell), F.col("count")
+    reach = F.sqrt(m) * POISSON_SPAN + POISSON_SPAN
+    lo, hi = F.greatest(F.floor(m - reach), F.lit(0)).cast("bigint"), F.ceil(m + reach).cast("bigint")
+    cells = materialize(counts.where(m > 0).select(*cell, "count", lo.alias("__lo"), hi.alias("__hi")))
+    blocks = cells.withColumn("__b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__hi") - F.col("__lo")) / _TABLE_BLOCK))))
+    start = F.col("__lo") + F.col("__b") * _TABLE_BLOCK
+    ks = blocks.withColumn("__k", F.explode(F.sequence(start, F.least(start + (_TABLE_BLOCK - 1), F.col("__hi")))))
+    one, upto = Window.partitionBy(*cell), Window.partitionBy(*cell).orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
+    ratio = F.when(F.col("__k") > F.col("__lo"), F.log(m.cast("double")) - F.log(F.col("__k").cast("double"))).otherwise(0.0)
+    table = ks.withColumn("__log", F.sum(ratio).over(upto))
+    table = table.withColumn("__w", F.exp(F.col("__log") - F.max("__log").over(one)))
+    table = table.select(*cell, (F.sum("__w").over(upto) / F.sum("__w").over(one)).alias("__at"), "__k", "__hi",
+                         F.lit(None).cast("int").alias("replicate"))
+    drawn = cells.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    key = F.concat_ws(":", *[F.col(c).cast("string") for c in cell], F.col("replicate").cast("string"))
+    drawn = drawn.select(*cell, unit_hash(key, f"bootstrap:{seed}").alias("__at"), F.lit(None).cast("bigint").alias("__k"), "__hi", "replicate")
+    after = Window.partitionBy(*cell).orderBy(F.desc("__at"), F.desc_nulls_last("__k")).rowsBetween(Window.unboundedPreceding, 0)
+    met = table.unionByName(drawn).withColumn("count", F.coalesce(F.min("__k").over(after), "__hi"))
+    return met.where(F.col("replicate").isNotNull()).select(*cell, "replicate", "count")
+
+
+def _interval(values: DataFrame, metric: str, ci: float, digits: int) -> DataFrame:
+    """(Model, Mean, CI_Lower, CI_Upper, CI_Width) of a metric over the replicates of each model."""
+    alpha = (1.0 - ci) / 2.0
+    q = F.percentile(F.col(metric), F.array(F.lit(alpha), F.lit(1.0 - alpha)))
+    res = values.groupBy("model").agg(F.avg(metric).alias("mean"), q.alias("__q"))
+    low, high = F.col("__q")[0], F.col("__q")[1]
+    return res.select(F.col("model").alias("Model"), F.round("mean", digits).alias("Mean"), F.round(low, digits).alias("CI_Lower"),
+                      F.round(high, digits).alias("CI_Upper"), F.round(high - low, digits).alias("CI_Width"))
+
+
 def bootstrap_ci(preds: DataFrame, models: Mapping[str, str], label: str = "label",
                  replicates: int = 500, ci: float = 0.95, seed: int = 42,
                  digits: int = 4) -> DataFrame:
@@ -251,40 +295,15 @@ def bootstrap_ci(preds: DataFrame, models: Mapping[str, str], label: str = "labe
 
     Accuracy only depends on how many resampled rows are correct, and a sum of m
     independent Poisson(1) row weights is Poisson(m).  So the data is reduced to
-    (model, correct rows, wrong rows) in one aggregate, and each replicate draws
+    (model, correct or not, rows) in one aggregate, and each replicate draws
     two Poisson counts: the work is O(rows) once plus O(models x replicates),
     never rows x replicates.
     """
-    right = F.col("label") == F.col("prediction")
-    counts = model_pair_counts(preds, models, label).groupBy("model").agg(
-        F.sum(F.when(right, F.col("count")).otherwise(0)).alias("n_correct"),
-        F.sum(F.when(~right, F.col("count")).otherwise(0)).alias("n_wrong"))
-    reps = counts.select("model", "n_correct", "n_wrong",
-                         F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    draws = reps.withColumn("acc", _poisson_accuracy(
-        F.lit(seed), F.xxhash64("model"), F.col("replicate"), F.col("n_correct"), F.col("n_wrong")))
-    alpha = (1.0 - ci) / 2.0
-    q = F.percentile(F.col("acc"), F.array(F.lit(alpha), F.lit(1.0 - alpha)))
-    res = draws.groupBy("model").agg(F.avg("acc").alias("mean"), q.alias("__q"))
-    return res.select(
-        F.col("model").alias("Model"),
-        F.round("mean", digits).alias("Mean_Accuracy"),
-        F.round(F.col("__q")[0], digits).alias("CI_Lower"),
-        F.round(F.col("__q")[1], digits).alias("CI_Upper"),
-        F.round(F.col("__q")[1] - F.col("__q")[0], digits).alias("CI_Width"))
-
-
-@F.pandas_udf(T.DoubleType())
-def _poisson_accuracy(seed: pd.Series, model_key: pd.Series, rep: pd.Series,
-                      n_correct: pd.Series, n_wrong: pd.Series) -> pd.Series:
-    out = np.empty(len(rep))
-    for i in range(len(rep)):
-        rng = np.random.default_rng([int(seed.iat[i]), int(model_key.iat[i]) & 0xFFFFFFFF,
-                                     int(rep.iat[i])])
-        c = rng.poisson(float(n_correct.iat[i]))
-        w = rng.poisson(float(n_wrong.iat[i]))
-        out[i] = c / (c + w) if (c + w) > 0 else np.nan
-    return pd.Series(out)
+    counts = model_pair_counts(preds, models, label).groupBy(
+        "model", F.coalesce(F.col("label") == F.col("prediction"), F.lit(False)).alias("right")).agg(F.sum("count").alias("count"))
+    rows = poisson_draws(counts, ["model", "right"], replicates, seed)
+    acc = F.try_divide(F.sum(F.when(F.col("right"), F.col("count")).otherwise(0)).cast("double"), F.sum("count").cast("double"))
+    return _interval(rows.groupBy("model", "replicate").agg(acc.alias("acc")), "acc", ci, digits).withColumnRenamed("Mean", "Mean_Accuracy")
 
 
 def bootstrap_metric_ci(preds: DataFrame, models: Mapping[str, str], metric: str = "f1",
@@ -299,26 +318,7 @@ def bootstrap_metric_ci(preds: DataFrame, models: Mapping[str, str], metric: str
     replicate redraws those K x K cells; the metrics are then the same grouped
     aggregates as ``evaluate_all``, keyed by (model, replicate).
     """
-    counts = (model_pair_counts(preds, models, label).groupBy("model", "label", "prediction").agg(F.sum("count").alias("count")))
-    reps = counts.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    drawn = reps.withColumn("count", _poisson_count(
-        F.lit(seed), F.xxhash64("model", "label", "prediction"), F.col("replicate"), F.col("count")))
-    per_rep = _weighted_metrics(drawn, ["model", "replicate"])
-    alpha = (1.0 - ci) / 2.0
-    q = F.percentile(F.col(metric), F.array(F.lit(alpha), F.lit(1.0 - alpha)))
-    res = per_rep.groupBy("model").agg(F.avg(metric).alias("mean"), q.alias("__q"))
-    return res.select(
-        F.col("model").alias("Model"), F.lit(metric).alias("Metric"),
-        F.round("mean", digits).alias("Mean"),
-        F.round(F.col("__q")[0], digits).alias("CI_Lower"),
-        F.round(F.col("__q")[1], digits).alias("CI_Upper"),
-        F.round(F.col("__q")[1] - F.col("__q")[0], digits).alias("CI_Width"))
-
-
-@F.pandas_udf(T.LongType())
-def _poisson_count(seed: pd.Series, cell_key: pd.Series, rep: pd.Series, count: pd.Series) -> pd.Series:
-    out = np.empty(len(rep), dtype=np.int64)
-    for i in range(len(rep)):
-        rng = np.random.default_rng([int(seed.iat[i]), int(cell_key.iat[i]) & 0xFFFFFFFF, int(rep.iat[i])])
-        out[i] = rng.poisson(float(count.iat[i]))
-    return pd.Series(out)
+    drawn = poisson_draws(model_pair_counts(preds, models, label).groupBy("model", "label", "prediction").agg(F.sum("count").alias("count")),
+                          ["model", "label", "prediction"], replicates, seed)
+    out = _interval(_weighted_metrics(drawn, ["model", "replicate"]), metric, ci, digits)
+    return out.select("Model", F.lit(metric).alias("Metric"), "Mean", "CI_Lower", "CI_Upper", "CI_Width")

@@ -125,6 +125,21 @@ def ensure_parallelism(df: DataFrame, id_col: str = "ID", min_partitions: int |
     return df.repartition(target, id_col)
 
 
+#: Rows of a training partition, and the fewest partitions.  Neither depends on the cluster.
+TRAIN_ROWS, MIN_TRAIN_PARTITIONS = 100_000, 8
+
+
+def fixed_partitions(df: DataFrame, rows: int, id_col: str = "ID") -> DataFrame:
+    """Partitions that follow from the data alone: their number from the row count, a row's
+    partition from the hash of its id, its place in it from the id.
+
+    Estimators that draw random numbers by partition (bootstrap weights of a forest, split
+    candidates) then see the same rows in the same order on every cluster and in every retry.
+    """
+    n = max(MIN_TRAIN_PARTITIONS, -(-rows // TRAIN_ROWS))
+    return df.repartition(n, id_col).sortWithinPartitions(id_col)
+
+
 def round_robin(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 

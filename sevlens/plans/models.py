@@ -8,14 +8,15 @@ estimators run over it; lost blocks are recomputed from the short lineage.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import time
 from collections.abc import Mapping
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ from sevlens.operators import evaluate, sampling, transform
 from sevlens.operators.windows import rank_top_n
 from sevlens.plans import incidents as inc
 from sevlens.plans.pipeline import build_pipeline, slot_names
+from sevlens.sources.tables import table
 
 # Fixed hyper-parameters of the reference runs.
 LR_PARAMS = dict(maxIter=100, regParam=0.01, elasticNetParam=0.0, standardization=False,
@@ -49,7 +51,9 @@ def model_ready(spark: SparkSession, base_dir: str):
     # The labelled input feeds three fitting passes (imputer, indexer, scaler)
     # and the transform: persist it for the fit, release it once the training
     # split is materialised.  Lost blocks are recomputed from the scan.
-    df = sampling.ensure_parallelism(sampling.assign_split(df)).persist(StorageLevel.MEMORY_AND_DISK)
+    # One incident stands for one event, so the number of partitions comes from a count of the scan.
+    rows = table(spark, base_dir, "events").count()
+    df = sampling.fixed_partitions(sampling.assign_split(df), rows).persist(StorageLevel.MEMORY_AND_DISK)
     train_raw = df.where(F.col("split") == "train")
     pipe_model = build_pipeline().fit(train_raw)
     ready = pipe_model.transform(df).select(*READY_COLUMNS)
@@ -92,29 +96,48 @@ def score(model, df: DataFrame, prefix: str | None = None) -> DataFrame:
 
 
 def tune_rf(train: DataFrame, grid: Mapping = TUNE_GRID, fraction: float = TUNE_FRACTION,
-            train_ratio: float = TUNE_TRAIN_RATIO, parallelism: int = TUNE_PARALLELISM, seed: int = 42):
-    """E5: train/validation split search over (numTrees x maxDepth) on a stable sample.
+            train_ratio: float = TUNE_TRAIN_RATIO, parallelism: int = TUNE_PARALLELISM, seed: int = 42,
+            metric: str = "f1"):
+    """E5: search over a grid of forest parameters on a stable sample of ``train``.
 
-    Returns (best_model, table of (numTrees, maxDepth, f1, best)).
+    The sample is cut in a training and a validation part by a hash of the id, so every cell
+    of the grid sees the same rows on every cluster.  ``parallelism`` cells train at a time; a
+    cell's metrics come from one count of (label, prediction).  What the grid leaves open
+    has MLlib's defaults, as in the reference's search.
+
+    Returns (best model, its parameters, table of (the grid's parameters, train and validation rows,
+    accuracy, f1, precision, recall, best)).  Ties go to the first cell.
     """
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", minInstancesPerNode=5,
-                                featureSubsetStrategy="sqrt", seed=seed, **TREE_EXECUTION)
-    pg = ParamGridBuilder()
-    for name, values in grid.items():
-        pg = pg.addGrid(rf.getParam(name), list(values))
-    maps = pg.build()
-    tvs = TrainValidationSplit(estimator=rf, estimatorParamMaps=maps, trainRatio=train_ratio,
-                               evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-                               parallelism=parallelism, seed=seed)
-    fitted = tvs.fit(sampling.sample_fraction(train, fraction, "ID", seed))
-    rows = []
-    best = max(range(len(maps)), key=lambda i: fitted.validationMetrics[i])
-    for i, pm in enumerate(maps):
-        r = {p.name: int(v) for p, v in pm.items()}
-        rows.append((r["numTrees"], r["maxDepth"], float(fitted.validationMetrics[i]), i == best))
-    table = train.sparkSession.createDataFrame(
-        rows, "numTrees int, maxDepth int, f1 double, best boolean")
-    return fitted.bestModel, table
+    names, cells = list(grid), list(itertools.product(*grid.values()))
+    parts = sampling.split(sampling.sample_fraction(train, fraction, "ID", seed), (train_ratio, 1 - train_ratio),
+                           ("train", "valid"), "ID", f"tune:{seed}")
+    sizes = {}
+    for k, df in parts.items():
+        parts[k] = df.select("ID", "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+        sizes[k] = parts[k].count()
+
+    def run(cell):
+        model = RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, **TREE_EXECUTION,
+                                       **dict(zip(names, cell))).fit(parts["train"])
+        return model, evaluate_model(model.transform(parts["valid"]))
+    try:
+        with ThreadPool(parallelism) as pool:       # each thread waits for its own Spark jobs
+            runs = pool.map(inheritable_thread_target(train.sparkSession)(run), cells)
+    finally:
+        for df in parts.values():
+            df.unpersist()
+    best = max(range(len(cells)), key=lambda i: runs[i][1][metric])
+    keys = ("accuracy", "f1", "precision", "recall")
+    rows = [(*cell, sizes["train"], sizes["valid"], *[float(m[k]) for k in keys], i == best)
+            for i, (cell, (_, m)) in enumerate(zip(cells, runs))]
+    schema = ", ".join([*[f"{n} int" for n in names], "train_rows bigint", "valid_rows bigint", *[f"{k} double" for k in keys], "best boolean"])
+    return runs[best][0], dict(zip(names, cells[best])), train.sparkSession.createDataFrame(rows, schema)
+
+
+def tuned_forest(frames: Mapping[str, DataFrame], **search) -> tuple:
+    """(model, parameters, grid table, its metrics on the whole validation split) of the searched forest."""
+    model, params, grid = tune_rf(frames["train"], **search)
+    return model, params, grid, evaluate_model(model.transform(frames["valid"]))
 
 
 def importances(model, names: list[str], n: int = 20) -> DataFrame:
@@ -186,6 +209,29 @@ def sample_vs_full(train: DataFrame, valid: DataFrame, n: int = 100_000,
         rows, "Model string, Sample_Size string, Train_Time_s double, Val_Accuracy double, Val_F1 double")
 
 
+def model_facts(frames: Mapping[str, DataFrame], fits: Mapping[str, tuple]) -> DataFrame:
+    """What holds of any sound fit, for name -> (model, label column): rows trained on and scored, classes
+    of the training labels, the majority's share of them, whether the model is right at least that
+    often on the training rows, and whether it predicts known classes only.
+
+    One count of (label, prediction) a model and split.
+    """
+    out = []
+    for name, (model, label) in fits.items():
+        counted = {k: evaluate.pair_counts(model.transform(frames[k]), label) for k in ("train", "test")}
+        own = counted["train"]
+        support = own.groupBy("label").agg(F.sum("count").alias("n")).agg(
+            F.sum("n").alias("train_rows"), F.count("*").alias("classes"), F.max("n").alias("most"), F.collect_set("label").alias("known"))
+        right = own.agg(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count"))).alias("right"))
+        seen = counted["test"].agg(F.sum("count").alias("test_rows"), F.collect_set("prediction").alias("given"))
+        facts = support.join(right).join(seen)      # one row each
+        out.append(facts.select(
+            F.lit(name).alias("model"), "train_rows", "test_rows", "classes", F.round(F.col("most") / F.col("train_rows"), 6).alias("majority_share"),
+            (F.coalesce("right", F.lit(0)) >= F.col("most")).alias("not_below_majority"),
+            (F.size(F.array_except("given", "known")) == 0).alias("known_classes_only")))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 def model_summary(spark: SparkSession, results: list[dict]) -> DataFrame:
     """One row per model (train time, accuracy, f1, precision, recall, auc)."""
     schema = ("Model string, Train_Time_s double, Test_Accuracy double, Test_F1 double, "

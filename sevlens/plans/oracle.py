@@ -582,3 +582,55 @@ _NAME_LIST = ("list_concat([" + ", ".join(f"'{c}_imp'" for c in _IMPUTE) + "], "
 ORACLE_SQL["f10_slot_names"] = FEAT + _PIPE_FILL + _PIPE_IX + f"""
 , names AS (SELECT {_NAME_LIST} AS n)
 SELECT CAST(unnest(range(len(n))) AS INTEGER) AS slot, unnest(n) AS name FROM names"""
+
+
+# ---- bootstrap: Poisson counts by the inverse of their cumulative table --------------
+
+def _draws(cells: str, key: str) -> str:
+    """CTEs after ``cells`` (model, cell..., n): ``drawn`` with n redrawn for every replicate."""
+    return f"""
+, cells AS ({cells})
+, tab AS (SELECT *, unnest(range(CAST(greatest(floor(n - sqrt(n) * 10 - 10), 0) AS BIGINT), CAST(ceil(n + sqrt(n) * 10 + 10) AS BIGINT) + 1)) AS k FROM cells)
+, lg AS (SELECT *, k * ln(n) - lgamma(k + 1) - n AS l FROM tab)
+, cum AS (SELECT model, {key}, k, sum(exp(l)) OVER (PARTITION BY model, {key} ORDER BY k) / sum(exp(l)) OVER (PARTITION BY model, {key}) AS p FROM lg)
+, uni AS (SELECT *, CAST(('0x' || substr(md5('bootstrap:42:' || concat_ws(':', model, {key}, replicate)), 1, 8)) AS BIGINT) / 4294967296.0e0 AS u
+          FROM (SELECT *, unnest(range(500)) AS replicate FROM cells))
+, drawn AS (SELECT uni.model, {", ".join("uni." + c for c in key.split(", "))}, replicate, min(k) AS n FROM uni JOIN cum
+            ON {" AND ".join(f"uni.{c} = cum.{c}" for c in ["model", *key.split(", ")])} AND cum.p >= uni.u GROUP BY ALL)
+"""
+
+
+_BOUNDS_CI = ("round(avg(v), 4) AS {mean}, round(quantile_cont(v, 0.025), 4) AS CI_Lower, round(quantile_cont(v, 0.975), 4) AS CI_Upper, "
+              "round(quantile_cont(v, 0.975) - quantile_cont(v, 0.025), 4) AS CI_Width")
+ORACLE_SQL["m12_bootstrap_ci"] = PRED + _draws(
+    f'SELECT model, coalesce(label = prediction, false) AS "right", count(*) AS n FROM ({_AB}) GROUP BY ALL', '"right"') + """
+, per AS (SELECT model, replicate, coalesce(sum(n) FILTER ("right"), 0) * 1.0e0 / nullif(sum(n), 0) AS v FROM drawn GROUP BY ALL)
+SELECT model AS Model, """ + _BOUNDS_CI.format(mean="Mean_Accuracy") + " FROM per GROUP BY model"
+
+ORACLE_SQL["m12_bootstrap_f1_ci"] = PRED + _draws(
+    f"SELECT model, label, prediction, count(*) AS n FROM ({_AB}) GROUP BY ALL", "label, prediction") + """
+, cl AS (SELECT model, replicate, label AS c FROM drawn UNION SELECT model, replicate, prediction FROM drawn)
+, pc AS (SELECT cl.model, cl.replicate, cl.c, coalesce(sum(n) FILTER (label = c AND prediction = c), 0) AS tp,
+           coalesce(sum(n) FILTER (prediction = c), 0) AS pr, coalesce(sum(n) FILTER (label = c), 0) AS su
+         FROM cl JOIN drawn USING (model, replicate) GROUP BY ALL)
+, per AS (SELECT model, replicate, sum(coalesce(2.0e0 * tp / nullif(pr + su, 0), 0) * su) / nullif(sum(su), 0) AS v FROM pc GROUP BY ALL)
+SELECT model AS Model, 'f1' AS Metric, """ + _BOUNDS_CI.format(mean="Mean") + " FROM per GROUP BY model"
+
+
+# ---- what holds of any sound fit ------------------------------------------------------
+
+_FACT_LABELS = "SELECT split, CAST(Severity - 1 AS DOUBLE) AS label, CASE WHEN Severity >= 3 THEN 1.0e0 ELSE 0.0e0 END AS binary FROM labelled"
+ORACLE_SQL["e01_e04_model_facts"] = FEAT + ", labelled AS (SELECT *, " + _SPLIT + f""" AS split FROM featured)
+, rows AS ({_FACT_LABELS})
+, named AS (SELECT unnest(['lr', 'rf', 'dt']) AS model, split, label FROM rows UNION ALL SELECT 'gbt', split, "binary" FROM rows)
+, per AS (SELECT model, label, count(*) FILTER (split = 'train') AS n, count(*) FILTER (split = 'test') AS t FROM named GROUP BY ALL)
+SELECT model, CAST(sum(n) AS BIGINT) AS train_rows, CAST(sum(t) AS BIGINT) AS test_rows, count(*) FILTER (n > 0) AS classes,
+  round(max(n) * 1.0e0 / sum(n), 6) AS majority_share, true AS not_below_majority, true AS known_classes_only
+FROM per GROUP BY model"""
+
+_UT = _U.replace("'42:'", "'tune:42:'")
+ORACLE_SQL["e05_search_facts"] = BASE + f"""
+, tuned AS (SELECT {_UT} < 0.8e0 AS own FROM incidents WHERE {_SPLIT} = 'train' AND {_US} < 0.2e0)
+SELECT numTrees, maxDepth, (SELECT count(*) FROM tuned WHERE own) AS train_rows, (SELECT count(*) FROM tuned WHERE NOT own) AS valid_rows,
+  true AS best_by_f1, true AS metrics_in_range
+FROM (SELECT unnest([50, 100]) AS numTrees), (SELECT unnest([8, 12]) AS maxDepth)"""

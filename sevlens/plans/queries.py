@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sevlens.operators import (aggregate, enrich, evaluate, profile, reports, sampling, transform,
@@ -657,11 +657,38 @@ def e04(spark, base_dir):
         {"tree_depth": F.lit(model.depth), "tree_nodes": F.lit(model.numNodes)})
 
 
+@register("e01_e04_model_facts")
+def e01_facts(spark, base_dir):
+    _, frames = models.ready(spark, base_dir)
+    return models.model_facts(frames, {n: (models.fitted(spark, base_dir, n)[0], "binary_label" if n == "gbt" else "label")
+                                       for n in ("lr", "rf", "gbt", "dt")})
+
+
+def _tuned(spark, base_dir):
+    return models.memo(spark, base_dir, "tuned", lambda: models.tuned_forest(models.ready(spark, base_dir)[1]))
+
+
 @register("e05_tune_rf")
 def e05(spark, base_dir):
-    _, frames = models.ready(spark, base_dir)
-    _, table = models.tune_rf(frames["train"])
-    return table
+    return _tuned(spark, base_dir)[2]
+
+
+@register("e05_search_facts")
+def e05_facts(spark, base_dir):
+    """The cells of the search with the rows that each trained and was judged on; one of them is the best."""
+    best = F.max_by(F.struct("numTrees", "maxDepth"), F.struct("f1", -F.col("numTrees"), -F.col("maxDepth"))).over(Window.partitionBy())
+    table = _tuned(spark, base_dir)[2].withColumn("__first", best)
+    agrees = (F.struct("numTrees", "maxDepth") == F.col("__first")) == F.col("best")
+    return table.select("numTrees", "maxDepth", "train_rows", "valid_rows", agrees.alias("best_by_f1"),
+                        (F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1)).alias("metrics_in_range"))
+
+
+@register("e05_tuned_on_validation")
+def e05_valid(spark, base_dir):
+    """The tuned forest, its parameters and its metrics on the whole validation split."""
+    _, params, _, m = _tuned(spark, base_dir)
+    return spark.createDataFrame([("RF_MLlib_Tuned", *params.values(), m["accuracy"], m["f1"])],
+                                 "Model string, numTrees int, maxDepth int, Val_Accuracy double, Val_F1 double")
 
 
 @register("e07_feature_importances")

@@ -126,3 +126,28 @@ def test_class_report_counts_once(preds):
     assert plan.count("Exchange ") <= 3 and "Join" not in plan
     two = evaluate.evaluate_all(preds, {"a": "pred_a", "again": "pred_a"}).collect()
     assert tuple(two[0])[1:] == tuple(two[1])[1:]
+
+
+def test_poisson_draws_invert_the_cumulative_table(spark):
+    import hashlib
+
+    cells = {"one": 1, "few": 7, "many": 5000}
+    frame = spark.createDataFrame([*cells.items(), ("none", 0)], "cell string, count long")
+    got = {(r.cell, r.replicate): r["count"] for r in evaluate.poisson_draws(frame, ["cell"], 60, 5).collect()}
+    assert got == {(r.cell, r.replicate): r["count"] for r in evaluate.poisson_draws(frame.repartition(7), ["cell"], 60, 5).collect()}
+    want = {}
+    for cell, m in cells.items():
+        for replicate in range(60):
+            u = int(hashlib.md5(f"bootstrap:5:{cell}:{replicate}".encode()).hexdigest()[:8], 16) / 2 ** 32
+            k, below = 0, math.exp(-m) if m < 700 else 0.0
+            while below < u:
+                k += 1
+                below += math.exp(k * math.log(m) - math.lgamma(k + 1) - m)
+            want[cell, replicate] = k
+    assert got == want
+
+
+def test_draws_of_large_counts_stay_small(spark):
+    frame = spark.createDataFrame([("hot", 4_000_000_000)], "cell string, count long")
+    r = evaluate.poisson_draws(frame, ["cell"], 200).agg(F.count("*").alias("n"), F.avg("count").alias("mean"), F.stddev("count").alias("sd")).first()
+    assert r.n == 200 and abs(r["mean"] - 4e9) < 5 * math.sqrt(4e9 / 200) and 0.8 < r.sd / math.sqrt(4e9) < 1.2
