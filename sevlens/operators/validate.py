@@ -7,6 +7,7 @@ Nothing is collected; the report is itself a DataFrame.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -86,6 +87,32 @@ def assert_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     return df
 
 
+def column_presence(df: DataFrame, required: Iterable[str]) -> DataFrame:
+    """V14 as a report: (column, present, non_null); an absent column has no count.  One pass for all."""
+    names = list(required)
+    have = [c for c in names if c in df.columns]
+    agg = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(c)).alias(f"__nn_{i}") for i, c in enumerate(have)])
+    counted = {c: F.col(f"__nn_{i}") for i, c in enumerate(have)}
+    return long_form(agg, [(c, {"present": F.lit(c in counted), "non_null": counted.get(c, F.lit(None).cast("bigint"))}) for c in names])
+
+
+def invalid_rows(df: DataFrame, domains: Mapping[str, Sequence] | None = None, bounds: Mapping[str, tuple[float, float]] | None = None,
+                 required: Iterable[str] = (), out: str = "reasons") -> DataFrame:
+    """Rows that break a rule, with the broken rules in ``out``, for a quarantine table.
+
+    A value outside its domain or its (lo, hi) range breaks a rule, a null only where the column is
+    required.  One filter over the scan, no shuffle; bounds and nulls of plain columns reach the scan.
+    """
+    broken = {f"domain:{c}": ~F.col(c).isin(list(v)) for c, v in (domains or {}).items()}
+    broken |= {f"range:{c}": (F.col(c) < lo) | (F.col(c) > hi) for c, (lo, hi) in (bounds or {}).items()}
+    broken |= {f"null:{c}": F.col(c).isNull() for c in required}
+    if not broken:
+        return df.withColumn(out, F.array().cast("array<string>")).where(F.lit(False))
+    named = F.array(*[F.when(cond, F.lit(name)) for name, cond in broken.items()])
+    any_broken = functools.reduce(lambda a, b: a | b, broken.values())
+    return df.where(any_broken).withColumn(out, F.array_compact(named))
+
+
 def bounds_report(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:
     """(column, min, max, lo, hi, within) in one pass over all checked columns."""
     names = list(bounds)

@@ -634,3 +634,29 @@ ORACLE_SQL["e05_search_facts"] = BASE + f"""
 SELECT numTrees, maxDepth, (SELECT count(*) FROM tuned WHERE own) AS train_rows, (SELECT count(*) FROM tuned WHERE NOT own) AS valid_rows,
   true AS best_by_f1, true AS metrics_in_range
 FROM (SELECT unnest([50, 100]) AS numTrees), (SELECT unnest([8, 12]) AS maxDepth)"""
+
+
+# ---- broken rules, columns, the file of 46 columns --------------------------------------
+
+ORACLE_SQL["v03_domain_check_violated"] = BASE + """
+SELECT 'Severity' AS "column", count(*) FILTER (WHERE Severity > 3) AS violations,
+  CASE WHEN count(*) FILTER (WHERE Severity > 3) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM incidents"""
+
+ORACLE_SQL["p02_invalid_rows"] = ENR + """
+SELECT ID, 'domain:Severity' AS reason FROM enriched WHERE Severity NOT IN (1, 2, 3)
+UNION ALL SELECT ID, 'range:Start_Lat' FROM enriched WHERE Start_Lat NOT BETWEEN 24.0e0 AND 72.0e0
+UNION ALL SELECT ID, 'range:Start_Lng' FROM enriched WHERE Start_Lng NOT BETWEEN -170.0e0 AND -66.0e0
+UNION ALL SELECT ID, 'null:Temperature_F' FROM enriched WHERE Temperature_F IS NULL
+UNION ALL SELECT ID, 'null:Region' FROM enriched WHERE Region IS NULL"""
+
+ORACLE_SQL["v14_column_presence"] = ENR + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", true AS present, count({c}) AS non_null FROM enriched" for c in ("ID", "State", "Region", "Climate_Zone")) + """
+UNION ALL SELECT 'Sensor', false, CAST(NULL AS BIGINT)"""
+
+# columns of the file that no rule of the incident model fills
+_EMPTY = (("Source", "VARCHAR"), ("End_Lat", "DOUBLE"), ("End_Lng", "DOUBLE"), ("Description", "VARCHAR"), ("Street", "VARCHAR"),
+          ("City", "VARCHAR"), ("County", "VARCHAR"), ("Zipcode", "VARCHAR"), ("Country", "VARCHAR"), ("Airport_Code", "VARCHAR"),
+          ("Weather_Timestamp", "TIMESTAMP"), ("Nautical_Twilight", "VARCHAR"), ("Astronomical_Twilight", "VARCHAR"))
+ORACLE_SQL["s06_incident_csv_46"] = BASE + """
+SELECT * REPLACE (CAST(ID AS VARCHAR) AS ID, CASE WHEN ID % 89 = 0 THEN NULL ELSE Severity END AS Severity), """ + ", ".join(
+    f"CAST(NULL AS {t}) AS {c}" for c, t in _EMPTY) + ", ID % 89 = 0 AS corrupt FROM incidents"

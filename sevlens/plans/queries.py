@@ -78,6 +78,24 @@ def v03(spark, base_dir):
     return validate.domain_violations(inc.raw_incidents(spark, base_dir, state=False), "Severity")
 
 
+@register("v03_domain_check_violated")
+def v03_violated(spark, base_dir):
+    """The same check on a narrower domain, which the rows of severity 4 break."""
+    return validate.domain_violations(inc.raw_incidents(spark, base_dir, state=False), "Severity", (1, 2, 3))
+
+
+@register("p02_invalid_rows")
+def p02(spark, base_dir):
+    bad = validate.invalid_rows(inc.enriched_incidents(spark, base_dir), {"Severity": (1, 2, 3)}, validate.US_BOUNDING_BOX,
+                                ("Temperature_F", "Region"))
+    return bad.select("ID", F.explode("reasons").alias("reason"))
+
+
+@register("v14_column_presence")
+def v14(spark, base_dir):
+    return validate.column_presence(inc.enriched_incidents(spark, base_dir), ("ID", "State", "Region", "Climate_Zone", "Sensor"))
+
+
 @register("v04_range_check")
 def v04(spark, base_dir):
     return validate.range_violations(inc.raw_incidents(spark, base_dir, state=False))
@@ -397,6 +415,20 @@ def s02(spark, base_dir):
             .unionByName(bad.drop(files.CORRUPT_COLUMN).withColumn("corrupt", F.lit(True))))
 
 
+@register("s06_incident_csv_46")
+def s06(spark, base_dir):
+    """The 46-column file under its raw header, malformed fields included: good and corrupt rows under clean names."""
+    from sevlens.sources import incident_csv as wide
+    own = inc.raw_incidents(spark, base_dir)
+    cols = {wide.CLEAN_NAMES.get(f.name, f.name): f.dataType for f in wide.RAW_SCHEMA}
+    rows = own.select(*[(F.col(c) if c in own.columns else F.lit(None)).cast("string" if c == "Severity" else t).alias(c) for c, t in cols.items()])
+    rows = rows.withColumn("Severity", F.when(F.col("ID").cast("bigint") % 89 == 0, F.lit("severe")).otherwise(F.col("Severity")))
+    path = files.write_csv(wide.raw_names(rows), _scratch(spark, "incidents-46"))
+    good, bad = files.split_corrupt(wide.read_incident_csv(spark, path, keep_corrupt=True))
+    both = good.withColumn("corrupt", F.lit(False)).unionByName(bad.drop(files.CORRUPT_COLUMN).withColumn("corrupt", F.lit(True)))
+    return both.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in both.dtypes if t == "timestamp"})
+
+
 def _partitioned(spark, base_dir):
     """(schema, rows observed by the write, path) of the enriched incidents partitioned by state."""
     enriched, seen = files.observed(inc.enriched_incidents(spark, base_dir))

@@ -111,3 +111,15 @@ def test_indexer_ties_are_alphabetical_and_unseen_gets_last_index(spark):
     assert model.labelsArray[0] == ["c", "a", "b"]
     unseen = spark.createDataFrame([("zzz",)], "w string")
     assert model.transform(unseen).first().w_idx == 3.0
+
+
+def test_search_returns_every_cell_and_the_best(ready):
+    _, frames = ready
+    model, params, table, valid = models.tuned_forest(frames, grid={"numTrees": (2, 4), "maxDepth": (2, 3)}, fraction=0.9)
+    rows = table.collect()
+    assert [(r.numTrees, r.maxDepth) for r in rows] == [(2, 2), (2, 3), (4, 2), (4, 3)]
+    best = max(rows, key=lambda r: r.f1)
+    assert [r.best for r in rows].count(True) == 1 and best.f1 == next(r.f1 for r in rows if r.best)
+    assert params == {"numTrees": model.getNumTrees, "maxDepth": model.getOrDefault("maxDepth")} and 0 <= valid["f1"] <= 1
+    again = models.tune_rf(frames["train"].repartition(5), {"numTrees": (2,), "maxDepth": (2,)}, 0.9)[2].first()
+    assert (again.train_rows, again.valid_rows) == (rows[0].train_rows, rows[0].valid_rows)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sevlens.operators import enrich, sampling
+from sevlens.plans import incidents as inc
 
 
 def _ids(spark, n=10_000):
@@ -75,3 +76,18 @@ def test_sample_of_each_split_has_its_share(spark):
             kept = sampling.sample_fraction(part, share).count()
             assert abs(kept - share * n) < 3 * (n * share * (1 - share)) ** 0.5 + 1, (name, share)
         assert sampling.sample_cap(part, 500).count() == 500
+
+
+def test_fixed_partitions_follow_from_the_data(spark, sf_small):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = inc.raw_incidents(spark, sf_small, state=False).select("ID", (F.col("Severity") - 1).cast("double").alias("label"), "Start_Lat", "Distance_mi")
+    rows = VectorAssembler(inputCols=["Start_Lat", "Distance_mi"], outputCol="features").transform(rows)
+    trees = set()
+    for given in (rows.repartition(3), rows.repartition(11).orderBy(F.desc("ID"))):
+        fixed = sampling.fixed_partitions(given, 1000)
+        assert fixed.rdd.getNumPartitions() == sampling.MIN_TRAIN_PARTITIONS
+        trees.add(RandomForestClassifier(numTrees=3, maxDepth=4, seed=1).fit(fixed).toDebugString.split("\n", 1)[1])
+    assert len(trees) == 1
+    assert sampling.fixed_partitions(rows, 1_000_001).rdd.getNumPartitions() == 11

@@ -79,3 +79,16 @@ def test_bounds_report(spark):
     df = spark.createDataFrame([(0,), (23,)], "Hour int")
     r = validate.bounds_report(df, {"Hour": (0, 23)}).first()
     assert r.within and (r.min, r.max) == (0.0, 23.0)
+
+
+def test_invalid_rows_name_their_broken_rules(spark):
+    df = spark.createDataFrame([(1, 1, 5.0), (2, 9, 5.0), (3, None, 50.0), (4, 1, None), (5, 9, 11.0)], "id int, a int, x double")
+    got = {r.id: r.reasons for r in validate.invalid_rows(df, {"a": (1, 2)}, {"x": (0.0, 10.0)}, ["x"]).collect()}
+    assert got == {2: ["domain:a"], 3: ["range:x"], 4: ["null:x"], 5: ["domain:a", "range:x"]}
+    assert validate.invalid_rows(df).count() == 0
+
+
+def test_column_presence_counts_and_misses(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "id int, s string")
+    got = [tuple(r) for r in validate.column_presence(df, ["s", "id", "gone"]).collect()]
+    assert sorted(got) == [("gone", False, None), ("id", True, 2), ("s", True, 1)]
