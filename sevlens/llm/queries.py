@@ -109,23 +109,37 @@ _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 _KNOWN = "[" + ", ".join(f"'{s}'" for s in licenses.SENTENCES) + "]"
-_RULES = ", ".join(f"CASE WHEN contains(line, ',{','.join(map(str, r))},') THEN '{name}' END" for name, r in licenses.RULES)
 
 
 def _sentences(end: str) -> str:
-    return f"""(SELECT doc_id, list_filter(list_transform(string_split_regex(translate(coalesce(text, ''),
+    return f"""list_filter(list_transform(string_split_regex(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{end}'),
-        lambda s: coalesce(list_position({_KNOWN}, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'))), 0)), lambda i: i > 0) AS ids FROM documents)"""
+        lambda s: coalesce(list_position({_KNOWN}, regexp_replace(trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')),
+                                         '{licenses.HOLDER}', '{licenses.ANY_HOLDER}')), 0)), lambda i: i > 0)"""
+
+
+def _held(cut: str) -> str:
+    """Columns of the rules that hold in a cut: each sees the line without what the longer ones before it have used up."""
+    lines = [f"array_to_string(list_transform(list_filter({cut}, lambda i: i <> {licenses.WEAK[1]}), lambda i: concat(',', i, ',')), '') AS {cut}_0"]
+    lines += [f"replace({cut}_{n}, '{licenses.key(r)}', ',0,') AS {cut}_{n + 1}" for n, (_, r) in enumerate(licenses.RULES)]
+    found = ", ".join(f"CASE WHEN contains({cut}_{n}, '{licenses.key(r)}') THEN '{name}' END" for n, (name, r) in enumerate(licenses.RULES))
+    return ", ".join([*lines, f"list_filter([{found}], lambda x: x IS NOT NULL) AS {cut}_names"])
+
+
+def _whole(own: str, other: str) -> str:
+    fuller = " OR ".join(f"x = '{short}' AND list_contains({other}, '{long}') AND NOT list_contains({own}, '{long}')" for short, long in licenses.WITHIN)
+    return f"list_filter({own}, lambda x: NOT ({fuller}))"
 
 
 ORACLE_SQL: dict[str, str] = {
     "op7_licenses": f"""
-        WITH a AS {_sentences(licenses.LINE_END)}, b AS {_sentences(licenses.MARK_END)},
-        cuts AS (SELECT doc_id, ids FROM a UNION ALL SELECT doc_id, ids FROM b),
-        held AS (SELECT doc_id, unnest([{_RULES}]) AS name FROM (SELECT doc_id, concat(',', array_to_string(ids, ','), ',') AS line FROM cuts)),
-        names AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM held WHERE name IS NOT NULL GROUP BY doc_id)
-        SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(names, '') AS licenses
-        FROM a LEFT JOIN names USING (doc_id)""",
+        WITH cuts AS (SELECT doc_id, {_sentences(licenses.LINE_END)} AS a, {_sentences(licenses.MARK_END)} AS b FROM documents),
+        held AS (SELECT doc_id, a, b, {_held("a")}, {_held("b")} FROM cuts),
+        named AS (SELECT *, list_sort(list_distinct(list_concat({_whole("a_names", "b_names")}, {_whole("b_names", "a_names")}))) AS names FROM held)
+        SELECT doc_id, coalesce(array_to_string(a, ','), '') AS sentence_ids,
+          CASE WHEN len(names) = 0 AND (list_contains(a, {licenses.WEAK[1]}) OR list_contains(b, {licenses.WEAK[1]})) THEN '{licenses.WEAK[0]}'
+               ELSE coalesce(array_to_string(names, ','), '') END AS licenses
+        FROM named""",
     "op4_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
         ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
