@@ -2,31 +2,34 @@
 
 Terms are words and their 4- and 5-letter beginnings.  Of copies and near copies under a label
 one trains (operator 8 within the label: linked by verified five-word Jaccard similarities of 0.8 or
-more), so that the wording of a much-copied text isn't taken for a mark of its label.  Over all labelled training rows so left, term
-counts by label give the terms that mark label 1 (in three of its rows, ten times as frequent as
-elsewhere, with a log-likelihood ratio of 24 or more, however many) and their IDF;
-a bounded sample of labelled rows (``sample`` for each label) gives the examples.  Their
+more), so that the wording of a much-copied text isn't taken for a mark of its label.  A bounded sample of
+the rows so left (``sample`` for each label) gives the examples; of label 1, rows come first that stand for a
+mark of that label (a term in three of its rows, ten times as frequent as elsewhere, with a
+log-likelihood ratio of 24 or more), so that rare marks have an example too.  The vocabulary is every
+term of the examples that three training rows hold, so what the driver gathers is bounded by the
+sample.  Its IDF comes from counts over all labelled training rows, and is multiplied by
+``floor`` and the part of the term's log odds between the labels that exceeds ``errors`` standard errors, either way:
+every term takes part, but those that tell the labels apart weigh more.  The
 vectors form an inverted index cut into blocks of examples with the largest weight of every
-term in every block.  A text's blocks are read by falling bound, and reading stops when
+term in every block that holds it.  A text's blocks are read by falling bound, and reading stops when
 no block can hold a nearer example than the k found, so the k nearest are exact.
 Votes weighted by distance give a raw score, which isotonic regression over the examples,
 each left out of its own vote, turns into a share of label 1.
 
-Defined results: a null or empty text, or one without a known term, gets the share of such
+Defined results: a null or empty text, or one without a term of the vocabulary, gets the share of such
 texts; labels and ids of null train nothing; without both labels the
 score is the share of label 1 (0 without labels); other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,19 +67,26 @@ def distinct_texts(rows: DataFrame, words: int = 5, threshold: float = 0.8) -> D
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
-    """(term, n0, n1): rows of each label that hold the term; the empty term counts rows."""
+    """(term, n0, n1, holder): rows of each label that hold the term, and the row of label 1 with the least hash that does."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches):
-            n = (Counter(), Counter())
-            for t, y in zip(strings(batch.column("text")), batch.column("y").to_pylist()):
-                n[y].update(set(terms(t)) | {""})
+            n, holder = (Counter(), Counter()), {}
+            for t, y, at in zip(strings(batch.column("text")), batch.column("y").to_pylist(), batch.column("holder").to_pylist()):
+                held = set(terms(t))
+                n[y].update(held)
+                if y:
+                    for x in held:
+                        if x not in holder or (at["h"], at["doc_id"]) < (holder[x]["h"], holder[x]["doc_id"]):
+                            holder[x] = at
             both = list(n[0] | n[1])
-            yield pa.RecordBatch.from_arrays([pa.array(both, pa.string()), pa.array([n[0][t] for t in both], pa.int64()),
-                                              pa.array([n[1][t] for t in both], pa.int64())], names=["term", "n0", "n1"])
+            yield pa.RecordBatch.from_arrays([pa.array(both, pa.string()), pa.array([n[0][t] for t in both], pa.int64()), pa.array([n[1][t] for t in both], pa.int64()),
+                                              pa.array([holder.get(t) for t in both], pa.struct([("h", pa.int64()), ("doc_id", pa.int64())]))],
+                                             names=["term", "n0", "n1", "holder"])
 
-    counted = rows.select("text", "y").mapInArrow(count, "term string, n0 long, n1 long")
-    return counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = (rows.select("text", "y", F.struct(F.xxhash64(F.lit("holder"), "doc_id").alias("h"), "doc_id").alias("holder"))
+               .mapInArrow(count, "term string, n0 long, n1 long, holder struct<h: long, doc_id: long>"))
+    return counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.min("holder").alias("holder"))
 
 
 def likelihood_ratio(n0: F.Column, n1: F.Column, all0: int, all1: int) -> F.Column:
@@ -87,8 +97,25 @@ def likelihood_ratio(n0: F.Column, n1: F.Column, all0: int, all1: int) -> F.Colu
                 + cell(F.lit(all0) - n0, n - held, F.lit(all0)) + cell(F.lit(all1) - n1, n - held, F.lit(all1)))
 
 
+def term_weight(n0: np.ndarray, n1: np.ndarray, all0: int, all1: int, floor: float, errors: float) -> np.ndarray:
+    """IDF times ``floor`` and the part of the log odds ratio that exceeds ``errors`` standard errors."""
+    a, b, c, d = n1 + 0.5, all1 - n1 + 0.5, n0 + 0.5, all0 - n0 + 0.5
+    apart = np.abs(np.log(a * d / (b * c))) - errors * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    return (np.log((all0 + all1) / (n0 + n1)) + 0.1) * (floor + np.maximum(apart, 0))
+
+
+def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The integers of all ranges first..last, one range after the other."""
+    n = last - first
+    upto = np.cumsum(n)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(first - upto + n, n)
+
+
 class Examples:
-    """Block-max inverted index over example vectors (sparse rows of unit length)."""
+    """Block-max inverted index over example vectors (sparse rows of unit length).
+
+    Postings are ordered by (term, row); an entry is the run of a term within a block of rows, with its largest weight.
+    """
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.n, self.blocks = len(rows), -(-len(rows) // BLOCK)
@@ -97,58 +124,82 @@ class Examples:
         weight = np.concatenate([w for _, w in rows]) if rows else np.zeros(0)
         order = np.lexsort((row, term))
         self.row, self.weight, term = row[order], weight[order], term[order]
-        self.at = np.searchsorted(term * (self.blocks + 1) + self.row // BLOCK,
-                                  (np.arange(n_terms)[:, None] * (self.blocks + 1) + np.arange(self.blocks + 1)).ravel()).reshape(n_terms, self.blocks + 1)
-        self.most = np.zeros((n_terms, max(self.blocks, 1)))
-        np.maximum.at(self.most, (term, self.row // BLOCK), self.weight)
+        node = term * (self.blocks + 1) + self.row // BLOCK
+        start = np.nonzero(np.append(True, node[1:] != node[:-1]))[0] if len(node) else np.zeros(0, np.int64)
+        self.start = np.append(start, len(node))
+        self.block = self.row[start] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
+        self.entry = np.searchsorted(term[start], np.arange(n_terms + 1))
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Exact k nearest (rows, cosines), larger cosine then smaller row first; cosine 0 is no neighbour."""
-        bound = w @ self.most[t]
+        first, last = self.entry[t], self.entry[t + 1]
+        e, x = ranges(first, last), np.repeat(w, last - first)
+        block = self.block[e]
+        bound = np.bincount(block, x * self.most[e], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
         rows, near = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(near) >= k and bound[b] * (1 + 1e-12) < near[-1]:
-                break
-            cos = np.zeros(BLOCK)
-            for i, x in zip(t, w):
-                s, e = self.at[i, b], self.at[i, b + 1]
-                cos[self.row[s:e] - b * BLOCK] += x * self.weight[s:e]
-            if b == without // BLOCK:
-                cos[without % BLOCK] = 0
-            hit = np.nonzero(cos > 0)[0]
-            rows, near = np.append(rows, hit + b * BLOCK), np.append(near, cos[hit])
+        done, step = 0, 4
+        while done < len(order) and (len(near) < k or bound[order[done]] * (1 + 1e-12) >= near[-1]):
+            read = np.zeros(self.blocks, bool)
+            read[order[done:done + step]] = True
+            done, step = done + step, step * 2
+            some = read[block]
+            s, n = self.start[e[some]], self.start[e[some] + 1]
+            p = ranges(s, n)
+            cos = np.bincount(self.row[p], np.repeat(x[some], n - s) * self.weight[p], self.n)
+            if without >= 0:
+                cos[without] = 0
+            hit = np.nonzero((cos > 0) & (cos >= (near[-1] if len(near) >= k else 0)))[0]
+            rows, near = np.append(rows, hit), np.append(near, cos[hit])
             best = np.lexsort((rows, -near))[:k]
             rows, near = rows[best], near[best]
         return rows, near
 
 
 def vote(near: np.ndarray, labels: np.ndarray) -> float:
-    w = 1 / (1.05 - np.minimum(near, 1.0))
+    w = near / (1.05 - np.minimum(near, 1.0))           # a neighbour at cosine 0 has no say
     return float((w * labels).sum() / w.sum())
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Non-decreasing steps (x, value) of least squares, by pooling adjacent violators."""
+    """Knots (x, value) of the non-decreasing least-squares fit, by pooling adjacent violators: both ends of every pool."""
     at, inverse = np.unique(x, return_inverse=True)
     weight, total = np.bincount(inverse, w), np.bincount(inverse, w * y)
     pools: list[list[float]] = []
     for a, n, s in zip(at, weight, total):
-        pools.append([a, n, s])
-        while len(pools) > 1 and pools[-2][2] / pools[-2][1] >= pools[-1][2] / pools[-1][1]:
-            _, n2, s2 = pools.pop()
-            pools[-1][1] += n2
-            pools[-1][2] += s2
-    return np.array([p[0] for p in pools]), np.array([p[2] / p[1] for p in pools])
+        pools.append([a, a, n, s])
+        while len(pools) > 1 and pools[-2][3] / pools[-2][2] >= pools[-1][3] / pools[-1][2]:
+            _, end, n2, s2 = pools.pop()
+            pools[-1][1] = end
+            pools[-1][2] += n2
+            pools[-1][3] += s2
+    return np.array([p[i] for p in pools for i in (0, 1)]), np.array([p[3] / p[2] for p in pools for _ in (0, 1)])
 
 
-def vector(text: str, known: dict, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def vector(text: str, known: dict, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     found = sorted((known[t], c) for t, c in terms(text).items() if t in known)
     t = np.array([i for i, _ in found], np.int64)
-    w = (1 + np.log(np.array([c for _, c in found], float))) * idf[t]
+    w = (1 + np.log(np.array([c for _, c in found], float))) * weight[t]
     return t, w / np.linalg.norm(w) if len(w) else w
 
 
-def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float = 10.0, support: int = 3, k: int = 15) -> dict:
+def sampled(rows: DataFrame, counts: DataFrame, all0: int, all1: int, sample: int, least: float, lift: float, support: int) -> DataFrame:
+    """At most ``sample`` rows of each label; of label 1, first those that stand for a mark, the strongest marks first."""
+    g = likelihood_ratio(F.col("n0"), F.col("n1"), all0, all1)
+    marks = (F.col("n1") >= support) & (F.col("n1") * all0 >= lift * all1 * F.col("n0"))
+    holders = (counts.where(marks).withColumn("g", g).where(F.col("g") >= least).groupBy(F.col("holder.doc_id").alias("doc_id"))
+               .agg(F.max("g").alias("g")).orderBy(F.desc("g"), "doc_id").limit(sample).withColumn("y", F.lit(1)))
+    drawn = bounded_sample(rows, "y", sample).withColumn("g", F.lit(0.0))
+    marked = rows.join(holders, ["doc_id", "y"]).select(*drawn.columns)
+    both = marked.unionByName(drawn).groupBy("doc_id", "y", "text").agg(F.max("g").alias("g"))     # at most 3 x sample rows
+    w = Window.partitionBy("y").orderBy(F.desc("g"), F.xxhash64(F.lit("fit order"), "doc_id"), "doc_id", "text")
+    return both.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample).select("doc_id", "y", "text")
+
+
+def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float = 10.0, support: int = 3, k: int = 15, floor: float = 0.3,
+        errors: float = 2.0) -> dict:
     """Model from labelled rows (doc_id, text, y in 0, 1)."""
     rows = distinct_texts(rows.where("y IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                                            F.col("y").cast("int").alias("y")))
@@ -157,34 +208,36 @@ def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float =
     model = {"known": {}, "k": k, "none": all1 / max(all0 + all1, 1)}
     if not all0 or not all1:
         return model
-    g = likelihood_ratio(F.col("n0"), F.col("n1"), all0, all1)
-    marks = (F.col("n1") >= support) & (F.col("n1") * all0 >= lift * all1 * F.col("n0"))
-    kept = (term_counts(rows).where("term <> ''").where(marks).withColumn("g", g).where(F.col("g") >= least)
-            .orderBy(F.desc("g"), "term").collect())
-    known = {r["term"]: i for i, r in enumerate(kept)}
-    idf = np.array([math.log((all0 + all1) / (r["n0"] + r["n1"])) + 0.1 for r in kept])
+    counts = stored(term_counts(rows).where(F.col("n0") + F.col("n1") >= support), "term-counts")
+    chosen = stored(sampled(rows, counts, all0, all1, sample, least, lift, support), "examples")
 
-    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches):
-            v = [vector(t, known, idf) for t in strings(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([t.tolist() for t, _ in v], pa.list_(pa.int64())),
-                                              pa.array([w.tolist() for _, w in v], pa.list_(pa.float64()))], names=["doc_id", "y", "t", "w"])
-
-    got = bounded_sample(rows, "y", sample).mapInArrow(examples, "doc_id long, y int, t array<long>, w array<double>").collect()
-    got = sorted(got, key=lambda r: (r["t"][:1], r["y"], r["t"], repr(r["doc_id"])))        # like examples share blocks
-    y = np.array([r["y"] for r in got], float)
-    index = Examples([(np.array(r["t"], np.int64), np.array(r["w"], float)) for r in got], len(known))
+            held = set().union(*[terms(t) for t in strings(batch.column("text"))])
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string())], names=["term"])
+
+    asked = chosen.select("text").mapInArrow(distinct_terms, "term string").distinct()
+    kept = counts.join(asked, "term").select("term", "n0", "n1").toPandas()         # terms of the bounded sample alone
+    weight = term_weight(kept["n0"].to_numpy(float), kept["n1"].to_numpy(float), all0, all1, floor, errors)
+    order = np.lexsort((kept["term"].to_numpy(str), -weight)) if len(kept) else np.zeros(0, np.int64)
+    known, weight = {t: i for i, t in enumerate(kept["term"].iloc[order])}, weight[order]
+
+    got = chosen.select("doc_id", "y", "text").collect()
+    got = [(r["doc_id"], r["y"], *vector(r["text"] or "", known, weight)) for r in got]
+    got.sort(key=lambda r: (r[2][:1].tolist(), r[1], r[0], r[2].tolist()))        # like examples share blocks
+    y = np.array([r[1] for r in got], float)
+    index = Examples([r[2:] for r in got], len(known))
     stands_for = {label: per[label] / max(1, (y == label).sum()) for label in (0, 1)}
     raw = []
-    for i, r in enumerate(got):
-        rows_, near = index.nearest(np.array(r["t"], np.int64), np.array(r["w"], float), k, i) if r["t"] else (y[:0], y[:0])
+    for i, (_, _, t, w) in enumerate(got):
+        rows_, near = index.nearest(t, w, k, i)
         raw.append(vote(near, y[rows_]) if len(near) else -1.0)
     raw, w = np.array(raw), np.where(y == 1, stands_for[1], stands_for[0])
     none = raw < 0
     if none.any():
         model["none"] = float((w * y)[none].sum() / w[none].sum())
     steps = isotonic(raw[~none], y[~none], w[~none]) if (~none).any() else (np.zeros(1), np.array([model["none"]]))
-    return model | {"known": known, "idf": idf, "index": index, "y": y, "ids": [r["doc_id"] for r in got], "steps": steps}
+    return model | {"known": known, "weight": weight, "index": index, "y": y, "ids": [r[0] for r in got], "steps": steps}
 
 
 EVIDENCE = T.ArrayType(T.StructType([T.StructField('doc_id', T.LongType()), T.StructField('label', T.IntegerType()),
@@ -208,11 +261,10 @@ def scorer(docs: DataFrame, model: dict, keep: list[str], names: list[str]):
         for batch in rebatched(batches):
             scores, evidence = [], []
             for text in strings(batch.column("text")):
-                t, w = vector(text, m["known"], m["idf"]) if m["known"] else ((), ())
+                t, w = vector(text, m["known"], m["weight"]) if m["known"] else ((), ())
                 rows, near = m["index"].nearest(t, w, m["k"]) if len(t) else ((), ())
                 if len(rows):
-                    x, value = m["steps"]
-                    scores.append(float(value[max(0, np.searchsorted(x, vote(near, m["y"][rows]), "right") - 1)]))
+                    scores.append(float(np.interp(vote(near, m["y"][rows]), *m["steps"])))
                 else:
                     scores.append(m["none"])
                 evidence.append([{"doc_id": m["ids"][r], "label": int(m["y"][r]), "cosine": float(c)} for r, c in zip(rows, near)])

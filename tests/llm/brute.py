@@ -1,6 +1,7 @@
 """Plain versions of the operators' contracts, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -188,3 +189,40 @@ def trie(rows):
                     (len(members[p]) - 1) * (len(p[-1][1]) if p else 0) + sum(below[x][1] for x in children[p]))
     return sorted(((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(children[p]), *below[p], sha(",".join(map(str, sorted(ends[p])))))
                    for p, m in members.items()), key=str)
+
+
+def term_weights(rows: list, wanted) -> tuple[list, list]:
+    """The wanted terms and their weights: IDF times 0.3 and the log odds beyond two standard errors."""
+    from sevlens.llm.toxicity import terms
+
+    all1 = sum(y for _, y in rows)
+    all0 = len(rows) - all1
+    held = [(set(terms(t)), y) for t, y in rows]
+    names, out = list(wanted), []
+    for x in names:
+        n = [sum(x in s for s, y in held if y == v) for v in (0, 1)]
+        cells = [n[1] + 0.5, all1 - n[1] + 0.5, n[0] + 0.5, all0 - n[0] + 0.5]
+        odds = abs(math.log(cells[0] * cells[3] / (cells[1] * cells[2])))
+        out.append((math.log(len(rows) / sum(n)) + 0.1) * (0.3 + max(0.0, odds - 2 * math.sqrt(sum(1 / c for c in cells)))))
+        assert sum(n) >= 3
+    return names, out
+
+
+def nearest_examples(texts: dict, examples: dict, names: list, weight: list, k: int) -> dict:
+    """The k largest cosines above 0 of every text with the examples, by the definition."""
+    from sevlens.llm.toxicity import terms
+
+    w = dict(zip(names, weight))
+
+    def unit(text):
+        v = {t: (1 + math.log(c)) * w[t] for t, c in terms(text).items() if t in w}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    vectors = [unit(t) for t in examples.values()]
+    out = {}
+    for i, text in texts.items():
+        v = unit(text)
+        cosines = sorted((sum(x * e.get(t, 0.0) for t, x in v.items()) for e in vectors), reverse=True)
+        out[i] = [c for c in cosines[:k] if c > 0]
+    return out

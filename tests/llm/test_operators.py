@@ -273,7 +273,8 @@ def test_toxicity_learns_and_handles_edges(spark, empty):
     odd = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "so vile it is", 1), (4, passage(5, 1), 1)], "doc_id long, text string, label int")
     got = {x.doc_id: x for x in toxicity.score(odd, model).collect()}
     assert got[3].score >= 0.7 and got[3].evidence[0].label == 1
-    assert all(got[i].score < 0.3 and got[i].evidence == [] for i in (1, 2, 4))
+    assert all(got[i].score < 0.3 for i in (1, 2, 4)) and got[1].evidence == got[2].evidence == []
+    assert len(got[4].evidence) == model["k"]           # a text without a mark has neighbours too
     none = toxicity.fit(train.limit(0))
     assert [x.score for x in toxicity.score(odd, none).collect()] == [0.0] * 4 and r
 
@@ -305,6 +306,21 @@ def test_rare_marks_are_learned_however_many_rows(spark):
     rows = [(i, t + (" zurkig" if i in range(0, 36, 4) else ""), y) for i, t, y in rows]        # in 9 of 2,000 toxic rows
     model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, y int"), sample=50)
     assert {"vile", "zurkig"} <= set(model["known"])
+    got = toxicity.score(spark.createDataFrame([(1, "a zurkig text")], "doc_id long, text string"), model).first()
+    assert got.evidence[0].label == 1 and got.score > 0.5          # a rare mark has an example, though 50 of 2,000 rows are drawn
+
+
+def test_toxicity_equals_a_plain_version(spark):
+    docs, labels = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    rows = toxicity.labelled(docs, labels)
+    model = toxicity.fit(rows, sample=60)
+    kept = [(r.doc_id, r.text or "", r.y) for r in toxicity.distinct_texts(rows).collect()]
+    known, weight = brute.term_weights([(t, y) for _, t, y in kept], model["known"])
+    assert {t: round(w, 9) for t, w in zip(known, weight)} == {t: round(float(model["weight"][i]), 9) for t, i in model["known"].items()}
+    text_of = {i: t for i, t, _ in kept}
+    want = brute.nearest_examples({r.doc_id: r.text or "" for r in docs.collect()}, {i: text_of[i] for i in model["ids"]}, known, weight, model["k"])
+    for r in toxicity.score(docs.select("doc_id", "text"), model).collect():
+        assert np.allclose([e.cosine for e in r.evidence], want[r.doc_id], atol=1e-9)
 
 
 def test_decontamination_small_blocks_and_edges(spark, docs, rows, empty):
