@@ -25,7 +25,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -115,13 +116,22 @@ class Examples:
     """Block-max inverted index over example vectors (sparse rows of unit length).
 
     Postings are ordered by (term, row); an entry is the run of a term within a block of rows, with its largest weight.
+    Terms that ``common`` of the rows hold are kept as dense columns, multiplied for several texts at once; their
+    exact part makes the bounds of the blocks tighter.
     """
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, common: float = 1 / 16):
         self.n, self.blocks = len(rows), -(-len(rows) // BLOCK)
         row = np.repeat(np.arange(self.n), [len(t) for t, _ in rows])
         term = np.concatenate([t for t, _ in rows]) if rows else np.zeros(0, np.int64)
         weight = np.concatenate([w for _, w in rows]) if rows else np.zeros(0)
+        often = np.nonzero(np.bincount(term, minlength=n_terms) > common * self.n)[0]
+        self.column = np.full(n_terms, -1)
+        self.column[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.blocks * BLOCK))
+        held = self.column[term] >= 0
+        self.dense[self.column[term[held]], row[held]] = weight[held]
+        row, term, weight = row[~held], term[~held], weight[~held]
         order = np.lexsort((row, term))
         self.row, self.weight, term = row[order], weight[order], term[order]
         node = term * (self.blocks + 1) + self.row // BLOCK
@@ -131,31 +141,42 @@ class Examples:
         self.most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
         self.entry = np.searchsorted(term[start], np.arange(n_terms + 1))
 
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Exact k nearest (rows, cosines), larger cosine then smaller row first; cosine 0 is no neighbour."""
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: Sequence[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Exact k nearest (rows, cosines to 12 places) of each query, larger cosine then smaller row first; cosine 0 is no neighbour."""
+        for s in range(0, len(queries), BLOCK):
+            some = queries[s:s + BLOCK]
+            q = np.zeros((len(some), len(self.dense)))
+            for i, (t, w) in enumerate(some):
+                at = self.column[t]
+                q[i, at[at >= 0]] = w[at >= 0]
+            for i, ((t, w), part) in enumerate(zip(some, q @ self.dense)):
+                rare = self.column[t] < 0
+                yield self._nearest(t[rare], w[rare], part, k, without[s + i] if len(without) else -1)
+
+    def _nearest(self, t: np.ndarray, w: np.ndarray, part: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
+        if without >= 0:
+            part[without] = -np.inf
         first, last = self.entry[t], self.entry[t + 1]
         e, x = ranges(first, last), np.repeat(w, last - first)
         block = self.block[e]
-        bound = np.bincount(block, x * self.most[e], self.blocks)
+        bound = part.reshape(-1, BLOCK).max(axis=1) + np.bincount(block, x * self.most[e], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         rows, near = np.zeros(0, np.int64), np.zeros(0)
         done, step = 0, 4
-        while done < len(order) and (len(near) < k or bound[order[done]] * (1 + 1e-12) >= near[-1]):
+        while done < len(order) and (len(near) < k or bound[order[done]] + 1e-11 >= near[-1]):
             read = np.zeros(self.blocks, bool)
             read[order[done:done + step]] = True
             done, step = done + step, step * 2
             some = read[block]
             s, n = self.start[e[some]], self.start[e[some] + 1]
             p = ranges(s, n)
-            cos = np.bincount(self.row[p], np.repeat(x[some], n - s) * self.weight[p], self.n)
-            if without >= 0:
-                cos[without] = 0
-            hit = np.nonzero((cos > 0) & (cos >= (near[-1] if len(near) >= k else 0)))[0]
-            rows, near = np.append(rows, hit), np.append(near, cos[hit])
+            cos = part + np.bincount(self.row[p], np.repeat(x[some], n - s) * self.weight[p], len(part))
+            hit = np.nonzero(np.repeat(read, BLOCK) & (cos > 0) & (cos >= (near[-1] - 1e-11 if len(near) >= k else 0)))[0]
+            rows, near = np.append(rows, hit), np.append(near, cos[hit].round(12))
             best = np.lexsort((rows, -near))[:k]
             rows, near = rows[best], near[best]
-        return rows, near
+        return rows[near > 0], near[near > 0]
 
 
 def vote(near: np.ndarray, labels: np.ndarray) -> float:
@@ -179,9 +200,11 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 def vector(text: str, known: dict, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = sorted((known[t], c) for t, c in terms(text).items() if t in known)
-    t = np.array([i for i, _ in found], np.int64)
-    w = (1 + np.log(np.array([c for _, c in found], float))) * weight[t]
+    n = terms(text)
+    t, c = np.array([known.get(x, -1) for x in n], np.int64), np.array(list(n.values()), float)
+    t, c = t[t >= 0], c[t >= 0]
+    order = np.argsort(t)
+    t, w = t[order], (1 + np.log(c[order])) * weight[t[order]]
     return t, w / np.linalg.norm(w) if len(w) else w
 
 
@@ -228,11 +251,8 @@ def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float =
     y = np.array([r[1] for r in got], float)
     index = Examples([r[2:] for r in got], len(known))
     stands_for = {label: per[label] / max(1, (y == label).sum()) for label in (0, 1)}
-    raw = []
-    for i, (_, _, t, w) in enumerate(got):
-        rows_, near = index.nearest(t, w, k, i)
-        raw.append(vote(near, y[rows_]) if len(near) else -1.0)
-    raw, w = np.array(raw), np.where(y == 1, stands_for[1], stands_for[0])
+    found = index.nearest([r[2:] for r in got], k, range(len(got)))
+    raw, w = np.array([vote(near, y[rows_]) if len(near) else -1.0 for rows_, near in found]), np.where(y == 1, stands_for[1], stands_for[0])
     none = raw < 0
     if none.any():
         model["none"] = float((w * y)[none].sum() / w[none].sum())
@@ -252,6 +272,12 @@ def score(docs: DataFrame, model: dict, name: str = "score", evidence: str = "ev
     return docs.mapInArrow(scorer(docs, model, keep, [name, evidence]), types)
 
 
+def in_groups(index: Examples, vectors: Iterator, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The neighbours of each vector; only a group's vectors are held at a time."""
+    while some := list(islice(vectors, BLOCK)):
+        yield from index.nearest(some, k)
+
+
 def scorer(docs: DataFrame, model: dict, keep: list[str], names: list[str]):
     shared = docs.sparkSession.sparkContext.broadcast(model)
     item = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
@@ -260,13 +286,10 @@ def scorer(docs: DataFrame, model: dict, keep: list[str], names: list[str]):
         m = shared.value
         for batch in rebatched(batches):
             scores, evidence = [], []
-            for text in strings(batch.column("text")):
-                t, w = vector(text, m["known"], m["weight"]) if m["known"] else ((), ())
-                rows, near = m["index"].nearest(t, w, m["k"]) if len(t) else ((), ())
-                if len(rows):
-                    scores.append(float(np.interp(vote(near, m["y"][rows]), *m["steps"])))
-                else:
-                    scores.append(m["none"])
+            vectors = (vector(text, m["known"], m["weight"]) for text in strings(batch.column("text"))) if m["known"] else None
+            none = ((np.zeros(0, np.int64), np.zeros(0)) for _ in range(batch.num_rows))
+            for rows, near in in_groups(m["index"], vectors, m["k"]) if vectors else none:
+                scores.append(float(np.interp(vote(near, m["y"][rows]), *m["steps"])) if len(rows) else m["none"])
                 evidence.append([{"doc_id": m["ids"][r], "label": int(m["y"][r]), "cosine": float(c)} for r, c in zip(rows, near)])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scores, pa.float64()), pa.array(evidence, item)],
                                              names=[*keep, *names])

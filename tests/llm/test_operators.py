@@ -256,13 +256,12 @@ def test_nearest_examples_are_exact():
         w = w / np.linalg.norm(w) if len(w) else w
         rows.append((t, w))
         dense[i, t] = w
-    index = toxicity.Examples(rows, 40)
-    for i in range(100):
-        t, w = rows[i]
-        if len(t):
-            got, near = index.nearest(t, w, 7)
-            want = np.sort(dense[:, t] @ w)[::-1][:7]
-            assert np.allclose(near, want[want > 0])
+    for common in (0, 0.08, 1):              # all terms dense, some, none
+        index = toxicity.Examples(rows, 40, common)
+        for (t, w), (got, near) in zip(rows[:100], index.nearest(rows[:100], 7), strict=True):
+            cos = dense[:, t] @ w
+            want = np.sort(cos)[::-1][:7]
+            assert np.allclose(near, want[want > 0]) and np.allclose(cos[got], near)
 
 
 def test_toxicity_learns_and_handles_edges(spark, empty):
