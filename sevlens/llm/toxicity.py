@@ -73,13 +73,12 @@ def term_counts(rows: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches):
             n, holder = (Counter(), Counter()), {}
-            for t, y, at in zip(strings(batch.column("text")), batch.column("y").to_pylist(), batch.column("holder").to_pylist()):
+            found = zip(strings(batch.column("text")), batch.column("y").to_pylist(), batch.column("holder").to_pylist())
+            for t, y, at in sorted(found, key=lambda r: (r[2]["h"], r[2]["doc_id"]), reverse=True):       # the least hash is written last
                 held = set(terms(t))
                 n[y].update(held)
                 if y:
-                    for x in held:
-                        if x not in holder or (at["h"], at["doc_id"]) < (holder[x]["h"], holder[x]["doc_id"]):
-                            holder[x] = at
+                    holder.update(dict.fromkeys(held, at))
             both = list(n[0] | n[1])
             yield pa.RecordBatch.from_arrays([pa.array(both, pa.string()), pa.array([n[0][t] for t in both], pa.int64()), pa.array([n[1][t] for t in both], pa.int64()),
                                               pa.array([holder.get(t) for t in both], pa.struct([("h", pa.int64()), ("doc_id", pa.int64())]))],
@@ -122,25 +121,35 @@ class Examples:
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, common: float = 1 / 16):
         self.n, self.blocks = len(rows), -(-len(rows) // BLOCK)
-        row = np.repeat(np.arange(self.n), [len(t) for t, _ in rows])
-        term = np.concatenate([t for t, _ in rows]) if rows else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in rows])
+        term = np.concatenate([t for t, _ in rows]).astype(np.int32) if rows else np.zeros(0, np.int32)
         weight = np.concatenate([w for _, w in rows]) if rows else np.zeros(0)
         often = np.nonzero(np.bincount(term, minlength=n_terms) > common * self.n)[0]
         self.column = np.full(n_terms, -1)
         self.column[often] = np.arange(len(often))
-        self.dense = np.zeros((len(often), self.blocks * BLOCK))
         held = self.column[term] >= 0
-        self.dense[self.column[term[held]], row[held]] = weight[held]
+        self.often, self._dense = (len(often), self.column[term[held]].astype(np.int32), row[held], weight[held]), None
         row, term, weight = row[~held], term[~held], weight[~held]
         order = np.lexsort((row, term))
         self.row, self.weight, term = row[order], weight[order], term[order]
-        node = term * (self.blocks + 1) + self.row // BLOCK
-        start = np.nonzero(np.append(True, node[1:] != node[:-1]))[0] if len(node) else np.zeros(0, np.int64)
-        self.start = np.append(start, len(node))
+        start = np.nonzero(np.append(True, (term[1:] != term[:-1]) | (np.diff(self.row // BLOCK) != 0)))[0] if len(term) else np.zeros(0, np.int64)
+        self.start = np.append(start, len(term))
         self.block = self.row[start] // BLOCK
         self.most = np.maximum.reduceat(self.weight, start) if len(start) else np.zeros(0)
         self.entry = np.searchsorted(term[start], np.arange(n_terms + 1))
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_dense": None}
+
+    @property
+    def dense(self) -> np.ndarray:
+        """Columns of the common terms; built where they are used, never sent."""
+        if self._dense is None:
+            n, column, row, weight = self.often
+            self._dense = np.zeros((n, self.blocks * BLOCK))
+            self._dense[column, row] = weight
+        return self._dense
+
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: Sequence[int] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Exact k nearest (rows, cosines to 12 places) of each query, larger cosine then smaller row first; cosine 0 is no neighbour."""
         for s in range(0, len(queries), BLOCK):
@@ -160,22 +169,26 @@ class Examples:
         e, x = ranges(first, last), np.repeat(w, last - first)
         block = self.block[e]
         bound = part.reshape(-1, BLOCK).max(axis=1) + np.bincount(block, x * self.most[e], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
+        # the rest adds nothing below 0, so the k-th largest exact part is a floor of the k-th cosine
+        floor = max(0.0, float(np.partition(part, -k)[-k])) if len(part) >= k else 0.0
         rows, near = np.zeros(0, np.int64), np.zeros(0)
-        done, step = 0, 4
-        while done < len(order) and (len(near) < k or bound[order[done]] + 1e-11 >= near[-1]):
+        order = np.argsort(-bound, kind="stable")
+        done, step = 0, 8
+        while done < len(order) and bound[order[done]] > 0 and bound[order[done]] + 1e-11 >= floor:
             read = np.zeros(self.blocks, bool)
             read[order[done:done + step]] = True
-            done, step = done + step, step * 2
+            done, step = done + step, self.blocks
+            read &= bound + 1e-11 >= floor
             some = read[block]
             s, n = self.start[e[some]], self.start[e[some] + 1]
             p = ranges(s, n)
             cos = part + np.bincount(self.row[p], np.repeat(x[some], n - s) * self.weight[p], len(part))
-            hit = np.nonzero(np.repeat(read, BLOCK) & (cos > 0) & (cos >= (near[-1] - 1e-11 if len(near) >= k else 0)))[0]
+            hit = np.nonzero(np.repeat(read, BLOCK) & (cos > 0) & (cos >= floor - 1e-11))[0]
             rows, near = np.append(rows, hit), np.append(near, cos[hit].round(12))
             best = np.lexsort((rows, -near))[:k]
             rows, near = rows[best], near[best]
+            if len(near) >= k:
+                floor = max(floor, float(near[-1]))
         return rows[near > 0], near[near > 0]
 
 
@@ -199,12 +212,32 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([p[i] for p in pools for i in (0, 1)]), np.array([p[3] / p[2] for p in pools for _ in (0, 1)])
 
 
-def vector(text: str, known: dict, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n = terms(text)
-    t, c = np.array([known.get(x, -1) for x in n], np.int64), np.array(list(n.values()), float)
-    t, c = t[t >= 0], c[t >= 0]
-    order = np.argsort(t)
-    t, w = t[order], (1 + np.log(c[order])) * weight[t[order]]
+def by_length(known: dict) -> tuple[dict, dict, dict]:
+    """The numbers of whole words, 4-letter and 5-letter beginnings."""
+    begins = [{t[:n]: i for t, i in known.items() if t[n:] == "~"} for n in (4, 5)]
+    return {t: i for t, i in known.items() if t[-1] != "~"}, *begins
+
+
+def vector(text: str, known: tuple[dict, dict, dict], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit TF-IDF vector of a text: term numbers ascending, weights."""
+    ids, counts = [], []
+    whole, four, five = known
+    for word, n in Counter(WORDS.findall(text.lower())).items():
+        if word in whole:
+            ids.append(whole[word])
+            counts.append(n)
+        size = len(word)
+        if size > 4 and (begin := word[:4]) in four:
+            ids.append(four[begin])
+            counts.append(n)
+        if size > 5 and (begin := word[:5]) in five:
+            ids.append(five[begin])
+            counts.append(n)
+    t = np.array(ids, np.int64)
+    order = np.argsort(t, kind="stable")
+    t, c = t[order], np.array(counts, float)[order]
+    first = np.nonzero(np.append(True, t[1:] != t[:-1]))[0] if len(t) else order
+    t, w = t[first], (1 + np.log(np.add.reduceat(c, first) if len(t) else c)) * weight[t[first]]
     return t, w / np.linalg.norm(w) if len(w) else w
 
 
@@ -240,14 +273,15 @@ def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float =
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string())], names=["term"])
 
     asked = chosen.select("text").mapInArrow(distinct_terms, "term string").distinct()
-    kept = counts.join(asked, "term").select("term", "n0", "n1").toPandas()         # terms of the bounded sample alone
-    weight = term_weight(kept["n0"].to_numpy(float), kept["n1"].to_numpy(float), all0, all1, floor, errors)
-    order = np.lexsort((kept["term"].to_numpy(str), -weight)) if len(kept) else np.zeros(0, np.int64)
-    known, weight = {t: i for i, t in enumerate(kept["term"].iloc[order])}, weight[order]
-
-    got = chosen.select("doc_id", "y", "text").collect()
-    got = [(r["doc_id"], r["y"], *vector(r["text"] or "", known, weight)) for r in got]
-    got.sort(key=lambda r: (r[2][:1].tolist(), r[1], r[0], r[2].tolist()))        # like examples share blocks
+    kept = counts.join(asked, "term").select("term", "n0", "n1").toArrow()         # terms of the bounded sample alone
+    names = kept["term"].to_pylist()
+    weight = term_weight(kept["n0"].to_numpy().astype(float), kept["n1"].to_numpy().astype(float), all0, all1, floor, errors)
+    order = sorted(range(len(names)), key=lambda i: (-weight[i], names[i]))
+    known, weight = {names[j]: i for i, j in enumerate(order)}, weight[order]
+
+    table, parts = chosen.select("doc_id", "y", "text").toArrow(), by_length(known)
+    got = [(i, label, *vector(text.as_py() or "", parts, weight)) for i, label, text in zip(table["doc_id"].to_pylist(), table["y"].to_pylist(), table["text"])]
+    got.sort(key=lambda r: (r[2][:1].tolist(), r[1], r[0], r[2].tobytes()))        # like examples share blocks
     y = np.array([r[1] for r in got], float)
     index = Examples([r[2:] for r in got], len(known))
     stands_for = {label: per[label] / max(1, (y == label).sum()) for label in (0, 1)}
@@ -284,14 +318,19 @@ def scorer(docs: DataFrame, model: dict, keep: list[str], names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        known, none = by_length(m["known"]) if m["known"] else None, (np.zeros(0, np.int64), np.zeros(0))
+        ids, labels = np.array(m.get("ids", []), np.int64), np.array(m.get("y", []), np.int32)
         for batch in rebatched(batches):
-            scores, evidence = [], []
-            vectors = (vector(text, m["known"], m["weight"]) for text in strings(batch.column("text"))) if m["known"] else None
-            none = ((np.zeros(0, np.int64), np.zeros(0)) for _ in range(batch.num_rows))
-            for rows, near in in_groups(m["index"], vectors, m["k"]) if vectors else none:
-                scores.append(float(np.interp(vote(near, m["y"][rows]), *m["steps"])) if len(rows) else m["none"])
-                evidence.append([{"doc_id": m["ids"][r], "label": int(m["y"][r]), "cosine": float(c)} for r, c in zip(rows, near)])
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scores, pa.float64()), pa.array(evidence, item)],
+            texts = strings(batch.column("text"))
+            different = list(dict.fromkeys(texts)) if known else []           # copies in a batch are scored once
+            near_of = dict(zip(different, in_groups(m["index"], (vector(t, known, m["weight"]) for t in different), m["k"]))) if known else {}
+            found = [near_of.get(t, none) for t in texts]
+            scores = [float(np.interp(vote(near, m["y"][rows]), *m["steps"])) if len(rows) else m["none"] for rows, near in found]
+            rows = np.concatenate([np.zeros(0, np.int64), *[r for r, _ in found]])
+            near = np.concatenate([np.zeros(0), *[c for _, c in found]])
+            evidence = pa.StructArray.from_arrays([pa.array(ids[rows], pa.int64()), pa.array(labels[rows], pa.int32()), pa.array(near)], fields=list(item.value_type))
+            offsets = pa.array(np.cumsum([0, *[len(r) for r, _ in found]]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scores, pa.float64()), pa.ListArray.from_arrays(offsets, evidence).cast(item)],
                                              names=[*keep, *names])
 
     return run
