@@ -9,6 +9,7 @@ hashed text, so that a sample of a split is a sample and not a prefix of it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from contextlib import contextmanager
 
@@ -127,6 +128,18 @@ def ensure_parallelism(df: DataFrame, id_col: str = "ID", min_partitions: int |
 
 #: Rows of a training partition, and the fewest partitions.  Neither depends on the cluster.
 TRAIN_ROWS, MIN_TRAIN_PARTITIONS = 100_000, 8
+#: Beyond 1.25 million rows partitions also grow: there are sqrt(rows / ROWS_PER_SQUARE) of them.
+ROWS_PER_SQUARE = 8_000
+
+
+def training_partitions(rows: int) -> int:
+    """Number of partitions of ``rows`` training rows.
+
+    Every task of a tree estimator's level sends the statistics of all nodes of the level, however few rows
+    it has, so what is shuffled and sent to the driver follows from the number of partitions.  It grows with the
+    square root of the rows, as do the rows of a partition.
+    """
+    return max(MIN_TRAIN_PARTITIONS, min(-(-rows // TRAIN_ROWS), math.ceil(math.sqrt(rows / ROWS_PER_SQUARE))))
 
 
 def fixed_partitions(df: DataFrame, rows: int, id_col: str = "ID") -> DataFrame:
@@ -136,8 +149,7 @@ def fixed_partitions(df: DataFrame, rows: int, id_col: str = "ID") -> DataFrame:
     Estimators that draw random numbers by partition (bootstrap weights of a forest, split
     candidates) then see the same rows in the same order on every cluster and in every retry.
     """
-    n = max(MIN_TRAIN_PARTITIONS, -(-rows // TRAIN_ROWS))
-    return df.repartition(n, id_col).sortWithinPartitions(id_col)
+    return df.repartition(training_partitions(rows), id_col).sortWithinPartitions(id_col)
 
 
 def round_robin(df: DataFrame, n: int) -> DataFrame:
