@@ -112,9 +112,9 @@ def tune_rf(train: DataFrame, grid: Mapping = TUNE_GRID, fraction: float = TUNE_
     parts = sampling.split(sampling.sample_fraction(train, fraction, "ID", seed), (train_ratio, 1 - train_ratio),
                            ("train", "valid"), "ID", f"tune:{seed}")
     sizes = {}
-    for k, df in parts.items():
-        parts[k] = df.select("ID", "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
-        sizes[k] = parts[k].count()
+    for k, df in parts.items():     # as many partitions as follow from the part's own rows, not from those of ``train``
+        sizes[k] = df.count()
+        parts[k] = sampling.fixed_partitions(df.select("ID", "label", "features"), sizes[k]).persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(cell):
         model = RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed, **TREE_EXECUTION,
