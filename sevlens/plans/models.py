@@ -2,8 +2,8 @@
 
 The model-ready table is built once: split by id hash, pipeline fitted on the
 training split only, every split transformed by the same ``PipelineModel``.
-The training frame is persisted (MEMORY_AND_DISK) while the iterative
-estimators run over it; lost blocks are recomputed from the short lineage.
+The assembled training rows are persisted (MEMORY_AND_DISK) while the iterative
+estimators run over them, scaled as they are read; lost blocks are recomputed from the short lineage.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Mapping
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from sevlens.operators import evaluate, sampling, transform
 from sevlens.operators.windows import rank_top_n
 from sevlens.plans import incidents as inc
-from sevlens.plans.pipeline import build_pipeline, slot_names
+from sevlens.plans.pipeline import build_pipeline, scaler, slot_names
 from sevlens.sources.tables import table
 
 # Fixed hyper-parameters of the reference runs.
@@ -48,19 +49,22 @@ def model_ready(spark: SparkSession, base_dir: str):
     """(pipeline_model, {split: frame}) with the pipeline fitted on 'train' only."""
     df = inc.enriched_incidents(spark, base_dir)
     df = transform.binary_label(transform.label_from_severity(df))
-    # The labelled input feeds three fitting passes (imputer, indexer, scaler)
-    # and the transform: persist it for the fit, release it once the training
-    # split is materialised.  Lost blocks are recomputed from the scan.
+    # The labelled input feeds the fitting passes of the imputer and the indexer and the transform: persist it
+    # for the fit, release it once the training split is materialised.  Lost blocks are recomputed from the scan.
     # One incident stands for one event, so the number of partitions comes from a count of the scan.
     rows = table(spark, base_dir, "events").count()
     df = sampling.fixed_partitions(sampling.assign_split(df), rows).persist(StorageLevel.MEMORY_AND_DISK)
-    train_raw = df.where(F.col("split") == "train")
-    pipe_model = build_pipeline().fit(train_raw)
-    ready = pipe_model.transform(df).select(*READY_COLUMNS)
-    frames = {s: ready.where(F.col("split") == s) for s in sampling.SPLIT_NAMES}
+    # The assembled training rows are persisted before they are scaled: the scaler is fitted on them without another
+    # run of the stages before it, and mostly sparse vectors are held once instead of next to their dense ones.
+    unscaled = build_pipeline(scale=False).fit(df.where(F.col("split") == "train"))
+    assembled = unscaled.transform(df).select(*[c for c in READY_COLUMNS if c != "features"])
+    frames = {s: assembled.where(F.col("split") == s) for s in sampling.SPLIT_NAMES}
     frames["train"] = frames["train"].persist(StorageLevel.MEMORY_AND_DISK)
     frames["train"].count()
     df.unpersist()
+    scaled = scaler().fit(frames["train"])
+    pipe_model = PipelineModel([*unscaled.stages, scaled])
+    frames = {s: scaled.transform(f).select(*READY_COLUMNS) for s, f in frames.items()}
     return pipe_model, frames
 
 
