@@ -318,9 +318,11 @@ def scorer(docs: DataFrame, model: dict, keep: list[str], names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        known, none = by_length(m["known"]) if m["known"] else None, (np.zeros(0, np.int64), np.zeros(0))
+        if isinstance(m["known"], dict):        # a worker holds the vocabulary in one form, built once for all its tasks
+            m["known"] = by_length(m["known"])
+        known, none = m["known"] if any(m["known"]) else None, (np.zeros(0, np.int64), np.zeros(0))
         ids, labels = np.array(m.get("ids", []), np.int64), np.array(m.get("y", []), np.int32)
-        for batch in rebatched(batches):
+        for batch in rebatched(batches, 4 << 20):        # what a worker holds of a batch is a few times its texts
             texts = strings(batch.column("text"))
             different = list(dict.fromkeys(texts)) if known else []           # copies in a batch are scored once
             near_of = dict(zip(different, in_groups(m["index"], (vector(t, known, m["weight"]) for t in different), m["k"]))) if known else {}
