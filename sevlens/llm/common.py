@@ -63,6 +63,20 @@ def may_hold(keys: DataFrame, *columns: str) -> Column:
     return pandas_udf(held, "boolean")(cell)
 
 
+def those_held(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """The rows that ``may_hold`` lets through, by a broadcast join with the parts of the map.
+
+    No Python takes part: beside a step in Python, a function for the condition would keep a second
+    worker with each core, and idle workers hold their memory.
+    """
+    cell = F.pmod(F.xxhash64(*columns), F.lit(MAP_BITS)) + 1
+    part, bits, at = fresh(rows, "__map_part"), fresh(rows, "__map_bits"), F.bitmap_bit_position(cell)
+    parts = keys.select(cell.alias("c")).groupBy(F.bitmap_bucket_number("c").alias(part)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("c")).alias(bits))
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1
+    return rows.join(F.broadcast(parts), (F.bitmap_bucket_number(cell) == F.col(part)) & held, "left_semi")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A name that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

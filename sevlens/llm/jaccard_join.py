@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sevlens.llm.common import connected_components, may_hold, min_roots, placed, rebatched, stored
+from sevlens.llm.common import connected_components, min_roots, placed, rebatched, stored, those_held
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -222,7 +222,7 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
 
     some = classes.join(wanted.select("id").distinct(), "id").select("own", "own_hash", "id", "copies", "keys")
     some = stored(some, "first-pair-classes")
-    rows = docs.select(F.col("id").alias("own"), F.col("text_hash").alias("own_hash"), "text").where(may_hold(some, "own", "own_hash"))
+    rows = those_held(docs.select(F.col("id").alias("own"), F.col("text_hash").alias("own_hash"), "text"), some, "own", "own_hash")
     sets = rows.mapInArrow(shingle, "own long, own_hash long, h binary").dropDuplicates(["own", "own_hash"])
     full = stored(sets.join(some, ["own", "own_hash"]).drop("own", "own_hash"), "shingle-sets")
 

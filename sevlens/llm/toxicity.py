@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sevlens.llm import jaccard_join
-from sevlens.llm.common import bounded_sample, held_out, may_hold, rebatched, stored, strings
+from sevlens.llm.common import bounded_sample, held_out, rebatched, stored, strings, those_held
 
 WORDS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -56,7 +56,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("y IS NOT NULL").distinct()
     y = stored(y, "labels")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(~held_out(F.col("doc_id")))
-    return stored(rows.where(may_hold(y, "doc_id")).join(y, "doc_id"), "labelled")
+    return stored(those_held(rows, y, "doc_id").join(y, "doc_id"), "labelled")
 
 
 def distinct_texts(rows: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -291,6 +291,7 @@ def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float =
     if none.any():
         model["none"] = float((w * y)[none].sum() / w[none].sum())
     steps = isotonic(raw[~none], y[~none], w[~none]) if (~none).any() else (np.zeros(1), np.array([model["none"]]))
+    index._dense = None         # the driver scores nothing more
     return model | {"known": known, "weight": weight, "index": index, "y": y, "ids": [r[0] for r in got], "steps": steps}
 
 
@@ -313,13 +314,12 @@ def in_groups(index: Examples, vectors: Iterator, k: int) -> Iterator[tuple[np.n
 
 
 def scorer(docs: DataFrame, model: dict, keep: list[str], names: list[str]):
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # the vocabulary goes out as it's looked up, so that a worker never builds it beside another form
+    shared = docs.sparkSession.sparkContext.broadcast(model | {"known": by_length(model["known"])})
     item = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        if isinstance(m["known"], dict):        # a worker holds the vocabulary in one form, built once for all its tasks
-            m["known"] = by_length(m["known"])
         known, none = m["known"] if any(m["known"]) else None, (np.zeros(0, np.int64), np.zeros(0))
         ids, labels = np.array(m.get("ids", []), np.int64), np.array(m.get("y", []), np.int32)
         for batch in rebatched(batches, 4 << 20):        # what a worker holds of a batch is a few times its texts

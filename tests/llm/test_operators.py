@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -247,6 +248,38 @@ def test_a_key_map_passes_every_key(spark):
     assert rows.where(common.may_hold(keys.limit(0), "a", "b")).count() == 0
 
 
+def test_rows_held_by_a_map_are_found_without_python(spark):
+    keys = spark.range(0, 100_000, 7).selectExpr("id AS a", "IF(id % 5 = 0, NULL, id * 3) AS b")
+    rows = spark.range(100_000).selectExpr("id AS a", "IF(id % 5 = 0, NULL, id * 3) AS b", "'t' AS text", "id AS __map_part")
+    some = common.those_held(rows, keys.unionByName(keys), "a", "b")
+    assert some.columns == rows.columns and sorted(some.collect()) == sorted(rows.where(common.may_hold(keys, "a", "b")).collect())
+    assert common.those_held(rows, keys.limit(0), "a", "b").count() == 0
+    python = some.mapInArrow(lambda batches: batches, some.schema)._jdf.queryExecution().executedPlan().toString()
+    assert python.count("MapInArrow") == 1 and "EvalPython" not in python        # one worker with each core
+
+
+def test_no_step_of_join_or_training_needs_two_workers_a_core(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("a condition in Python beside a step in Python")
+
+    monkeypatch.setattr(common, "pandas_udf", refused)
+    docs = spark.createDataFrame([(i, passage(30, i // 2) + " end" * (i % 2)) for i in range(60)], "doc_id long, text string")
+    assert jaccard_join.join(docs).where("kept").count() == 30
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(0, 60, 3)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id for r in docs.where(common.held_out(F.col("doc_id"))).collect()}
+    assert {(r.doc_id, r.y) for r in toxicity.labelled(docs, labels).collect()} == {(i, i % 2) for i in range(0, 60, 3)} - {(i, y) for i in out for y in (0, 1)}
+
+
+def test_a_worker_gets_the_vocabulary_as_it_is_looked_up(spark, monkeypatch):
+    train = spark.createDataFrame([(i, passage(30, i) + " vile" * (i % 4 == 0), int(i % 4 == 0)) for i in range(200)], "doc_id long, text string, y int")
+    model = toxicity.fit(train, sample=50)
+    assert model["index"]._dense is None and "vile" in model["known"]
+    sent = []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value))
+    toxicity.scorer(train, model, ["doc_id"], ["score", "evidence"])
+    assert sent[0]["known"] == toxicity.by_length(model["known"]) and isinstance(model["known"], dict)
+
+
 def test_nearest_examples_are_exact():
     r = np.random.default_rng(4)
     rows, dense = [], np.zeros((500, 40))
