@@ -63,8 +63,17 @@ def may_hold(keys: DataFrame, *columns: str) -> Column:
     return pandas_udf(held, "boolean")(cell)
 
 
-def those_held(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
-    """The rows that ``may_hold`` lets through, by a broadcast join with the parts of the map.
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """From now on in this session, rows go to Python in Arrow batches of ``size`` at most, unless it has a limit of its own.
+
+    Spark's limit of 10,000 rows lets a batch of texts take tens of MB, several times over in the executor and its workers.
+    """
+    if (limit := "spark.sql.execution.arrow.maxBytesPerBatch") not in spark.conf.getAll:
+        spark.conf.set(limit, size)
+
+
+def those_held(rows: DataFrame, keys: DataFrame, *columns: str, how: str = "left_semi") -> DataFrame:
+    """The rows that ``may_hold`` lets through, by a broadcast join with the parts of the map; ``left_anti``: the others.
 
     No Python takes part: beside a step in Python, a function for the condition would keep a second
     worker with each core, and idle workers hold their memory.
@@ -74,7 +83,7 @@ def those_held(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
     parts = keys.select(cell.alias("c")).groupBy(F.bitmap_bucket_number("c").alias(part)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("c")).alias(bits))
     byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     held = F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1
-    return rows.join(F.broadcast(parts), (F.bitmap_bucket_number(cell) == F.col(part)) & held, "left_semi")
+    return rows.join(F.broadcast(parts), (F.bitmap_bucket_number(cell) == F.col(part)) & held, how)
 
 
 def fresh(df: DataFrame, name: str) -> str:

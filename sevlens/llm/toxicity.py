@@ -12,7 +12,8 @@ sample.  Its IDF comes from counts over all labelled training rows, and is multi
 every term takes part, but those that tell the labels apart weigh more.  The
 vectors form an inverted index cut into blocks of examples with the largest weight of every
 term in every block that holds it.  A text's blocks are read by falling bound, and reading stops when
-no block can hold a nearer example than the k found, so the k nearest are exact.
+no block can hold a nearer example than the k found, so the k nearest are exact.  Where the bounds rule out few
+blocks, the text's terms are read whole, with the same result.
 Votes weighted by distance give a raw score, which isotonic regression over the examples,
 each left out of its own vote, turns into a share of label 1.
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,20 +36,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sevlens.llm import jaccard_join
-from sevlens.llm.common import bounded_sample, held_out, rebatched, stored, strings, those_held
+from sevlens.llm.common import bounded_sample, held_out, rebatched, small_batches, stored, strings, those_held
 
 WORDS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
 
 
-def terms(text: str) -> Counter:
-    n = Counter(WORDS.findall(text.lower()))
-    out = Counter(n)
-    for w, c in n.items():
-        for size in (4, 5):
-            if len(w) > size:
-                out[f"{w[:size]}~"] += c
-    return out
+def terms(text: str) -> set[str]:
+    words = set(WORDS.findall(text.lower()))
+    return words | {f"{w[:size]}~" for w in words for size in (4, 5) if len(w) > size}
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -60,33 +56,45 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def distinct_texts(rows: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """Rows of the smallest id of each group of verified near copies under a label."""
-    kept = [jaccard_join.join(rows.where(F.col("y") == y), threshold, words).where("kept AND doc_id IS NOT NULL")
-            .select("doc_id", F.lit(y).alias("y")).distinct() for y in (0, 1)]
-    ids = stored(kept[0].unionByName(kept[1]), "training-ids")
-    return stored(rows.join(ids, ["doc_id", "y"], "left_semi"), "training-rows")
+    """Rows of the smallest id of each group of verified near copies under a label.
+
+    Only rows that may be dropped meet in a join, so that the texts of the others stay where they are.
+    """
+    gone = [jaccard_join.join(rows.where(F.col("y") == y), threshold, words).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+            .where("NOT kept").select("doc_id", F.lit(y).alias("y")) for y in (0, 1)]
+    gone, rows = stored(gone[0].unionByName(gone[1]), "dropped-ids"), rows.where("doc_id IS NOT NULL AND y IN (0, 1)")
+    some = those_held(rows, gone, "doc_id", "y").join(gone, ["doc_id", "y"], "left_anti")
+    return stored(those_held(rows, gone, "doc_id", "y", how="left_anti").unionByName(some.select(*rows.columns)), "training-rows")
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
     """(term, n0, n1, holder): rows of each label that hold the term, and the row of label 1 with the least hash that does."""
 
+    def counted(n: tuple[Counter, Counter], holder: dict) -> pa.RecordBatch:
+        both = list(n[0] | n[1])
+        return pa.RecordBatch.from_arrays([pa.array(both, pa.string()), pa.array([n[0][t] for t in both], pa.int64()), pa.array([n[1][t] for t in both], pa.int64()),
+                                           pa.array([None if (at := holder.get(t)) is None else {"h": at[0], "doc_id": at[1]} for t in both],
+                                                    pa.struct([("h", pa.int64()), ("doc_id", pa.int64())]))], names=["term", "n0", "n1", "holder"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rebatched(batches):
-            n, holder = (Counter(), Counter()), {}
+        n, holder = (Counter(), Counter()), {}
+        for batch in rebatched(batches, 1 << 20):
             found = zip(strings(batch.column("text")), batch.column("y").to_pylist(), batch.column("holder").to_pylist())
-            for t, y, at in sorted(found, key=lambda r: (r[2]["h"], r[2]["doc_id"]), reverse=True):       # the least hash is written last
-                held = set(terms(t))
+            for t, y, at in found:
+                held = terms(t)
                 n[y].update(held)
                 if y:
-                    holder.update(dict.fromkeys(held, at))
-            both = list(n[0] | n[1])
-            yield pa.RecordBatch.from_arrays([pa.array(both, pa.string()), pa.array([n[0][t] for t in both], pa.int64()), pa.array([n[1][t] for t in both], pa.int64()),
-                                              pa.array([holder.get(t) for t in both], pa.struct([("h", pa.int64()), ("doc_id", pa.int64())]))],
-                                             names=["term", "n0", "n1", "holder"])
+                    at = at["h"], at["doc_id"]
+                    holder.update((x, at) for x in held if holder.get(x, at) >= at)      # the least hash stays
+            if len(n[0]) + len(n[1]) > 1 << 17:
+                yield counted(n, holder)
+                n, holder = (Counter(), Counter()), {}
+        if n[0] or n[1]:
+            yield counted(n, holder)
 
-    counted = (rows.select("text", "y", F.struct(F.xxhash64(F.lit("holder"), "doc_id").alias("h"), "doc_id").alias("holder"))
-               .mapInArrow(count, "term string, n0 long, n1 long, holder struct<h: long, doc_id: long>"))
-    return counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.min("holder").alias("holder"))
+    parts = (rows.select("text", "y", F.struct(F.xxhash64(F.lit("holder"), "doc_id").alias("h"), "doc_id").alias("holder"))
+             .mapInArrow(count, "term string, n0 long, n1 long, holder struct<h: long, doc_id: long>"))
+    return parts.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.min("holder").alias("holder"))
 
 
 def likelihood_ratio(n0: F.Column, n1: F.Column, all0: int, all1: int) -> F.Column:
@@ -119,7 +127,7 @@ class Examples:
     exact part makes the bounds of the blocks tighter.
     """
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, common: float = 1 / 16):
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, common: float = 1 / 8):
         self.n, self.blocks = len(rows), -(-len(rows) // BLOCK)
         row = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in rows])
         term = np.concatenate([t for t, _ in rows]).astype(np.int32) if rows else np.zeros(0, np.int32)
@@ -162,6 +170,19 @@ class Examples:
                 rare = self.column[t] < 0
                 yield self._nearest(t[rare], w[rare], part, k, without[s + i] if len(without) else -1)
 
+    def _whole(self, t: np.ndarray, w: np.ndarray, part: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest by the whole postings of the terms."""
+        first, last = self.start[self.entry[t]], self.start[self.entry[t + 1]]
+        p = ranges(first, last)
+        cos = part + np.bincount(self.row[p], np.repeat(w, last - first) * self.weight[p], len(part))
+        if len(cos) >= k:
+            floor = max(floor, float(np.partition(cos, -k)[-k]))
+        rows = np.nonzero((cos > 0) & (cos >= floor - 1e-11))[0]
+        near = cos[rows].round(12)
+        best = np.lexsort((rows, -near))[:k]
+        rows, near = rows[best], near[best]
+        return rows[near > 0], near[near > 0]
+
     def _nearest(self, t: np.ndarray, w: np.ndarray, part: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
         if without >= 0:
             part[without] = -np.inf
@@ -171,6 +192,8 @@ class Examples:
         bound = part.reshape(-1, BLOCK).max(axis=1) + np.bincount(block, x * self.most[e], self.blocks)
         # the rest adds nothing below 0, so the k-th largest exact part is a floor of the k-th cosine
         floor = max(0.0, float(np.partition(part, -k)[-k])) if len(part) >= k else 0.0
+        if 2 * (bound + 1e-11 >= floor)[block].sum() > len(block):
+            return self._whole(t, w, part, k, floor)
         rows, near = np.zeros(0, np.int64), np.zeros(0)
         order = np.argsort(-bound, kind="stable")
         done, step = 0, 8
@@ -218,24 +241,38 @@ def by_length(known: dict) -> tuple[dict, dict, dict]:
     return {t: i for t, i in known.items() if t[-1] != "~"}, *begins
 
 
-def vector(text: str, known: tuple[dict, dict, dict], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Numbers:
+    """The numbers of a word's three terms: its own and those of its beginnings (-1: not in the vocabulary).
+
+    Those of the vocabulary's words are held; other words may still have a beginning in it.
+    """
+
+    def __init__(self, known: tuple[dict, dict, dict]):
+        self.known = known
+        self.begins = np.full((sum(map(len, known)) + 1, 2), -1, np.int32)
+        for word, i in known[0].items():
+            self.begins[i] = self.begin(word)
+
+    def begin(self, word: str) -> tuple[int, int]:
+        size, (_, four, five) = len(word), self.known
+        return four.get(word[:4], -1) if size > 4 else -1, five.get(word[:5], -1) if size > 5 else -1
+
+    def of(self, words: list[str]) -> np.ndarray:
+        whole = np.fromiter(map(self.known[0].get, words, repeat(-1)), np.int64, len(words))
+        begins = self.begins[whole]
+        for i in np.nonzero(whole < 0)[0].tolist():
+            begins[i] = self.begin(words[i])
+        return np.column_stack([whole, begins])
+
+
+def vector(text: str, numbers: Numbers, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit TF-IDF vector of a text: term numbers ascending, weights."""
-    ids, counts = [], []
-    whole, four, five = known
-    for word, n in Counter(WORDS.findall(text.lower())).items():
-        if word in whole:
-            ids.append(whole[word])
-            counts.append(n)
-        size = len(word)
-        if size > 4 and (begin := word[:4]) in four:
-            ids.append(four[begin])
-            counts.append(n)
-        if size > 5 and (begin := word[:5]) in five:
-            ids.append(five[begin])
-            counts.append(n)
-    t = np.array(ids, np.int64)
+    n = Counter(WORDS.findall(text.lower()))
+    t, c = numbers.of(list(n)), np.fromiter(n.values(), float, len(n))
+    held = t >= 0
+    t, c = t[held], np.repeat(c, 3)[held.ravel()]
     order = np.argsort(t, kind="stable")
-    t, c = t[order], np.array(counts, float)[order]
+    t, c = t[order], c[order]
     first = np.nonzero(np.append(True, t[1:] != t[:-1]))[0] if len(t) else order
     t, w = t[first], (1 + np.log(np.add.reduceat(c, first) if len(t) else c)) * weight[t[first]]
     return t, w / np.linalg.norm(w) if len(w) else w
@@ -257,6 +294,7 @@ def sampled(rows: DataFrame, counts: DataFrame, all0: int, all1: int, sample: in
 def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float = 10.0, support: int = 3, k: int = 15, floor: float = 0.3,
         errors: float = 2.0) -> dict:
     """Model from labelled rows (doc_id, text, y in 0, 1)."""
+    small_batches(rows.sparkSession)
     rows = distinct_texts(rows.where("y IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                                            F.col("y").cast("int").alias("y")))
     per = dict(rows.groupBy("y").count().collect())
@@ -279,7 +317,7 @@ def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float =
     order = sorted(range(len(names)), key=lambda i: (-weight[i], names[i]))
     known, weight = {names[j]: i for i, j in enumerate(order)}, weight[order]
 
-    table, parts = chosen.select("doc_id", "y", "text").toArrow(), by_length(known)
+    table, parts = chosen.select("doc_id", "y", "text").toArrow(), Numbers(by_length(known))
     got = [(i, label, *vector(text.as_py() or "", parts, weight)) for i, label, text in zip(table["doc_id"].to_pylist(), table["y"].to_pylist(), table["text"])]
     got.sort(key=lambda r: (r[2][:1].tolist(), r[1], r[0], r[2].tobytes()))        # like examples share blocks
     y = np.array([r[1] for r in got], float)
@@ -301,6 +339,7 @@ EVIDENCE = T.ArrayType(T.StructType([T.StructField('doc_id', T.LongType()), T.St
 
 def score(docs: DataFrame, model: dict, name: str = "score", evidence: str = "evidence") -> DataFrame:
     """``docs`` with the score of every whole text and its evidence: the nearest examples, their labels and cosines."""
+    small_batches(docs.sparkSession)
     keep = docs.columns
     types = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType()),
                           T.StructField(evidence, EVIDENCE)])
@@ -320,12 +359,12 @@ def scorer(docs: DataFrame, model: dict, keep: list[str], names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        known, none = m["known"] if any(m["known"]) else None, (np.zeros(0, np.int64), np.zeros(0))
+        known, none = Numbers(m["known"]) if any(m["known"]) else None, (np.zeros(0, np.int64), np.zeros(0))
         ids, labels = np.array(m.get("ids", []), np.int64), np.array(m.get("y", []), np.int32)
         for batch in rebatched(batches, 4 << 20):        # what a worker holds of a batch is a few times its texts
             texts = strings(batch.column("text"))
-            different = list(dict.fromkeys(texts)) if known else []           # copies in a batch are scored once
-            near_of = dict(zip(different, in_groups(m["index"], (vector(t, known, m["weight"]) for t in different), m["k"]))) if known else {}
+            different = list(dict.fromkeys(texts)) if known is not None else []           # copies in a batch are scored once
+            near_of = dict(zip(different, in_groups(m["index"], (vector(t, known, m["weight"]) for t in different), m["k"]))) if known is not None else {}
             found = [near_of.get(t, none) for t in texts]
             scores = [float(np.interp(vote(near, m["y"][rows]), *m["steps"])) if len(rows) else m["none"] for rows, near in found]
             rows = np.concatenate([np.zeros(0, np.int64), *[r for r, _ in found]])

@@ -6,6 +6,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -297,6 +298,76 @@ def test_nearest_examples_are_exact():
             assert np.allclose(near, want[want > 0]) and np.allclose(cos[got], near)
 
 
+def test_terms_are_read_whole_where_bounds_rule_out_little(monkeypatch):
+    r = np.random.default_rng(5)
+    rows = []
+    for i in range(700):
+        t = np.sort(r.choice(90, 12, replace=False)) + 90 * (i // 350)         # half of the blocks hold none of a text's terms
+        w = r.random(12)
+        rows.append((t, w / np.linalg.norm(w)))
+    index, read = toxicity.Examples(rows, 180, 1), []
+    monkeypatch.setattr(index, "_whole", lambda *a: read.append(1) or toxicity.Examples._whole(index, *a))
+    for q, (got, near) in zip(rows[:60], index.nearest(rows[:60], 5, range(60)), strict=True):
+        cos = np.array([sum(w[t == x].sum() * y for x, y in zip(*q)) for t, w in rows])
+        cos[len(read) - 1] = 0                        # left out of its own vote
+        best = np.lexsort((np.arange(700), -cos.round(12)))[:5]
+        assert got.tolist() == best.tolist() and np.allclose(near, cos[best])
+    assert len(read) == 60
+
+
+def test_numbers_of_words_and_their_beginnings():
+    known = {"house": 0, "hous~": 1, "houses~": 2, "house~": 3, "cat": 4, "cats~": 5}
+    numbers = toxicity.Numbers(toxicity.by_length({t: i for t, i in known.items() if t != "houses~"} | {"housed": 2}))
+    assert numbers.of(["house", "houses", "cat", "cats", "catsup", "dog", "housed"]).tolist() == [
+        [0, 1, -1], [-1, 1, 3], [4, -1, -1], [-1, -1, -1], [-1, 5, -1], [-1, -1, -1], [2, 1, 3]]
+    t, w = toxicity.vector("House houses cat dog HOUSE", numbers, np.ones(6))
+    assert t.tolist() == [0, 1, 3, 4] and np.allclose(w * np.linalg.norm(1 + np.log([2, 3, 1, 1])), 1 + np.log([2, 3, 1, 1]))
+    assert len(toxicity.vector("dog", numbers, np.ones(6))[0]) == 0
+
+
+def test_training_rows_move_no_texts_but_those_that_may_be_dropped(spark, monkeypatch):
+    rows = [(i, passage(30, 7000 + i), i % 2) for i in range(40)] + [(90, None, 0), (91, None, 0), (None, "no id", 1)]
+    rows += [(50 + i, f"{rows[0][1]} {passage(1, 8000 + i)}", 0) for i in range(3)]           # near copies of the first
+    rows += [(50, rows[1][1], 1), (1, "another text of the first id", 1), (51, "another text of a near copy", 0)]
+    train, asked = spark.createDataFrame(rows, "doc_id long, text string, y int"), []
+    monkeypatch.setattr(toxicity, "those_held", lambda *a, **b: asked.append((common.those_held(*a, **b), b)) or asked[-1][0])
+    kept = sorted((r.doc_id, r.text or "", r.y) for r in toxicity.distinct_texts(train).collect())
+    # a row stays if one of its id and label is the first of its group
+    assert kept == sorted((i, t or "", y) for i, t, y in rows if i is not None and not (i, y) in {(50, 0), (52, 0), (50, 1)})
+    few = {b.get("how"): f.count() for f, b in asked}
+    assert few[None] <= 4 and few["left_anti"] + few[None] == len(rows) - 1
+
+
+def test_map_splits_rows_in_two(spark):
+    rows = spark.range(1000).withColumn("t", F.lit("x"))
+    keys = spark.createDataFrame([(i,) for i in range(0, 1000, 50)], "id long")
+    held, rest = common.those_held(rows, keys, "id"), common.those_held(rows, keys, "id", how="left_anti")
+    assert held.count() + rest.count() == 1000 and rest.join(keys, "id").count() == 0 and rest.columns == rows.columns
+    assert common.those_held(rows, keys.limit(0), "id", how="left_anti").count() == 1000
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(limit)
+    try:
+        spark.conf.unset(limit)
+        common.small_batches(spark, "1m")
+        docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 2000).alias("text")).coalesce(1)
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], names=["size", "n"])
+
+        got = docs.mapInArrow(sizes, "size long, n long").collect()
+        assert max(r.size for r in got) < 1.1 * (1 << 20) and sum(r.n for r in got) == 3000
+        common.small_batches(spark, "2m")             # a limit of the session's own stays
+        assert spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.unset(limit)
+        if before:
+            spark.conf.set(limit, before)
+
+
 def test_toxicity_learns_and_handles_edges(spark, empty):
     r = random.Random(6)
     rows = [(i, passage(30, i) + (" vile" if i % 4 == 0 else "") + " end", int(i % 4 == 0)) for i in range(400)]
