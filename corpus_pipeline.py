@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sevlens.llm import decontaminate, jaccard_join, mixing, token_output, toxicity
-from sevlens.llm.common import fresh, may_hold, read, stored
+from sevlens.llm.common import fresh, read, stored, those_held
 from sevlens.session import scratch_path
 
 REJECT = 0.7
@@ -39,9 +39,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     some = stored(some.select(F.col("id").alias(key[0]), F.col("text_hash").alias(key[1]), (~F.col("kept")).alias(gone)), "dropped")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumns({key[0]: F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1)), key[1]: F.xxhash64(text)})
-    asked = may_hold(some, *key)
-    once = rows.where(asked).join(some, key, "left").where(F.col(gone).isNull() | ~F.col(gone)).dropDuplicates(key)
-    return rows.where(~asked).select(*docs.columns).unionByName(once.select(*docs.columns))
+    once = those_held(rows, some, *key).join(some, key, "left").where(F.col(gone).isNull() | ~F.col(gone)).dropDuplicates(key)
+    return those_held(rows, some, *key, how="left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sevlens.llm.common import connected_components, min_roots, placed, rebatched, stored, those_held
+from sevlens.llm.common import connected_components, min_roots, placed, rebatched, small_batches, stored, those_held
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -158,6 +158,7 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
 
     ``id`` is the row's own or, for a null one, a hash of the text; a row is known by it and ``text_hash``.
     """
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1)).alias("id"), text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
