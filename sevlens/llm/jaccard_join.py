@@ -71,6 +71,11 @@ class Shingler:
         return np.unique(h)
 
 
+def parted(h: np.ndarray, part: int) -> np.ndarray:
+    """The shingles of a part: those of different parts are never equal but for a collision; part 0 has them as they are."""
+    return np.sort(mixed(h + np.uint64(part % (1 << 64)) * np.uint64(_BASE))) if part else h
+
+
 def prefix_length(threshold: float, trees: int, depth: int, recall: float) -> int:
     """Longest label prefix, shortened from ``depth``, at which a pair at the threshold meets with ``recall``."""
     while depth > 1 and 1 - (1 - threshold ** depth) ** trees < recall:
@@ -153,15 +158,17 @@ def sides(t: pa.Table, trees: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 20, depth: int = 8, recall: float = 0.999,
-         chunk: int = 256) -> DataFrame:
+         chunk: int = 256, within: str | None = None) -> DataFrame:
     """(doc_id, class_id, n_links, component_id, kept, id, text_hash) for every row of ``docs`` (doc_id, text).
 
     ``id`` is the row's own or, for a null one, a hash of the text; a row is known by it and ``text_hash``.
+    Only rows of one value of ``within`` (a whole number, not null; then also returned, and part of ``text_hash``) link.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1)).alias("id"), text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
+                       F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1)).alias("id"), text.alias("text"), (F.col(within) if within else F.lit(0)).cast("long").alias("part"))
+    docs = docs.withColumn("text_hash", F.xxhash64("text", "part") if within else F.xxhash64("text"))
     length = prefix_length(threshold, trees, depth, recall)
     seeds = np.random.Generator(np.random.PCG64(8)).integers(0, 1 << 63, (2, trees * length), dtype=np.uint64)
     a, b = seeds[0] * np.uint64(2) + np.uint64(1), seeds[1] * np.uint64(2)
@@ -170,16 +177,16 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
         shingles = Shingler(words)
         for batch in rebatched(batches):
             n, sets, keys = [], [], []
-            for t in batch.column("text").to_pylist():
-                h = shingles(t)
+            for t, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist()):
+                h = parted(shingles(t), part)
                 n.append(len(h))
                 sets.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
                 keys.append(labels(h, a, b, trees).astype("<i8").tobytes() if len(h) else b"")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("id"), batch.column("text_hash"), pa.array(n, pa.int64()),
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("id"), batch.column("text_hash"), batch.column("part"), pa.array(n, pa.int64()),
                                               pa.array(sets, pa.binary()), pa.array(keys, pa.binary())],
-                                             names=["doc_id", "id", "text_hash", "n", "shingles", "keys"])
+                                             names=["doc_id", "id", "text_hash", "part", "n", "shingles", "keys"])
 
-    signed = stored(docs.mapInArrow(sign, "doc_id long, id long, text_hash long, n long, shingles binary, keys binary"), "signatures")
+    signed = stored(docs.mapInArrow(sign, "doc_id long, id long, text_hash long, part long, n long, shingles binary, keys binary"), "signatures")
     classes = stored(signed.where("n > 0").groupBy("shingles").agg(
         F.min(F.struct("id", "text_hash")).alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys"))
         .select("shingles", F.col("first.id").alias("own"), F.col("first.text_hash").alias("own_hash"), "copies", "n", "keys"), "classes")
@@ -218,12 +225,12 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(words)
         for batch in rebatched(batches):
-            sets = [shingles(t).tobytes() for t in batch.column("text").to_pylist()]
+            sets = [parted(shingles(t), part).tobytes() for t, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("own"), batch.column("own_hash"), pa.array(sets, pa.binary())], names=["own", "own_hash", "h"])
 
     some = classes.join(wanted.select("id").distinct(), "id").select("own", "own_hash", "id", "copies", "keys")
     some = stored(some, "first-pair-classes")
-    rows = those_held(docs.select(F.col("id").alias("own"), F.col("text_hash").alias("own_hash"), "text"), some, "own", "own_hash")
+    rows = those_held(docs.select(F.col("id").alias("own"), F.col("text_hash").alias("own_hash"), "text", "part"), some, "own", "own_hash")
     sets = rows.mapInArrow(shingle, "own long, own_hash long, h binary").dropDuplicates(["own", "own_hash"])
     full = stored(sets.join(some, ["own", "own_hash"]).drop("own", "own_hash"), "shingle-sets")
 
@@ -257,4 +264,4 @@ def join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: int = 2
     kept = (F.col("id") == F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
     return out.select("doc_id", F.coalesce("class_id", "id").alias("class_id"),
                       F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("first_id", "id").alias("component_id"), F.coalesce(kept, F.lit(True)).alias("kept"), "id", "text_hash")
+                      F.coalesce("first_id", "id").alias("component_id"), F.coalesce(kept, F.lit(True)).alias("kept"), "id", "text_hash", *([F.col("part").alias(within)] if within else []))

@@ -42,7 +42,17 @@ WORDS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
 
 
-def terms(text: str) -> set[str]:
+def terms(text: str) -> Counter:
+    n = Counter(WORDS.findall(text.lower()))
+    out = Counter(n)
+    for w, c in n.items():
+        for size in (4, 5):
+            if len(w) > size:
+                out[f"{w[:size]}~"] += c
+    return out
+
+
+def held_terms(text: str) -> set[str]:
     words = set(WORDS.findall(text.lower()))
     return words | {f"{w[:size]}~" for w in words for size in (4, 5) if len(w) > size}
 
@@ -60,9 +70,9 @@ def distinct_texts(rows: DataFrame, words: int = 5, threshold: float = 0.8) -> D
 
     Only rows that may be dropped meet in a join, so that the texts of the others stay where they are.
     """
-    gone = [jaccard_join.join(rows.where(F.col("y") == y), threshold, words).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-            .where("NOT kept").select("doc_id", F.lit(y).alias("y")) for y in (0, 1)]
-    gone, rows = stored(gone[0].unionByName(gone[1]), "dropped-ids"), rows.where("doc_id IS NOT NULL AND y IN (0, 1)")
+    rows = rows.where("y IN (0, 1)")
+    found = jaccard_join.join(rows, threshold, words, within="y").groupBy("doc_id", F.col("y").cast("int").alias("y")).agg(F.max("kept").alias("kept"))
+    gone, rows = stored(found.where("NOT kept").drop("kept"), "dropped-ids"), rows.where("doc_id IS NOT NULL")
     some = those_held(rows, gone, "doc_id", "y").join(gone, ["doc_id", "y"], "left_anti")
     return stored(those_held(rows, gone, "doc_id", "y", how="left_anti").unionByName(some.select(*rows.columns)), "training-rows")
 
@@ -81,7 +91,7 @@ def term_counts(rows: DataFrame) -> DataFrame:
         for batch in rebatched(batches, 1 << 20):
             found = zip(strings(batch.column("text")), batch.column("y").to_pylist(), batch.column("holder").to_pylist())
             for t, y, at in found:
-                held = terms(t)
+                held = held_terms(t)
                 n[y].update(held)
                 if y:
                     at = at["h"], at["doc_id"]
@@ -307,7 +317,7 @@ def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float =
 
     def distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches):
-            held = set().union(*[terms(t) for t in strings(batch.column("text"))])
+            held = set().union(*[held_terms(t) for t in strings(batch.column("text"))])
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string())], names=["term"])
 
     asked = chosen.select("text").mapInArrow(distinct_terms, "term string").distinct()

@@ -338,6 +338,21 @@ def test_training_rows_move_no_texts_but_those_that_may_be_dropped(spark, monkey
     assert few[None] <= 4 and few["left_anti"] + few[None] == len(rows) - 1
 
 
+def test_near_copies_within_a_label_are_those_of_a_join_of_its_rows(spark):
+    base = [passage(60, 9000 + i) for i in range(6)]
+    rows = [(10 * i + j, base[i] + f" {passage(1, 9100 + j)}" * (j % 3), (i + j) % 2) for i in range(6) for j in range(8)]
+    rows += [(i, t, 1 - y) for i, t, y in rows[::5]] + [(None, base[0], 1), (200, None, 0), (201, "one two", 1), (202, "one two", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    plain = ["doc_id", "class_id", "n_links", "component_id", "kept"]
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    got = jaccard_join.join(docs, within="y")
+    for y in (0, 1):
+        want = jaccard_join.join(docs.where(F.col("y") == y)).select(*plain).collect()
+        mine = got.where(F.col("y") == y).select(*plain).collect()
+        assert sorted(map(key, mine))[:-1] == sorted(map(key, want))[:-1] and len(mine) == len(want)       # but for the null id's hash
+        assert sum(not r.kept for r in mine) > 8
+
+
 def test_map_splits_rows_in_two(spark):
     rows = spark.range(1000).withColumn("t", F.lit("x"))
     keys = spark.createDataFrame([(i,) for i in range(0, 1000, 50)], "id long")
