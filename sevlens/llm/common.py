@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -38,6 +38,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_and_seen(df: DataFrame, name: str, **seen: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates of the rows that the same write gathers.
+
+    A loop that asks after each round whether to go on would else run a second query a round, and what the
+    driver holds follows the queries of the last minute: plans, and a thread for each exchange.
+    """
+    found = Observation()
+    kept = stored(df.observe(found, *[c.alias(k) for k, c in seen.items()]), name)
+    return kept, found.get
+
+
 #: Bits of the map of a key set that is broadcast, whatever the set's size: 8 MB.
 MAP_BITS = 1 << 26
 
@@ -177,10 +188,10 @@ def connected_components(edges: DataFrame, name: str = "cc", rounds: int = 60) -
                  .where("u <> v").distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        e = stored(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-                   .unionByName(low.select("u", F.col("m").alias("v")))
-                   .where("u <> v").distinct(), name)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        e, now = stored_and_seen(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+                                 .unionByName(low.select("u", F.col("m").alias("v")))
+                                 .where("u <> v").distinct(), name,
+                                 n=F.count("*"), hashes=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
         if now == before:
             break
         before = now

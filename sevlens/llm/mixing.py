@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sevlens.llm.common import stored
+from sevlens.llm.common import stored, stored_and_seen
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 EXACT = "decimal(38,9)"         # sums of these do not depend on the order of rows
@@ -71,12 +71,13 @@ def tilts(sizes: DataFrame, targets: DataFrame, cap: float, tolerance: float = 1
              .select("source", "target", F.lit(0.0).alias("lam"), (F.lit(top) / F.col("least")).alias("hi"),
                      F.least(F.lit(0.0), -F.log(F.col("source_size") / F.col("target")) / F.col("least")).alias("lo"),
                      F.lit(1e9).alias("gap"), (F.col("source_size") * cap - F.col("target") <= 1e-9 * F.col("target")).alias("full")))
-    state = stored(state.withColumn("lam", F.when(F.col("full"), F.col("hi")).otherwise(F.col("lam")))
-                   .withColumn("gap", F.when(F.col("full"), 0.0).otherwise(F.col("gap"))).drop("full"), "tilt")
+    apart = F.count(F.when(F.col("gap") > tolerance, 1))
+    state, seen = stored_and_seen(state.withColumn("lam", F.when(F.col("full"), F.col("hi")).otherwise(F.col("lam")))
+                                  .withColumn("gap", F.when(F.col("full"), 0.0).otherwise(F.col("gap"))).drop("full"), "tilt", apart=apart)
     x, lam = F.col("size"), F.col("lam")
     rate = F.exp(F.least(lam * x, F.lit(top)))
     for _ in range(steps):
-        if not state.where(F.col("gap") > tolerance).limit(1).count():
+        if not seen["apart"]:
             break
         s = state.select(F.col("source").alias("s"), "target", "lam", "lo", "hi")
         sums = (sizes.where("size > 0").join(s, F.col("source").eqNullSafe(F.col("s")))
@@ -90,8 +91,8 @@ def tilts(sizes: DataFrame, targets: DataFrame, cap: float, tolerance: float = 1
         inside = (F.col("g") > 0) & (newton > F.col("lo")) & (newton < F.col("hi"))
         gap = F.abs(F.col("f") / F.col("target") - 1)
         gap = F.when((F.col("hi") - F.col("lo")) <= 1e-15 * F.abs(lam), F.lit(0.0)).otherwise(gap)
-        state = stored(step.select("source", "target", F.when(gap <= tolerance, lam).when(inside, newton)
-                                   .otherwise((F.col("lo") + F.col("hi")) / 2).alias("lam"), "lo", "hi", gap.alias("gap")), "tilt")
+        state, seen = stored_and_seen(step.select("source", "target", F.when(gap <= tolerance, lam).when(inside, newton)
+                                                  .otherwise((F.col("lo") + F.col("hi")) / 2).alias("lam"), "lo", "hi", gap.alias("gap")), "tilt", apart=apart)
     return state.select("source", "lam")
 
 
@@ -117,8 +118,8 @@ def whole_copies(sizes: DataFrame, targets: DataFrame, lam: DataFrame, cap: int,
         move = F.least(room, F.floor(F.abs("off") / F.col("size")))
         fits = j.where((F.col("size") > 0) & (F.col("size") <= F.abs("off")) & (room > 0))
         best = fits.groupBy("source").agg(F.max(F.struct("size", (F.signum("off") * move).cast("long").alias("move"))).alias("b"))
-        best = stored(best.select(F.col("source").alias("s"), F.col("b.size").alias("at"), "b.move"), "copies-move")
-        if not best.limit(1).count():
+        best, seen = stored_and_seen(best.select(F.col("source").alias("s"), F.col("b.size").alias("at"), "b.move"), "copies-move", n=F.count("*"))
+        if not seen["n"]:
             break
         groups = stored(groups.join(best, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("at")), "left")
                         .select("source", "size", "c", "target", (F.col("k") + F.coalesce("move", F.lit(0))).alias("k")), "copies")

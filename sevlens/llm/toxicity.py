@@ -31,6 +31,7 @@ from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,9 +148,16 @@ class Examples:
         self.column[often] = np.arange(len(often))
         held = self.column[term] >= 0
         self.often, self._dense = (len(often), self.column[term[held]].astype(np.int32), row[held], weight[held]), None
-        row, term, weight = row[~held], term[~held], weight[~held]
-        order = np.lexsort((row, term))
-        self.row, self.weight, term = row[order], weight[order], term[order]
+        # each array is let go as soon as it is read: this is the largest of what the driver holds
+        rest = np.nonzero(~held)[0].astype(np.int32)
+        order = rest[np.argsort(term[rest], kind="stable")]        # rows ascend already
+        del held, rest
+        self.row = row[order]
+        del row
+        self.weight = weight[order]
+        del weight
+        term = term[order]
+        del order
         start = np.nonzero(np.append(True, (term[1:] != term[:-1]) | (np.diff(self.row // BLOCK) != 0)))[0] if len(term) else np.zeros(0, np.int64)
         self.start = np.append(start, len(term))
         self.block = self.row[start] // BLOCK
@@ -322,10 +330,10 @@ def fit(rows: DataFrame, sample: int = 1500, least: float = 24.0, lift: float =
 
     asked = chosen.select("text").mapInArrow(distinct_terms, "term string").distinct()
     kept = counts.join(asked, "term").select("term", "n0", "n1").toArrow()         # terms of the bounded sample alone
-    names = kept["term"].to_pylist()
     weight = term_weight(kept["n0"].to_numpy().astype(float), kept["n1"].to_numpy().astype(float), all0, all1, floor, errors)
-    order = sorted(range(len(names)), key=lambda i: (-weight[i], names[i]))
-    known, weight = {names[j]: i for i, j in enumerate(order)}, weight[order]
+    order = pc.sort_indices(pa.table({"weight": weight, "term": kept["term"]}), sort_keys=[("weight", "descending"), ("term", "ascending")])
+    known, weight = {t: i for i, t in enumerate(kept["term"].take(order).to_pylist())}, weight[order.to_numpy()]
+    del kept, order
 
     table, parts = chosen.select("doc_id", "y", "text").toArrow(), Numbers(by_length(known))
     got = [(i, label, *vector(text.as_py() or "", parts, weight)) for i, label, text in zip(table["doc_id"].to_pylist(), table["y"].to_pylist(), table["text"])]

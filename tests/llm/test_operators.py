@@ -576,3 +576,35 @@ def test_contained_rules_holders_and_tags(spark):
     rows = [(i, text) for i, (text, _) in enumerate(cases)]
     got = {r.doc_id: r.licenses for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_loops_run_one_query_a_round(spark, monkeypatch):
+    """Whether to go on comes with the round's write: the driver holds plans and threads for every query of the last minute."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    def refuse(self, *a):
+        raise AssertionError("a query beside the round's own")
+
+    path = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(50, 51), (51, 51)], "u long, v long")
+    sizes = spark.createDataFrame([(s, z, 3 + z % 5) for s in ("a", "b", None) for z in range(40)], "source string, size long, c long").localCheckpoint()
+    targets = mixing.source_targets(sizes, (3, 1, 2), 1.5, 2.0).localCheckpoint()
+    with monkeypatch.context() as m:
+        for name in ("count", "first", "collect", "head", "isEmpty"):
+            m.setattr(Frame, name, refuse)
+        parts = common.connected_components(path)
+        groups = mixing.whole_copies(sizes, targets, mixing.tilts(sizes, targets, 2.0), 2)
+    assert {r.node: r.component for r in parts.collect()} == {i: 0 for i in range(13)} | {50: 50, 51: 50}
+    taken = {r.source: r.n for r in groups.groupBy("source").agg(F.sum(F.col("size") * F.col("k")).alias("n")).collect()}
+    assert {r.source: abs(taken[r.source] - r.target) <= 2 for r in targets.collect()} == {"a": True, "b": True, None: True}
+
+
+def test_example_index_is_built_in_little_memory():
+    import tracemalloc
+
+    rng, n = np.random.default_rng(5), 200
+    rows = [(np.sort(rng.choice(20_000, n, replace=False)), rng.random(n)) for _ in range(2000)]
+    tracemalloc.start()
+    toxicity.Examples(rows, 20_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 52 * n * len(rows), peak / n / len(rows)      # bytes for each weight
