@@ -37,19 +37,32 @@ def stack_models(preds: DataFrame, models: Mapping[str, str], label: str = "labe
         "__m.model", "label", "__m.prediction", *keep)
 
 
+def _rows(weight: str | None) -> Column:
+    """Number of rows of a group; a row of a table of counts stands for ``weight`` rows."""
+    return (F.sum(weight) if weight else F.count(F.lit(1))).alias("count")
+
+
 def pair_counts(preds: DataFrame, label: str = "label", prediction: str = "prediction",
-                by: Sequence[str] = ()) -> DataFrame:
+                by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """(by..., label, prediction, count): partial aggregation per task, K x K rows per group."""
     return (preds.groupBy(*by, F.col(label).cast("double").alias("label"),
                           F.col(prediction).cast("double").alias("prediction"))
-            .agg(F.count(F.lit(1)).alias("count")))
+            .agg(_rows(weight)))
 
 
-def model_pair_counts(preds: DataFrame, models: Mapping[str, str], label: str = "label") -> DataFrame:
+def prediction_counts(preds: DataFrame) -> DataFrame:
+    """(columns..., count) of a frame that holds labels and predictions alone, counted in one pass and written once.
+
+    Its rows are combinations of classes, however many rows ``preds`` has; the metrics take it with ``weight="count"``.
+    """
+    return materialize(preds.groupBy(*preds.columns).agg(_rows(None)))
+
+
+def model_pair_counts(preds: DataFrame, models: Mapping[str, str], label: str = "label", weight: str | None = None) -> DataFrame:
     """(model, label, prediction, count): one aggregate over (label, every model's prediction),
     and only its few rows are repeated for each model, never the data's."""
     cube = preds.groupBy(F.col(label).cast("double").alias("label"), *[
-        F.col(c).cast("double").alias(f"__p{i}") for i, c in enumerate(models.values())]).agg(F.count(F.lit(1)).alias("count"))
+        F.col(c).cast("double").alias(f"__p{i}") for i, c in enumerate(models.values())]).agg(_rows(weight))
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"__p{i}").alias("prediction")) for i, m in enumerate(models)]))
     return cube.select("label", "count", each.alias("__m")).select("__m.model", "label", "__m.prediction", "count")
 
@@ -104,12 +117,12 @@ def class_report(preds: DataFrame, label: str = "label", prediction: str = "pred
 
 
 def evaluate_all(preds: DataFrame, models: Mapping[str, str], label: str = "label",
-                 digits: int = 6) -> DataFrame:
+                 digits: int = 6, weight: str | None = None) -> DataFrame:
     """(model, accuracy, f1, precision, recall): weighted metrics as MLlib defines them.
 
     All follow from one count of (label, every model's prediction).
     """
-    res = _weighted_metrics(model_pair_counts(preds, models, label), ["model"])
+    res = _weighted_metrics(model_pair_counts(preds, models, label, weight), ["model"])
     return res.withColumns({m: F.round(m, digits) for m in ("accuracy", "f1", "precision", "recall")})
 
 
