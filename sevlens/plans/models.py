@@ -208,9 +208,7 @@ def sample_vs_full(train: DataFrame, valid: DataFrame, n: int = 100_000,
     (model, seconds) on ``train``, so the full-data fits are not repeated.
     """
     fits, seconds = {}, {}
-    # the capped rows come out of one task; dealt anew (n bounds them), every core trains on them
-    sample = sampling.fixed_partitions(sampling.sample_cap(train, n, "ID").select("ID", "label", "binary_label", "features"), n)
-    sample.persist(StorageLevel.MEMORY_AND_DISK)
+    sample = sampling.sample_cap(train.select("ID", "label", "binary_label", "features"), n, "ID").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for name, fit, label in (("LR", fit_lr, "label"), ("RF", fit_rf, "label"),
                                  ("GBT", fit_gbt, "binary_label")):
